@@ -41,7 +41,7 @@ def publish(spark: SparkSession, registry_path: str, model: str, item: str,
             path: str, rmse: float | None,
             created_at: _dt.datetime | None = None) -> None:
     """Append one registry row (a tiny write; the model itself is on storage)."""
-    row = [(model, item, path, rmse, created_at or _dt.datetime.utcnow())]
+    row = [(model, item, path, rmse, created_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))]
     spark.createDataFrame(row, REGISTRY).write.mode("append").parquet(registry_path)
 
 
