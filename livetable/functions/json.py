@@ -9,22 +9,35 @@ from pyspark.sql.types import StructType
 from livetable import schemas
 
 
+def _top_level(path: str) -> str | None:
+    """``$.name`` -> ``name``; None for deeper paths."""
+    if path.startswith("$.") and all(ch not in path[2:] for ch in ".[*"):
+        return path[2:]
+    return None
+
+
 def json_fields(df: DataFrame, fields: dict[str, str], col: str = "value",
                 types: dict[str, str] | None = None,
                 keep: list[str] | None = None) -> DataFrame:
-    """``get_json_object`` per field (cheap for one or two fields).
+    """Extract JSON fields as text (``get_json_object`` semantics), then cast.
 
-    ``fields`` maps output name -> JSON path.  ``types`` casts with
+    ``fields`` maps output name -> JSON path.  When every path is a top-level
+    ``$.name`` the fields come from one ``json_tuple`` (one parse per row, and
+    a generator that stops the optimizer from copying the parse into pushed
+    filters); deeper paths use ``get_json_object``.  ``types`` casts with
     ``try_cast``: malformed text becomes null instead of failing the job.
     """
     types = types or {}
-    out = []
-    for name, path in fields.items():
-        c = F.get_json_object(F.col(col), path)
-        if name in types:
-            c = c.try_cast(types[name])
-        out.append(c.alias(name))
-    return df.select(*(keep or []), *out)
+    names = list(fields)
+    keys = [_top_level(p) for p in fields.values()]
+    if all(keys) and len(keys) > 1:
+        raw = df.select(*(keep or []), F.json_tuple(F.col(col), *keys).alias(*names))
+        src = {n: F.col(n) for n in names}
+    else:
+        raw = df
+        src = {n: F.get_json_object(F.col(col), p) for n, p in fields.items()}
+    out = [(src[n].try_cast(types[n]) if n in types else src[n]).alias(n) for n in names]
+    return raw.select(*(keep or []), *out)
 
 
 def parse_json(df: DataFrame, schema: StructType = schemas.ANSWER,
@@ -37,10 +50,12 @@ def parse_json(df: DataFrame, schema: StructType = schemas.ANSWER,
     """
     opts = {"timestampNTZFormat": timestamp_format,
             "timestampFormat": timestamp_format, "mode": "PERMISSIVE"}
-    parsed = F.from_json(F.col(col), schema, opts).alias("_j")
+    parsed = F.from_json(F.col(col), schema, opts)
     extra = [F.col(col).alias("_raw")] if raw else []
-    cols = list(keep or []) + (["_raw"] if raw else [])
-    return df.select(*(keep or []), *extra, parsed).select(*cols, "_j.*")
+    # inline(array(struct)) flattens the struct through a generator: the JSON
+    # is parsed once per row, and filters on the fields (quarantine) cannot be
+    # pushed below it with a copy of the parse.
+    return df.select(*(keep or []), *extra, F.inline(F.array(parsed)))
 
 
 def split_valid(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:

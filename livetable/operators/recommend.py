@@ -151,12 +151,14 @@ class ModelCache:
         return self.model
 
 
-def serve_batch(cache: ModelCache, output) -> callable:
+def serve_batch(cache: ModelCache, output, k: int = TOP_SUBSET) -> callable:
     """``foreachBatch`` function: answers of the batch -> recommendations for
     their students -> text -> joined to the answers -> ``output(df, batch_id)``.
 
-    Empty batches and an empty result are skipped; the parsed batch is
-    persisted because it is read twice (students, join).
+    Empty batches and batches without any known student are skipped.  The
+    batch is read twice (students, join) and the per-batch recommendations
+    are checked then joined, so both are persisted for the duration of the
+    batch and released afterwards.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -165,13 +167,43 @@ def serve_batch(cache: ModelCache, output) -> callable:
         if model is None:
             return
         batch = batch.persist()
+        recs = None
         try:
-            students = batch.select(id_number("student_id").alias("student_id"))
-            recs = recs_to_text(recommend_subset(model, students.filter(
-                F.col("student_id").isNotNull())))
-            joined = attach_recs(batch, recs)
-            if not joined.isEmpty():
-                output(joined, batch_id)
+            students = (batch.select(id_number("student_id").alias("student_id"))
+                        .filter(F.col("student_id").isNotNull()))
+            recs = recs_to_text(recommend_subset(model, students, k)).persist()
+            if not recs.isEmpty():
+                output(attach_recs(batch, recs), batch_id)
         finally:
+            if recs is not None:
+                recs.unpersist()
             batch.unpersist()
     return run
+
+
+def train_evaluate_publish(spark: SparkSession, ratings: DataFrame, model_root: str,
+                           registry_path: str, recs_path: str | None = None,
+                           gate: float = RMSE_GATE, **als_kw) -> dict:
+    """The offline job: split, fit, score the held-out part, evaluate, and
+    publish the model (and optionally its top-k table) when it passes.
+
+    Ratings and both splits are persisted while training reads them several
+    times and released at the end.  Returns the RMSE, the published path (or
+    None) and the split sizes.
+    """
+    from livetable.operators.split import hash_split
+    ratings = ratings.persist()
+    train_df, test_df = hash_split(ratings, ["student_id", "question_id"], 8, 10, SPLIT_SEED)
+    train_df, test_df = train_df.persist(), test_df.persist()
+    try:
+        model = train(train_df, **als_kw)
+        rmse_value = evaluate(predict(model, test_df))
+        path = publish_if_good(spark, model, rmse_value, model_root, registry_path, gate=gate)
+        if path and recs_path:
+            recommend_all(model, TOP_ALL).write.mode("overwrite").parquet(recs_path)
+        return {"rmse": rmse_value, "path": path,
+                "train_rows": train_df.count(), "test_rows": test_df.count()}
+    finally:
+        train_df.unpersist()
+        test_df.unpersist()
+        ratings.unpersist()

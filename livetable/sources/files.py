@@ -25,9 +25,22 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(p).isDirectory()
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Batch read of a parquet table (pushdown and pruning by Catalyst)."""
-    return spark.read.parquet(table_path(base, name))
+def read_table(spark: SparkSession, base: str, name: str,
+               spread: bool = False) -> DataFrame:
+    """Batch read of a parquet table (pushdown and pruning by Catalyst).
+
+    ``spread=True`` guards CPU-heavy per-row work after the scan: when the
+    scan yields fewer partitions than the cluster's default parallelism (a
+    small table stored as one row group), rows are spread round-robin over
+    that many tasks.  A large table already has more splits than cores, so
+    at scale this adds no shuffle.
+    """
+    df = spark.read.parquet(table_path(base, name))
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def stream_table(spark: SparkSession, base: str, name: str,
