@@ -213,3 +213,23 @@ def test_batch_equals_stream(spark, tmp):
                       path=os.path.join(tmp, "out2"))
     assert sorted(map(tuple, ue_b.collect())) == \
         sorted(map(tuple, spark.read.parquet(os.path.join(tmp, "out2")).collect()))
+
+
+def test_console_sink_and_fixed_interval_trigger(spark, tmp, capfd):
+    ev = stream_table(spark, SF0001, "events")
+    q = start_query(count_by(ev, "event_type"), "console", os.path.join(tmp, "c"),
+                    "complete", options={"truncate": "false"}, trigger={"availableNow": True})
+    q.awaitTermination(120)
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("a b a\n")
+    q2 = start_query(count_by(split_words(read_lines(spark, src, stream=True)), "word"),
+                     "memory", os.path.join(tmp, "p"), "complete", query_name="t_fixed",
+                     trigger={"processingTime": "1 second"})
+    try:
+        q2.processAllAvailable()
+        assert {r.word: r["count"] for r in spark.table("t_fixed").collect()} == {"a": 2, "b": 1}
+        assert q2.status["isTriggerActive"] in (True, False)
+    finally:
+        q2.stop()
