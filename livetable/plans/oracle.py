@@ -125,6 +125,10 @@ ORACLE: dict[str, str] = {
         SELECT userID, count(*) AS "count" FROM (
           SELECT DISTINCT CAST(user_id AS VARCHAR) AS userID, strftime(ts, '%Y-%m-%d') AS d, event_type
           FROM events) GROUP BY userID''',
+    "dedup_user_counts_staged": '''
+        SELECT userID, count(*) AS "count" FROM (
+          SELECT DISTINCT CAST(user_id AS VARCHAR) AS userID, strftime(ts, '%Y-%m-%d') AS d, event_type
+          FROM events) GROUP BY userID''',
     "dedup_within_watermark": "SELECT DISTINCT user_id, event_type FROM events",
     "id_to_number": f"""
         SELECT student_id, TRY_CAST(split_part(student_id, '_', 2) AS INTEGER) AS student_num,

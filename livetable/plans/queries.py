@@ -260,6 +260,20 @@ def q_dedup_user_counts(spark, base):
                                          "snapshot", "complete"))
 
 
+def q_dedup_user_counts_staged(spark, base):
+    """Same result as ``dedup_user_counts``; copies are collapsed per
+    micro-batch by a batch aggregate before the stateful de-duplication."""
+    from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
+    keys = ["userID", "eventTime", "eventType"]
+    d = _run_dir(spark, "dedup_user_counts_staged")
+    ue = user_events(spark, base, stream=True)
+    start_batch_distinct(ue, keys, f"{d}/distinct", f"{d}/checkpoint1",
+                         trigger={"availableNow": True}).awaitTermination()
+    stage2 = dedup_counts(read_batch_distinct(spark, f"{d}/distinct", ue, keys), keys, "userID")
+    run_available_now(stage2, "snapshot", f"{d}/checkpoint2", "complete", path=f"{d}/out")
+    return spark.read.parquet(f"{d}/out")
+
+
 def q_dedup_within_watermark(spark, base):
     ev = st._src(spark, base, "events", stream=True)
     res = dedup_within(ev, "ts", ["user_id", "event_type"], WATERMARK)
@@ -397,6 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_sliding_append": q_window_sliding_append,
     "window_tumbling_daily": q_window_tumbling_daily,
     "dedup_user_counts": q_dedup_user_counts,
+    "dedup_user_counts_staged": q_dedup_user_counts_staged,
     "dedup_within_watermark": q_dedup_within_watermark,
     "id_to_number": q_id_to_number,
     "rating_bucket": q_rating_bucket,
