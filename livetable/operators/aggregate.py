@@ -48,8 +48,17 @@ def top_n_with_attr(df: DataFrame, key: str, attr: str, n: int = 10,
 
     The attribute is taken with ``min`` (one fixed answer; equal to ``first``
     when the attribute depends on the key alone).
+
+    ``min`` of a string has no fixed-width buffer, so Spark aggregates it by
+    sorting.  In batch the rows are first counted per (key, attribute) with a
+    hash aggregate; only those pairs reach the sort-based step.  Streaming
+    complete mode allows one aggregation, so a stream takes the single step.
     """
-    agg = df.groupBy(key).agg(F.min(attr).alias(attr), F.count(F.col(key)).alias(name))
+    if df.isStreaming:
+        agg = df.groupBy(key).agg(F.min(attr).alias(attr), F.count(F.col(key)).alias(name))
+    else:
+        pairs = df.groupBy(key, attr).agg(F.count(F.col(key)).alias(name))
+        agg = pairs.groupBy(key).agg(F.min(attr).alias(attr), F.sum(name).alias(name))
     return top_n(agg, [F.desc(name), F.asc(key)], n)
 
 

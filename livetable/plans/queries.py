@@ -20,7 +20,7 @@ from livetable.functions.timefns import parse_event_line, to_utc_instant
 from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
 from livetable.operators.integrity import missing_id_xor, missing_ids
-from livetable.operators.joins import attach
+from livetable.operators.joins import DEFAULT_BROADCAST_BYTES, attach
 from livetable.operators.ranking import lowest_items_per_key
 from livetable.operators.registry import latest_per_key
 from livetable.operators.split import hash_bucket, hash_split
@@ -28,7 +28,8 @@ from livetable.plans import standins as st
 from livetable.sources.files import read_delimited, read_json_lines, read_table
 from livetable.sources.kafka import kafka_rows, kafka_value
 from livetable.streaming.eventtime import dedup_counts, dedup_within, windowed_count
-from livetable.streaming.sinks import latest_updates, run_available_now
+from livetable.streaming.joins import read_join_output, start_stream_static_join
+from livetable.streaming.sinks import latest_updates, run_available_now, wait_query
 
 # Parameters of the event-time keys (window length, slide, watermark delay).
 WINDOW_LENGTH = "1 hour"
@@ -325,13 +326,18 @@ def q_answers_join_recs(spark, base):
     return attach(st.answers(spark, base), recs_text(spark, base), "student_id")
 
 
-def q_stream_static_join(spark, base):
-    """Answers as a stream joined with a static recommendation table."""
+def q_stream_static_join(spark, base, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+    """Answers as a stream joined with a static recommendation table: broadcast
+    under the size bound, else joined per micro-batch where AQE splits skew."""
     recs_path = _run_dir(spark, "stream_static_recs")
     recs_text(spark, base).write.mode("overwrite").parquet(recs_path)
     recs = spark.read.parquet(recs_path)
-    j = rec.attach_recs(st.answers(spark, base, stream=True), recs)
-    return spark.read.parquet(_stream_to(spark, "stream_static_join", j, "parquet", "append"))
+    d = _run_dir(spark, "stream_static_join")
+    wait_query(start_stream_static_join(
+        st.answers(spark, base, stream=True), recs, "student_id", f"{d}/out",
+        f"{d}/checkpoint", max_broadcast_bytes=max_broadcast_bytes,
+        trigger={"availableNow": True}))
+    return read_join_output(spark, f"{d}/out")
 
 
 def q_registry_latest(spark, base):

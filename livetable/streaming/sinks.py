@@ -78,6 +78,11 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str,
     """Process everything available now in as many batches as needed, stop."""
     q = start_query(df, sink, checkpoint, output_mode, path, query_name,
                     {"availableNow": True}, options, batch_fn)
+    return wait_query(q, timeout_s)
+
+
+def wait_query(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish; raise its error."""
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
@@ -163,6 +168,6 @@ def updates_path_writer(path: str):
     return _updates_writer(path)
 
 
-__all__ = ["start_query", "run_available_now", "latest_updates",
+__all__ = ["start_query", "run_available_now", "wait_query", "latest_updates",
            "foreach_batch_outputs", "jdbc_snapshot", "jdbc_append_idempotent",
            "snapshot_path_writer", "updates_path_writer", "latest_per_key"]

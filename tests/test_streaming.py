@@ -233,3 +233,35 @@ def test_console_sink_and_fixed_interval_trigger(spark, tmp, capfd):
         assert q2.status["isTriggerActive"] in (True, False)
     finally:
         q2.stop()
+
+
+def test_stream_static_join_both_paths(spark):
+    """Broadcast path and per-micro-batch path (AQE, batch_id partitions)
+    give the oracle's rows; the per-batch path plans each batch adaptively."""
+    from functools import partial
+
+    from livetable.plans.oracle import ORACLE
+    from oracle_compare import compare
+
+    for bound in (None, 0):
+        fn = Q.q_stream_static_join if bound is None else \
+            partial(Q.q_stream_static_join, max_broadcast_bytes=bound)
+        r = compare(spark, "stream_static_join", fn, ORACLE["stream_static_join"], SF0001)
+        assert r["cols_match"] and r["values_match"], (bound, r)
+        assert r["spark_rows"] == r["oracle_rows"] > 0
+
+
+def test_per_batch_join_is_adaptive(spark, tmp):
+    from livetable.operators.joins import attach
+    from livetable.streaming.joins import fits_broadcast
+    plans = []
+    recs = read_table(spark, SF0001, "orders").select("o_orderkey", "o_custkey")
+    assert fits_broadcast(recs) and not fits_broadcast(recs, 0)
+
+    def grab(batch, batch_id):
+        plans.append(attach(batch, recs, "o_orderkey", max_broadcast_bytes=0)
+                     ._jdf.queryExecution().executedPlan().toString())
+
+    li = stream_table(spark, SF0001, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    run_available_now(li, "foreach_batch", os.path.join(tmp, "ck"), batch_fn=grab)
+    assert plans and all(p.startswith("AdaptiveSparkPlan") for p in plans)
