@@ -69,6 +69,11 @@ def _als_input(df: DataFrame) -> DataFrame:
 
 
 def train(ratings: DataFrame, **kw) -> ALSModel:
+    """Fit ALS.  Unless ``num_blocks`` is given, user and item factors are cut
+    into one block per core of the cluster (Spark's default is 10 blocks,
+    which would leave a large cluster idle in every iteration)."""
+    if not kw.get("num_blocks"):
+        kw["num_blocks"] = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
     return make_als(**kw).fit(_als_input(ratings))
 
 

@@ -31,7 +31,9 @@ DAY_FORMAT = "yyyy-MM-dd"
 
 def _src(spark: SparkSession, base: str, name: str, stream: bool) -> DataFrame:
     """The fact table a stand-in is built from (spread for per-row work)."""
-    return stream_table(spark, base, name) if stream else read_table(spark, base, name, spread=True)
+    if stream:
+        return stream_table(spark, base, name, spread=True)
+    return read_table(spark, base, name, spread=True)
 
 
 def doc_lines(spark: SparkSession, base: str, stream: bool = False) -> DataFrame:

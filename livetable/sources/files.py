@@ -36,25 +36,37 @@ def read_table(spark: SparkSession, base: str, name: str,
     at scale this adds no shuffle.
     """
     df = spark.read.parquet(table_path(base, name))
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
+    return _spread(spark, df, df) if spread else df
+
+
+def _spread(spark: SparkSession, df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when the batch ``scan`` of
+    the same files has fewer splits than that."""
+    want = spark.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < want:
+        return df.repartition(want)
     return df
 
 
 def stream_table(spark: SparkSession, base: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of a parquet table; schema taken from the footer."""
+                 max_files_per_trigger: int | None = None,
+                 spread: bool = False) -> DataFrame:
+    """Streaming read of a parquet table; schema taken from the footer.
+
+    ``spread`` applies the rule of :func:`read_table` to the stream, judged on
+    the splits of the files present now.
+    """
     path = table_path(base, name)
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    scan = spark.read.parquet(path)
+    reader = spark.readStream.schema(scan.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if _is_dir(spark, path):
-        return reader.parquet(path)
-    # A one-file table: stream its folder, keep only that file.
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
+        df = reader.parquet(path)
+    else:
+        # A one-file table: stream its folder, keep only that file.
+        df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
+    return _spread(spark, df, scan) if spread else df
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
