@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetable import schemas
+from livetable.operators.joins import DEFAULT_BROADCAST_BYTES
+from livetable.session import shared_dir
+from livetable.streaming.joins import fits_broadcast
 from livetable.functions.text import lines_of
 from livetable.functions.timefns import epoch_millis
 from livetable.operators.recommend import QUESTION_PREFIX, STUDENT_PREFIX
@@ -85,21 +88,17 @@ def user_event_lines(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("userID"))).alias("value"))
 
 
-def answers(spark: SparkSession, base: str, stream: bool = False) -> DataFrame:
-    """Student answers: lineitem joined to its order and part.
-
-    customer -> student, part -> question, brand -> subject (a function of the
-    part, as subject is of the question), order priority -> grade, line number
-    -> chapter, quantity mod 11 -> score, order date -> answer time.
-    Column order and types are those of ``schemas.ANSWER``.
-    """
-    li = _src(spark, base, "lineitem", stream).select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+def _answer_dims(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_custkey",
                                                       "o_orderdate", "o_orderpriority")
     part = read_table(spark, base, "part").select("p_partkey", "p_brand", "p_type")
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-         .join(part, li.l_partkey == part.p_partkey))
+    return orders, part
+
+
+def _answers_of(li: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    j = (li.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(part, F.col("l_partkey") == F.col("p_partkey")))
     return j.select(
         F.concat(F.lit(STUDENT_PREFIX), F.col("o_custkey").cast("string")).alias("student_id"),
         F.concat(F.lit(TEXTBOOK_PREFIX), F.col("p_type")).alias("textbook_id"),
@@ -112,6 +111,44 @@ def answers(spark: SparkSession, base: str, stream: bool = False) -> DataFrame:
         F.col("o_orderdate").alias("ts"))
 
 
+def answers(spark: SparkSession, base: str, stream: bool = False,
+            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Student answers: lineitem joined to its order and part.
+
+    customer -> student, part -> question, brand -> subject (a function of the
+    part, as subject is of the question), order priority -> grade, line number
+    -> chapter, quantity mod 11 -> score, order date -> answer time.
+    Column order and types are those of ``schemas.ANSWER``.
+
+    ``stream=True``: when orders and part are both under the broadcast bound,
+    the lineitem stream joins them as broadcasts (no shuffle, so a hot order
+    costs nothing).  Above it, the stream reads an answer topic written once by
+    the batch join (:func:`answer_topic`); a stream–static shuffle join would
+    re-shuffle orders in every micro-batch, and AQE does not re-plan
+    micro-batches.
+    """
+    orders, part = _answer_dims(spark, base)
+    if not stream:
+        return _answers_of(_src(spark, base, "lineitem", False), orders, part)
+    if fits_broadcast(orders, max_broadcast_bytes) and fits_broadcast(part, max_broadcast_bytes):
+        return _answers_of(_src(spark, base, "lineitem", True),
+                           F.broadcast(orders), F.broadcast(part))
+    return answer_topic(spark, base)
+
+
+def answer_topic(spark: SparkSession, base: str) -> DataFrame:
+    """The answers as a stream of finished messages, as a topic holds them.
+
+    The batch job joins lineitem, orders and part once, with AQE (runtime join
+    choice, skew split), and writes the rows to a folder under the shared
+    checkpoint directory; the stream reads that folder.
+    """
+    path = shared_dir(spark, "topics", "answers", unique=True)
+    batch = answers(spark, base)
+    batch.write.parquet(path)
+    return spark.readStream.schema(batch.schema).parquet(path)
+
+
 def answer_json_lines(ans: DataFrame) -> DataFrame:
     """Answers as JSON text, ``ts`` written as ``MMM d, yyyy h:mm:ss a``."""
     cols = [c for c in ans.columns if c != "ts"]
