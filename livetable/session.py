@@ -30,12 +30,20 @@ SCALE_CONF = {
 
 
 def build_session(master: str = "local[8]", app: str = "livetable",
-                  shuffle_partitions: int = 8, checkpoint_dir: str | None = None,
+                  shuffle_partitions: int | None = None, checkpoint_dir: str | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings this library expects."""
-    b = (SparkSession.builder.master(master).appName(app)
-         .config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    """Create (or reuse) a session with the settings this library expects.
+
+    ``shuffle_partitions`` defaults to 8 in local mode only.  On a cluster the
+    cluster's own setting stays; it should be sized for the data (AQE then
+    coalesces small partitions), and a streaming query keeps the count it
+    started with because its state is partitioned by it.
+    """
+    b = SparkSession.builder.master(master).appName(app).config("spark.ui.enabled", "false")
+    if shuffle_partitions is None and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     if checkpoint_dir:
