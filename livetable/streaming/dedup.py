@@ -6,8 +6,9 @@ micro-batch lands whole in one task.  Stage 1 (``foreachBatch``) reduces each
 micro-batch to its distinct keys with a batch aggregate, which collapses copies
 map-side before any shuffle, and appends them under ``batch_id=<n>``.  Stage 2
 streams that folder through the stateful de-duplication, which now sees each
-key at most once per micro-batch.  A replayed stage-1 batch rewrites its own
-partition; keys it re-emits are dropped by stage 2, so results stay exact.
+key at most once per micro-batch.  Stage 1 only appends: a replayed batch adds
+a second copy of its keys, which stage 2 drops like any other repeat, and no
+file that stage 2 may be reading is ever deleted.  Results stay exact.
 """
 
 from __future__ import annotations
@@ -21,25 +22,19 @@ from livetable.streaming.sinks import start_query
 
 
 def start_batch_distinct(df: DataFrame, keys: list[str], path: str, checkpoint: str,
-                         time_col: str | None = None,
                          trigger: dict | None = None) -> StreamingQuery:
-    """Stage 1: per micro-batch distinct ``keys`` (with the earliest
-    ``time_col`` per key when given), appended under ``batch_id=<n>``."""
+    """Stage 1: the distinct ``keys`` of each micro-batch, appended under
+    ``batch_id=<n>``."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if time_col:
-            out = batch.groupBy(*keys).agg(F.min(time_col).alias(time_col))
-        else:
-            out = batch.select(*keys).distinct()
-        (out.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+        (batch.select(*keys).distinct()
+         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("append").partitionBy("batch_id").parquet(path))
     return start_query(df, "foreach_batch", checkpoint, "append", batch_fn=write,
                        trigger=trigger)
 
 
-def read_batch_distinct(spark: SparkSession, path: str, df: DataFrame, keys: list[str],
-                        time_col: str | None = None) -> DataFrame:
-    """Stage 2 input: the stage-1 folder as a stream (schema from ``df``)."""
-    cols = keys + ([time_col] if time_col else [])
-    fields = [df.schema[c] for c in cols] + [StructField("batch_id", LongType(), True)]
-    return spark.readStream.schema(StructType(fields)).parquet(path).select(*cols)
+def read_batch_distinct(spark: SparkSession, path: str, df: DataFrame,
+                        keys: list[str]) -> DataFrame:
+    """Stage 2 input: the stage-1 folder as a stream (key types from ``df``)."""
+    fields = [df.schema[c] for c in keys] + [StructField("batch_id", LongType(), True)]
+    return spark.readStream.schema(StructType(fields)).parquet(path).select(*keys)

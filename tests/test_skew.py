@@ -69,8 +69,8 @@ def test_hot_student_top_k_is_limited_map_side(spark):
 
 def test_staged_dedup_with_hot_group_and_replay(spark, tmp):
     """Several micro-batches; a third of all rows are copies of one key.
-    Stage 1 keeps one row per key per batch; a replayed stage-1 batch leaves
-    the final counts unchanged."""
+    Stage 1 keeps one row per key per batch; a replayed stage-1 batch (a
+    second append) leaves the final counts unchanged."""
     src = os.path.join(tmp, "in")
     schema = "userID string, eventTime string, eventType string"
     for i in range(3):
@@ -91,9 +91,8 @@ def test_staged_dedup_with_hot_group_and_replay(spark, tmp):
     assert batches > 1 and hot and all(r["count"] == 1 for r in hot)
     assert stage1.count() == stage1.select(*keys, "batch_id").distinct().count()
 
-    # Replay: rewrite batch 1 as a retried attempt would.
-    (stage1.filter(F.col("batch_id") == 1).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(distinct))
+    # Replay: a retried batch 1 appends its keys a second time.
+    stage1.filter(F.col("batch_id") == 1).write.mode("append").partitionBy("batch_id").parquet(distinct)
     staged = dedup_counts(read_batch_distinct(spark, distinct, stream, keys), keys, "userID")
     run_available_now(staged, "snapshot", os.path.join(tmp, "ck2"), "complete",
                       path=os.path.join(tmp, "out"))
