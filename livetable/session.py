@@ -25,9 +25,6 @@ SCALE_CONF = {
     # Large streaming state goes to RocksDB instead of the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Each micro-batch commits a changelog of the keys it touched; snapshots
-    # are uploaded in the background instead of per batch.
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
