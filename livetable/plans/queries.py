@@ -328,7 +328,7 @@ def q_answers_join_recs(spark, base):
 
 def q_stream_static_join(spark, base, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
     """Answers as a stream joined with a static recommendation table: broadcast
-    under the size bound, else joined per micro-batch where AQE splits skew."""
+    under the size bound, else a shuffle join that AQE re-plans per batch."""
     recs_path = _run_dir(spark, "stream_static_recs")
     recs_text(spark, base).write.mode("overwrite").parquet(recs_path)
     recs = spark.read.parquet(recs_path)

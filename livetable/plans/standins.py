@@ -123,9 +123,10 @@ def answers(spark: SparkSession, base: str, stream: bool = False,
     ``stream=True``: when orders and part are both under the broadcast bound,
     the lineitem stream joins them as broadcasts (no shuffle, so a hot order
     costs nothing).  Above it, the stream reads an answer topic written once by
-    the batch join (:func:`answer_topic`); a stream–static shuffle join would
-    re-shuffle orders in every micro-batch, and AQE does not re-plan
-    micro-batches.
+    the batch join (:func:`answer_topic`).  A stream–static shuffle join would
+    re-shuffle orders in every micro-batch, and the live statistics that
+    consume the answers are stateful, so their micro-batches run without AQE
+    and could not split a hot order.
     """
     orders, part = _answer_dims(spark, base)
     if not stream:

@@ -5,6 +5,7 @@ group instead of sending it to one task.
 """
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from livetable.operators.joins import attach
 from livetable.operators.ranking import lowest_items_per_key
 from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
 from livetable.streaming.eventtime import dedup_counts
+from livetable.streaming.joins import read_join_output, start_stream_static_join
 from livetable.streaming.sinks import run_available_now, wait_query
 
 HOT = "学生ID_1"
@@ -27,34 +29,71 @@ def _answers(spark, n=30000):
                       (F.col("id") % 11).cast("int").alias("score"))
 
 
-def test_hot_student_join_is_split_by_aqe(spark, tmp):
-    answers = _answers(spark)
-    (answers.select("student_id").distinct()
-     .withColumn("recommendations", F.concat(F.col("student_id"), F.lit(":r")))
-     .write.parquet(os.path.join(tmp, "recs")))
-    recs = spark.read.parquet(os.path.join(tmp, "recs"))
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
+# Small thresholds so that AQE's skew rules fire on test-sized data.
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@contextmanager
+def _skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
     try:
-        for k, v in conf.items():
+        for k, v in SKEW_CONF.items():
             spark.conf.set(k, v)
-        j = attach(answers, recs, "student_id", max_broadcast_bytes=0)
-        rows = j.collect()
-        plan = j._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _recs(spark, answers, path):
+    (answers.select("student_id").distinct()
+     .withColumn("recommendations", F.concat(F.col("student_id"), F.lit(":r")))
+     .write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def _check_join(rows):
     assert len(rows) == 30000 and sum(r.student_id == HOT for r in rows) == 10000
     assert all(r.recommendations == r.student_id + ":r" for r in rows)
-    assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan, plan
+
+
+def _is_skew_split(plan):
+    final = plan.split("== Initial Plan ==")[0]
+    return "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+
+
+def test_hot_student_join_is_split_by_aqe(spark, tmp):
+    answers = _answers(spark)
+    recs = _recs(spark, answers, os.path.join(tmp, "recs"))
+    with _skew_conf(spark):
+        j = attach(answers, recs, "student_id", max_broadcast_bytes=0)
+        rows = j.collect()
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    _check_join(rows)
+    assert _is_skew_split(plan), plan
+
+
+def test_hot_student_stream_join_is_split_by_aqe(spark, tmp):
+    """A stateless streaming micro-batch is planned adaptively in Spark 4.1."""
+    answers = _answers(spark)
+    answers.write.parquet(os.path.join(tmp, "answers"))
+    recs = _recs(spark, answers, os.path.join(tmp, "recs"))
+    stream = spark.readStream.schema(answers.schema).parquet(os.path.join(tmp, "answers"))
+    with _skew_conf(spark):
+        q = wait_query(start_stream_static_join(
+            stream, recs, "student_id", os.path.join(tmp, "out"), os.path.join(tmp, "ck"),
+            max_broadcast_bytes=0, trigger={"availableNow": True}))
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    _check_join(read_join_output(spark, os.path.join(tmp, "out")).collect())
+    assert _is_skew_split(plan), plan
 
 
 def test_hot_student_top_k_is_limited_map_side(spark):

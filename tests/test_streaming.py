@@ -236,8 +236,7 @@ def test_console_sink_and_fixed_interval_trigger(spark, tmp, capfd):
 
 
 def test_stream_static_join_both_paths(spark):
-    """Broadcast path and per-micro-batch path (AQE, batch_id partitions)
-    give the oracle's rows; the per-batch path plans each batch adaptively."""
+    """Broadcast path and shuffle-join path give the oracle's rows."""
     from functools import partial
 
     from livetable.plans.oracle import ORACLE
@@ -251,17 +250,16 @@ def test_stream_static_join_both_paths(spark):
         assert r["spark_rows"] == r["oracle_rows"] > 0
 
 
-def test_per_batch_join_is_adaptive(spark, tmp):
-    from livetable.operators.joins import attach
-    from livetable.streaming.joins import fits_broadcast
-    plans = []
-    recs = read_table(spark, SF0001, "orders").select("o_orderkey", "o_custkey")
-    assert fits_broadcast(recs) and not fits_broadcast(recs, 0)
-
-    def grab(batch, batch_id):
-        plans.append(attach(batch, recs, "o_orderkey", max_broadcast_bytes=0)
-                     ._jdf.queryExecution().executedPlan().toString())
-
-    li = stream_table(spark, SF0001, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    run_available_now(li, "foreach_batch", os.path.join(tmp, "ck"), batch_fn=grab)
-    assert plans and all(p.startswith("AdaptiveSparkPlan") for p in plans)
+def test_broadcast_stream_join_does_not_shuffle_the_stream(spark, tmp):
+    from livetable.plans import standins as st
+    from livetable.streaming.joins import start_stream_static_join
+    from livetable.streaming.sinks import wait_query
+    recs = os.path.join(tmp, "recs")
+    Q.recs_text(spark, SF0001).write.parquet(recs)
+    q = wait_query(start_stream_static_join(
+        st.answers(spark, SF0001, stream=True), spark.read.parquet(recs), "student_id",
+        os.path.join(tmp, "out"), os.path.join(tmp, "ck"), trigger={"availableNow": True}))
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("BroadcastHashJoin") == 3, plan  # orders, part, recs
+    assert "Exchange hashpartitioning" not in final, plan
