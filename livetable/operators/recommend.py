@@ -71,10 +71,18 @@ def _als_input(df: DataFrame) -> DataFrame:
 def train(ratings: DataFrame, **kw) -> ALSModel:
     """Fit ALS.  Unless ``num_blocks`` is given, user and item factors are cut
     into one block per core of the cluster (Spark's default is 10 blocks,
-    which would leave a large cluster idle in every iteration)."""
+    which would leave a large cluster idle in every iteration).
+
+    Spark's ALS reads its input more than once while it builds the rating
+    blocks, so the input is persisted for the fit and released after it (the
+    model's factors are materialized by then)."""
     if not kw.get("num_blocks"):
         kw["num_blocks"] = max(1, ratings.sparkSession.sparkContext.defaultParallelism)
-    return make_als(**kw).fit(_als_input(ratings))
+    data = _als_input(ratings).persist()
+    try:
+        return make_als(**kw).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: ALSModel, ratings: DataFrame) -> DataFrame:
