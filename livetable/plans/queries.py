@@ -60,12 +60,18 @@ def q_wordcount_dsl(spark, base):
 
 
 def q_wordcount_sql(spark, base):
-    split_words(st.doc_lines(spark, base), "value", "value").createOrReplaceTempView("t_words")
-    return spark.sql("""
+    """Word count as SQL over a streaming temp view, complete mode, sorted."""
+    d = _run_dir(spark, "wordcount_sql")
+    view = "t_words_" + d.rsplit("/", 1)[-1]
+    split_words(st.doc_lines(spark, base, stream=True), "value", "value") \
+        .createOrReplaceTempView(view)
+    counts = spark.sql(f"""
         SELECT value, COUNT(*) AS counts
-        FROM t_words
+        FROM {view}
         GROUP BY value
         ORDER BY counts DESC, value""")
+    run_available_now(counts, "snapshot", f"{d}/checkpoint", "complete", path=f"{d}/out")
+    return spark.read.parquet(f"{d}/out")
 
 
 def q_wordcount_stream_memory(spark, base, n: int = 100):

@@ -9,7 +9,7 @@ from livetable.operators.aggregate import filtered_stats
 
 from conftest import SF0001
 
-BATCH_KEYS = ["wordcount_dsl", "wordcount_sql", "nonblank_filter", "json_extract_fields",
+BATCH_KEYS = ["wordcount_dsl", "nonblank_filter", "json_extract_fields",
               "iot_stats_sql", "iot_stats_dsl", "event_line_parse", "json_struct_parse",
               "top10_questions", "top10_grades", "top10_questions_with_subject",
               "lowest_score_students", "lowest_questions_per_student",
