@@ -25,7 +25,7 @@ from livetable.operators.ranking import lowest_items_per_key
 from livetable.operators.registry import latest_per_key
 from livetable.operators.split import hash_bucket, hash_split
 from livetable.plans import standins as st
-from livetable.sources.files import read_delimited, read_json_lines, read_table
+from livetable.sources.files import batch_bytes, read_delimited, read_json_lines, read_table
 from livetable.sources.kafka import kafka_rows, kafka_value
 from livetable.streaming.eventtime import dedup_counts, dedup_within, windowed_count
 from livetable.streaming.joins import read_join_output, start_stream_static_join
@@ -182,7 +182,8 @@ def q_delimited_stream_read(spark, base):
     d = _run_dir(spark, "delimited_stream_read")
     cust = read_table(spark, base, "customer")
     cust.write.mode("overwrite").option("sep", ";").option("header", "false").csv(f"{d}/in")
-    s = read_delimited(spark, f"{d}/in", cust.schema, sep=";", stream=True)
+    s = read_delimited(spark, f"{d}/in", cust.schema, sep=";", stream=True,
+                       max_bytes_per_trigger=batch_bytes(spark))
     run_available_now(s, "parquet", f"{d}/checkpoint", "append", path=f"{d}/out")
     return spark.read.parquet(f"{d}/out")
 

@@ -19,7 +19,7 @@ from livetable.functions.text import lines_of
 from livetable.functions.timefns import epoch_millis
 from livetable.operators.recommend import QUESTION_PREFIX, STUDENT_PREFIX
 from livetable.operators.ranking import top_items_per_key
-from livetable.sources.files import read_table, stream_table
+from livetable.sources.files import batch_bytes, read_table, stream_table
 
 # Id prefixes of the other answer fields (textbook, grade,
 # subject, chapter), as in the answer messages.
@@ -35,7 +35,8 @@ DAY_FORMAT = "yyyy-MM-dd"
 def _src(spark: SparkSession, base: str, name: str, stream: bool) -> DataFrame:
     """The fact table a stand-in is built from (spread for per-row work)."""
     if stream:
-        return stream_table(spark, base, name, spread=True)
+        return stream_table(spark, base, name, spread=True,
+                            max_bytes_per_trigger=batch_bytes(spark))
     return read_table(spark, base, name, spread=True)
 
 
@@ -147,7 +148,8 @@ def answer_topic(spark: SparkSession, base: str) -> DataFrame:
     path = shared_dir(spark, "topics", "answers", unique=True)
     batch = answers(spark, base)
     batch.write.parquet(path)
-    return spark.readStream.schema(batch.schema).parquet(path)
+    return (spark.readStream.schema(batch.schema)
+            .option("maxBytesPerTrigger", str(batch_bytes(spark))).parquet(path))
 
 
 def answer_json_lines(ans: DataFrame) -> DataFrame:

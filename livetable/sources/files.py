@@ -18,6 +18,27 @@ def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
+# Default micro-batch size of the file streams built here: this many bytes
+# per core of the cluster, so that a backlog is read in bounded batches that
+# still give every core several splits.
+BATCH_BYTES_PER_CORE = 512 * 1024 * 1024
+
+
+def batch_bytes(spark: SparkSession, per_core: int = BATCH_BYTES_PER_CORE) -> int:
+    """``maxBytesPerTrigger`` sized to the cluster."""
+    return max(1, spark.sparkContext.defaultParallelism) * per_core
+
+
+def _limits(reader, max_files: int | None, max_bytes: int | None):
+    """Bound each micro-batch of a file stream (files and/or bytes); a
+    backlog read with ``availableNow`` is then split into several batches."""
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes)))
+    return reader
+
+
 def _is_dir(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,7 +71,8 @@ def _spread(spark: SparkSession, df: DataFrame, scan: DataFrame) -> DataFrame:
 
 def stream_table(spark: SparkSession, base: str, name: str,
                  max_files_per_trigger: int | None = None,
-                 spread: bool = False) -> DataFrame:
+                 spread: bool = False,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of a parquet table; schema taken from the footer.
 
     ``spread`` applies the rule of :func:`read_table` to the stream, judged on
@@ -58,9 +80,8 @@ def stream_table(spark: SparkSession, base: str, name: str,
     """
     path = table_path(base, name)
     scan = spark.read.parquet(path)
-    reader = spark.readStream.schema(scan.schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = _limits(spark.readStream.schema(scan.schema), max_files_per_trigger,
+                     max_bytes_per_trigger)
     if _is_dir(spark, path):
         df = reader.parquet(path)
     else:
@@ -70,7 +91,8 @@ def stream_table(spark: SparkSession, base: str, name: str,
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None,
+               max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Text lines as ``value string`` (the reference's socket/text input).
 
     A socket source is available through :func:`read_socket`; files are the
@@ -78,28 +100,27 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
     """
     if not stream:
         return spark.read.text(path)
-    r = spark.readStream
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.text(path)
+    return _limits(spark.readStream, max_files_per_trigger, max_bytes_per_trigger).text(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType,
                    sep: str = ";", header: bool = False, stream: bool = False,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None,
+                   max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Delimited text with an explicit schema (no inference pass)."""
     r = spark.readStream if stream else spark.read
     r = r.schema(schema).option("sep", sep).option("header", str(header).lower())
-    if stream and max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if stream:
+        r = _limits(r, max_files_per_trigger, max_bytes_per_trigger)
     return r.csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str,
                     schema: StructType = schemas.ANSWER, stream: bool = False,
-                    timestamp_format: str = schemas.ANSWER_TS_FORMAT) -> DataFrame:
+                    timestamp_format: str = schemas.ANSWER_TS_FORMAT,
+                    max_bytes_per_trigger: int | None = None) -> DataFrame:
     """JSON lines with a declared schema; malformed rows keep nulls."""
-    r = spark.readStream if stream else spark.read
+    r = _limits(spark.readStream, None, max_bytes_per_trigger) if stream else spark.read
     return (r.schema(schema).option("mode", "PERMISSIVE")
             .option("timestampNTZFormat", timestamp_format)
             .option("timestampFormat", timestamp_format)
