@@ -18,6 +18,7 @@ from livetable.functions.text import contains_text, nonblank, split_words
 from livetable.functions.timefns import parse_event_line
 from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
+from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
 from livetable.streaming.eventtime import dedup_counts, windowed_count
 from livetable.streaming.sinks import (foreach_batch_outputs, snapshot_path_writer,
                                        start_query)
@@ -84,16 +85,37 @@ def event_windows(spark: SparkSession, lines: DataFrame, length: str = "10 secon
     return start_query(counts, sink, ck, mode, path=out, trigger=trigger)
 
 
+USER_EVENT_FIELDS = {"eventTime": "$.eventTime", "eventType": "$.eventType",
+                     "userID": "$.userID"}
+USER_EVENT_KEYS = ["userID", "eventTime", "eventType"]
+
+
 def user_dedup(spark: SparkSession, lines: DataFrame, app: str = "user_dedup",
                trigger: dict | None = None) -> StreamingQuery:
     """User events de-duplicated on (user, time, type), counted per user."""
-    ue = json_fields(nonblank(lines), {"eventTime": "$.eventTime", "eventType": "$.eventType",
-                                       "userID": "$.userID"})
-    res = dedup_counts(ue, ["userID", "eventTime", "eventType"], "userID")
+    ue = json_fields(nonblank(lines), USER_EVENT_FIELDS)
+    res = dedup_counts(ue, USER_EVENT_KEYS, "userID")
     ck, out = _dirs(spark, app, "counts")
     return start_query(res, "snapshot", ck, "complete", path=out, trigger=trigger)
 
 
+def user_dedup_staged(spark: SparkSession, lines: DataFrame, app: str = "user_dedup_staged",
+                      trigger: dict | None = None) -> list[StreamingQuery]:
+    """:func:`user_dedup` for streams with hot groups of copies: stage 1
+    collapses copies per micro-batch, stage 2 de-duplicates the reduced stream
+    (see ``streaming.dedup``).  Same counts; two named queries."""
+    ue = json_fields(nonblank(lines), USER_EVENT_FIELDS)
+    d = session.shared_dir(spark, "apps", app)
+    q1 = start_batch_distinct(ue, USER_EVENT_KEYS, f"{d}/distinct", f"{d}/checkpoint1",
+                              trigger=trigger)
+    if trigger and trigger.get("availableNow"):
+        q1.awaitTermination()  # a one-off run: stage 2 reads stage 1's whole output
+    res = dedup_counts(read_batch_distinct(spark, f"{d}/distinct", ue, USER_EVENT_KEYS),
+                       USER_EVENT_KEYS, "userID")
+    ck, out = _dirs(spark, app, "counts")
+    return [q1, start_query(res, "snapshot", ck, "complete", path=out, trigger=trigger)]
+
+
 def _answer_stats(answers: DataFrame) -> dict[str, DataFrame]:
     return {
         "top10_questions": agg.top_n(agg.count_by(answers, "question_id"),

@@ -85,3 +85,17 @@ def test_refused_model_is_not_published(spark, tmp):
     app = "recbad_" + os.path.basename(tmp)
     res = apps.train_recommender(spark, st.answers(spark, SF0001), app=app, gate=0.0, max_iter=2)
     assert res["path"] is None
+
+
+def test_user_dedup_both_forms(spark, tmp):
+    src = os.path.join(tmp, "ue")
+    st.user_event_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(src)
+    want = sorted(_rows(Q.user_events(spark, SF0001).dropDuplicates(
+        ["userID", "eventTime", "eventType"]).groupBy("userID").count(), ["userID", "count"]))
+    for fn in (apps.user_dedup, apps.user_dedup_staged):
+        app = fn.__name__ + "_" + os.path.basename(tmp)
+        qs = fn(spark, read_lines(spark, src, stream=True), app=app, trigger=AVAILABLE_NOW)
+        for q in (qs if isinstance(qs, list) else [qs]):
+            q.awaitTermination()
+        got = spark.read.parquet(session.shared_dir(spark, "apps", app, "counts", "out"))
+        assert sorted(_rows(got, ["userID", "count"])) == want and want
