@@ -35,6 +35,12 @@ def start_batch_distinct(df: DataFrame, keys: list[str], path: str, checkpoint:
 
 def read_batch_distinct(spark: SparkSession, path: str, df: DataFrame,
                         keys: list[str]) -> DataFrame:
-    """Stage 2 input: the stage-1 folder as a stream (key types from ``df``)."""
+    """Stage 2 input: the stage-1 folder as a stream (key types from ``df``).
+
+    The folder is created when absent, so stage 2 can start before stage 1
+    has finished its first batch."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     fields = [df.schema[c] for c in keys] + [StructField("batch_id", LongType(), True)]
     return spark.readStream.schema(StructType(fields)).parquet(path).select(*keys)

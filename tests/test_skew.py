@@ -14,7 +14,7 @@ from livetable.operators.ranking import lowest_items_per_key
 from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
 from livetable.streaming.eventtime import dedup_counts
 from livetable.streaming.joins import read_join_output, start_stream_static_join
-from livetable.streaming.sinks import run_available_now, wait_query
+from livetable.streaming.sinks import run_available_now, start_query, wait_query
 
 HOT = "学生ID_1"
 
@@ -140,3 +140,27 @@ def test_staged_dedup_with_hot_group_and_replay(spark, tmp):
     got = sorted(map(tuple, spark.read.parquet(os.path.join(tmp, "out")).collect()))
     assert got == sorted(map(tuple, direct.collect()))
     assert dict(got)["u_hot"] == 1
+
+
+def test_staged_dedup_live_start_order(spark, tmp):
+    """Stage 2 may start before stage 1 has written anything."""
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    schema = "userID string, eventTime string, eventType string"
+    stream = spark.readStream.schema(schema).json(src)
+    keys = ["userID", "eventTime", "eventType"]
+    distinct = os.path.join(tmp, "distinct")
+    q2 = start_query(dedup_counts(read_batch_distinct(spark, distinct, stream, keys), keys,
+                                  "userID"),
+                     "memory", os.path.join(tmp, "ck2"), "complete", query_name="staged_live")
+    q1 = start_batch_distinct(stream, keys, distinct, os.path.join(tmp, "ck1"))
+    try:
+        rows = [("u1", "d1", "a")] * 50 + [("u1", "d2", "a"), ("u2", "d1", "b")]
+        spark.createDataFrame(rows, schema).write.mode("append").json(src)
+        q1.processAllAvailable()
+        q2.processAllAvailable()
+        got = {r.userID: r["count"] for r in spark.table("staged_live").collect()}
+        assert got == {"u1": 2, "u2": 1}
+    finally:
+        q1.stop()
+        q2.stop()
