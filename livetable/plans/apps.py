@@ -82,7 +82,13 @@ def event_windows(spark: SparkSession, lines: DataFrame, length: str = "10 secon
     counts = windowed_count(ev, "timestamp", "word", length, slide, watermark)
     ck, out = _dirs(spark, app, mode)
     sink = {"update": "updates", "append": "parquet", "complete": "snapshot"}[mode]
-    return start_query(counts, sink, ck, mode, path=out, trigger=trigger)
+    part = None
+    if mode == "append":
+        # Final windows accumulate over time: lay them out per day so that
+        # readers prune by date.
+        counts = counts.withColumn("window_day", F.to_date("window_start"))
+        part = ["window_day"]
+    return start_query(counts, sink, ck, mode, path=out, trigger=trigger, partition_by=part)
 
 
 USER_EVENT_FIELDS = {"eventTime": "$.eventTime", "eventType": "$.eventType",

@@ -40,12 +40,15 @@ def _updates_writer(path: str):
 def start_query(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "append",
                 path: str | None = None, query_name: str | None = None,
                 trigger: dict | None = None, options: dict | None = None,
-                batch_fn: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                batch_fn: Callable[[DataFrame, int], None] | None = None,
+                partition_by: list[str] | None = None) -> StreamingQuery:
     """Start ``df`` on a sink.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
     ``{"availableNow": True}``, ``{"processingTime": "5 seconds"}`` or
     ``{"continuous": "1 second"}``); default is as-soon-as-possible.
+    ``partition_by`` lays out a ``parquet`` sink in folders per value (for
+    example per day), so readers of the output prune by that column.
     """
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
@@ -56,6 +59,8 @@ def start_query(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "a
         w = w.trigger(**trigger)
     if sink == "parquet":
         w = w.format("parquet").option("path", path)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
     elif sink == "snapshot":
         w = w.foreachBatch(_snapshot_writer(path))
     elif sink == "updates":
@@ -74,10 +79,11 @@ def start_query(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "a
 def run_available_now(df: DataFrame, sink: str, checkpoint: str,
                       output_mode: str = "append", path: str | None = None,
                       query_name: str | None = None, options: dict | None = None,
-                      batch_fn=None, timeout_s: float | None = None) -> StreamingQuery:
+                      batch_fn=None, timeout_s: float | None = None,
+                      partition_by: list[str] | None = None) -> StreamingQuery:
     """Process everything available now in as many batches as needed, stop."""
     q = start_query(df, sink, checkpoint, output_mode, path, query_name,
-                    {"availableNow": True}, options, batch_fn)
+                    {"availableNow": True}, options, batch_fn, partition_by)
     return wait_query(q, timeout_s)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from livetable import session
 from livetable.plans import apps, queries as Q, standins as st
 from livetable.sources.files import read_lines, stream_table
+from livetable.streaming.eventtime import windowed_count
 
 from conftest import SF0001
 
@@ -99,3 +100,25 @@ def test_user_dedup_both_forms(spark, tmp):
             q.awaitTermination()
         got = spark.read.parquet(session.shared_dir(spark, "apps", app, "counts", "out"))
         assert sorted(_rows(got, ["userID", "count"])) == want and want
+
+
+def test_event_windows_append_is_laid_out_per_day(spark, tmp):
+    ev_lines = os.path.join(tmp, "ev")
+    st.event_word_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(ev_lines)
+    app = "win_app_" + os.path.basename(tmp)
+    apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
+                       "10 minutes", "append", app=app, trigger=AVAILABLE_NOW).awaitTermination()
+    out = session.shared_dir(spark, "apps", app, "append", "out")
+    got = spark.read.parquet(out)
+    days = [r.window_day for r in got.select("window_day").distinct().collect()]
+    assert days and all(os.path.isdir(os.path.join(out, f"window_day={d}")) for d in days)
+    assert all(r.window_day == r.window_start.date() for r in got.collect())
+    one = min(days)
+    plan = got.filter(F.col("window_day") == F.lit(one))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_day" in plan
+    # Append mode emits only final windows, each with its final count.
+    cols = ["window_start", "window_end", "word", "count"]
+    batch = windowed_count(Q.event_words(spark, SF0001), "timestamp", "word",
+                           "1 hour", "30 minutes")
+    assert set(_rows(got, cols)) <= set(_rows(batch, cols))
