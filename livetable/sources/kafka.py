@@ -13,11 +13,23 @@ from pyspark.sql import functions as F
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str,
-               starting_offsets: str = "latest", **options) -> DataFrame:
+               starting_offsets: str = "latest",
+               min_partitions: int | None = None,
+               max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
+    """Kafka records as a stream.
+
+    ``minPartitions`` (default: the cluster's cores) lets Spark cut the offset
+    range of a large topic partition into several tasks, so a partition that
+    holds a large share of the records is not read by one task.
+    ``maxOffsetsPerTrigger`` bounds each micro-batch when a backlog is read.
+    """
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
-         .option("startingOffsets", starting_offsets))
+         .option("startingOffsets", starting_offsets)
+         .option("minPartitions", str(min_partitions or spark.sparkContext.defaultParallelism)))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(int(max_offsets_per_trigger)))
     for k, v in options.items():
         r = r.option(k, v)
     return r.load()

@@ -85,3 +85,12 @@ def test_stream_backlog_is_read_in_bounded_batches(spark, tmp):
     got = spark.read.parquet(os.path.join(tmp, "out"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ev.collect()))
     assert batch_bytes(spark) == spark.sparkContext.defaultParallelism * 512 * 1024 * 1024
+
+
+def test_kafka_factory_reaches_the_connector(spark):
+    """The factory builds its options; only the missing connector jar stops
+    it here (no broker is contacted)."""
+    import pytest
+    from livetable.sources.kafka import read_kafka
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_kafka(spark, "localhost:1", "t", max_offsets_per_trigger=1000)
