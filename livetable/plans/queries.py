@@ -362,26 +362,34 @@ def q_registry_latest(spark, base):
 
 # --- ALS (no SQL form: rows-only check, unit tests) ---------------------------
 
-def _als(spark, base):
-    ratings = rec.extract_ratings(st.answers(spark, base))
-    train, test = hash_split(ratings, ["student_id", "question_id"], 8, 10, rec.SPLIT_SEED)
-    model = rec.train(train)
-    return model, train, test
+def _als_table(spark, base, name: str, result) -> DataFrame:
+    """Train on the 80% split and write ``result(model, train, test)`` as a
+    table.  The ratings (a three-table join) are persisted for training and
+    scoring and released once the table is written."""
+    ratings = rec.extract_ratings(st.answers(spark, base)).persist()
+    d = _run_dir(spark, name)
+    try:
+        train, test = hash_split(ratings, ["student_id", "question_id"], 8, 10, rec.SPLIT_SEED)
+        model = rec.train(train)
+        result(model, train, test).write.parquet(d)
+    finally:
+        ratings.unpersist()
+    return spark.read.parquet(d)
 
 
 def q_als_predict(spark, base):
-    model, _train, test = _als(spark, base)
-    return rec.predict(model, test)
+    return _als_table(spark, base, "als_predict", lambda m, tr, te: rec.predict(m, te))
 
 
 def q_als_recommend_all(spark, base):
-    model, _train, _test = _als(spark, base)
-    return rec.recommend_all(model, rec.TOP_ALL)
+    return _als_table(spark, base, "als_recommend_all",
+                      lambda m, tr, te: rec.recommend_all(m, rec.TOP_ALL))
 
 
 def q_als_recommend_subset(spark, base):
-    model, _train, test = _als(spark, base)
-    return rec.recommend_subset(model, test.select("student_id"), rec.TOP_SUBSET)
+    return _als_table(spark, base, "als_recommend_subset",
+                      lambda m, tr, te: rec.recommend_subset(m, te.select("student_id"),
+                                                             rec.TOP_SUBSET))
 
 
 # --- missing ids ----------------------------------------------------------------
