@@ -46,15 +46,26 @@ def build_session(master: str = "local[8]", app: str = "livetable",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
-    if checkpoint_dir:
-        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir:
+        use_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
+def use_checkpoint_dir(spark: SparkSession, path: str) -> None:
+    """Use ``path`` as the shared folder only when the session names none
+    (tests, the bench); a cluster's ``spark.checkpoint.dir`` always wins."""
+    sc = spark.sparkContext
+    if sc.getConf().get("spark.checkpoint.dir", None):
+        return
+    if sc._jsc.sc().getCheckpointDir().isDefined():
+        return
+    sc.setCheckpointDir(path)
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)

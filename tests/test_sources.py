@@ -94,3 +94,12 @@ def test_kafka_factory_reaches_the_connector(spark):
     from livetable.sources.kafka import read_kafka
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka(spark, "localhost:1", "t", max_offsets_per_trigger=1000)
+
+
+def test_cluster_checkpoint_dir_wins(spark, tmp):
+    """A folder passed by the caller never replaces the session's own."""
+    from livetable.session import shared_dir, use_checkpoint_dir
+    before = shared_dir(spark, "x")
+    use_checkpoint_dir(spark, os.path.join(tmp, "other"))
+    assert shared_dir(spark, "x") == before
+    assert not os.path.exists(os.path.join(tmp, "other"))
