@@ -1,6 +1,7 @@
 """End-to-end applications on replayed tables."""
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,13 +15,19 @@ from conftest import SF0001
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def _run_id():
+    """Apps keep fixed checkpoint folders under the session's shared folder
+    (a restarted app resumes them), so every test run names its own app."""
+    return uuid.uuid4().hex[:12]
+
+
 def _rows(df, order):
     return [tuple(r) for r in df.select(*order).collect()]
 
 
 def test_answer_stats_four_queries_and_per_batch_form(spark, tmp):
     lines = st.answer_json_lines(st.answers(spark, SF0001, stream=True))
-    app = "stats_" + os.path.basename(tmp)
+    app = "stats_" + _run_id()
     for q in apps.answer_stats(spark, lines, app=app, trigger=AVAILABLE_NOW):
         q.awaitTermination()
     base = session.shared_dir(spark, "apps", app)
@@ -32,7 +39,7 @@ def test_answer_stats_four_queries_and_per_batch_form(spark, tmp):
         assert sorted(_rows(got, df.columns)) == sorted(_rows(df, df.columns)), k
 
     # One read, one parse, state merged batch by batch (several batches).
-    app2 = "statsb_" + os.path.basename(tmp)
+    app2 = "statsb_" + _run_id()
     src = os.path.join(tmp, "answers_json")
     st.answer_json_lines(st.answers(spark, SF0001)).repartition(3).write.text(src)
     with open(os.path.join(tmp, "bad.txt"), "w") as f:
@@ -51,7 +58,7 @@ def test_answer_stats_four_queries_and_per_batch_form(spark, tmp):
 def test_word_count_and_windows_apps(spark, tmp):
     docs = os.path.join(tmp, "docs")
     st.doc_lines(spark, SF0001).select("value").write.text(docs)
-    app = "wc_" + os.path.basename(tmp)
+    app = "wc_" + _run_id()
     apps.word_count(spark, read_lines(spark, docs, stream=True), app=app,
                     trigger=AVAILABLE_NOW).awaitTermination()
     got = spark.read.parquet(session.shared_dir(spark, "apps", app, "counts", "out"))
@@ -61,7 +68,7 @@ def test_word_count_and_windows_apps(spark, tmp):
     ev_lines = os.path.join(tmp, "ev")
     st.event_word_lines(stream_table(spark, SF0001, "events"))  # stream form builds
     st.event_word_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(ev_lines)
-    app2 = "win_" + os.path.basename(tmp)
+    app2 = "win_" + _run_id()
     apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
                        "10 minutes", "complete", app=app2, trigger=AVAILABLE_NOW).awaitTermination()
     got = spark.read.parquet(session.shared_dir(spark, "apps", app2, "complete", "out"))
@@ -70,7 +77,7 @@ def test_word_count_and_windows_apps(spark, tmp):
 
 
 def test_train_and_serve(spark, tmp):
-    app = "rec_" + os.path.basename(tmp)
+    app = "rec_" + _run_id()
     res = apps.train_recommender(spark, st.answers(spark, SF0001), app=app, max_iter=5)
     assert res["path"] is not None and res["rmse"] <= 1.5
     assert res["train_rows"] + res["test_rows"] == st.answers(spark, SF0001).count()
@@ -83,7 +90,7 @@ def test_train_and_serve(spark, tmp):
 
 
 def test_refused_model_is_not_published(spark, tmp):
-    app = "recbad_" + os.path.basename(tmp)
+    app = "recbad_" + _run_id()
     res = apps.train_recommender(spark, st.answers(spark, SF0001), app=app, gate=0.0, max_iter=2)
     assert res["path"] is None
 
@@ -94,7 +101,7 @@ def test_user_dedup_both_forms(spark, tmp):
     want = sorted(_rows(Q.user_events(spark, SF0001).dropDuplicates(
         ["userID", "eventTime", "eventType"]).groupBy("userID").count(), ["userID", "count"]))
     for fn in (apps.user_dedup, apps.user_dedup_staged):
-        app = fn.__name__ + "_" + os.path.basename(tmp)
+        app = fn.__name__ + "_" + _run_id()
         qs = fn(spark, read_lines(spark, src, stream=True), app=app, trigger=AVAILABLE_NOW)
         for q in (qs if isinstance(qs, list) else [qs]):
             q.awaitTermination()
@@ -105,7 +112,7 @@ def test_user_dedup_both_forms(spark, tmp):
 def test_event_windows_append_is_laid_out_per_day(spark, tmp):
     ev_lines = os.path.join(tmp, "ev")
     st.event_word_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(ev_lines)
-    app = "win_app_" + os.path.basename(tmp)
+    app = "win_app_" + _run_id()
     apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
                        "10 minutes", "append", app=app, trigger=AVAILABLE_NOW).awaitTermination()
     out = session.shared_dir(spark, "apps", app, "append", "out")
