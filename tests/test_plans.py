@@ -47,3 +47,10 @@ def test_ranking_window_is_limited_before_shuffle(spark):
     df = QUERIES["lowest_questions_per_student"](spark, SF0001)
     opt = df._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in opt
+
+
+@pytest.mark.parametrize("name", BATCH_KEYS)
+def test_no_cross_join_in_plan(spark, name):
+    plan = _plan(QUERIES[name](spark, SF0001))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, (name, node)
