@@ -45,7 +45,14 @@ def missing_id_xor(df: DataFrame, col: str, lo: int | None = None,
 
 def missing_ids(spark: SparkSession, df: DataFrame, col: str, lo: int, hi: int,
                 num_partitions: int | None = None, name: str = "missing_id") -> DataFrame:
-    """All ids of lo..hi that do not occur in ``df[col]``."""
+    """All ids of lo..hi that do not occur in ``df[col]``.
+
+    Present ids are made distinct first.  Copies of one id collapse map-side;
+    in an anti join AQE can split only the left side, so a repeated id on the
+    right would otherwise stay whole in one task.  The distinct's hash
+    partitioning on the id is the one the sort-merge join needs, so it adds
+    no shuffle there.
+    """
     run = spark.range(lo, hi + 1, 1, num_partitions).withColumnRenamed("id", name)
-    present = df.select(F.col(col).cast("long").alias(name))
+    present = df.select(F.col(col).cast("long").alias(name)).distinct()
     return run.join(present, name, "left_anti")

@@ -164,3 +164,24 @@ def test_staged_dedup_live_start_order(spark, tmp):
     finally:
         q1.stop()
         q2.stop()
+
+
+def test_repeated_id_collapses_before_anti_join(spark):
+    """A third of the rows repeat one id; missing ids stay exact and the
+    de-duplication reuses the join's shuffle (one exchange per side)."""
+    from livetable.operators.integrity import missing_ids
+    ids = spark.range(1, 20001).filter(F.col("id") % 97 != 0) \
+        .unionByName(spark.range(10000).select(F.lit(5).cast("long").alias("id")))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        res = missing_ids(spark, ids, "id", 1, 20000)
+        got = sorted(r.missing_id for r in res.collect())
+        plan = res._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == list(range(97, 20001, 97))
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 2, plan
