@@ -20,7 +20,7 @@ from livetable.functions.timefns import parse_event_line, to_utc_instant
 from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
 from livetable.operators.integrity import missing_id_xor, missing_ids
-from livetable.operators.joins import DEFAULT_BROADCAST_BYTES, attach
+from livetable.operators.joins import attach
 from livetable.operators.ranking import lowest_items_per_key
 from livetable.operators.registry import latest_per_key
 from livetable.operators.split import hash_bucket, hash_split
@@ -333,7 +333,7 @@ def q_answers_join_recs(spark, base):
     return attach(st.answers(spark, base), recs_text(spark, base), "student_id")
 
 
-def q_stream_static_join(spark, base, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES):
+def q_stream_static_join(spark, base, max_broadcast_bytes: int | None = None):
     """Answers as a stream joined with a static recommendation table: broadcast
     under the size bound, else a shuffle join that AQE re-plans per batch."""
     recs_path = _run_dir(spark, "stream_static_recs")

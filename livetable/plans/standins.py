@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livetable import schemas
-from livetable.operators.joins import DEFAULT_BROADCAST_BYTES
 from livetable.session import shared_dir
 from livetable.streaming.joins import fits_broadcast
 from livetable.functions.text import lines_of
@@ -113,7 +112,7 @@ def _answers_of(li: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def answers(spark: SparkSession, base: str, stream: bool = False,
-            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+            max_broadcast_bytes: int | None = None) -> DataFrame:
     """Student answers: lineitem joined to its order and part.
 
     customer -> student, part -> question, brand -> subject (a function of the

@@ -1,6 +1,7 @@
 """Stream–static equi-join that stays balanced when one key is hot.
 
-* The static side's size estimate is under the bound: it is broadcast and the
+* The static side's size estimate is under the bound (default: the session's
+  ``spark.sql.autoBroadcastJoinThreshold``): it is broadcast and the
   stream is never shuffled, so a hot key costs nothing extra.
 * Otherwise it is a shuffle join.  Spark 4.1 plans each micro-batch of a
   stateless query adaptively, so AQE's skew join splits a hot key's partition
@@ -17,18 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from livetable.operators.joins import DEFAULT_BROADCAST_BYTES, table_bytes
+from livetable.operators.joins import fits_broadcast
 from livetable.streaming.sinks import start_query
 
 
-def fits_broadcast(static: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    size = table_bytes(static)
-    return size is not None and size <= max_bytes
-
-
 def stream_static_join(stream: DataFrame, static: DataFrame, on: str | list[str],
                        how: str = "inner",
-                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                       max_broadcast_bytes: int | None = None) -> DataFrame:
     """``stream.join(static, on, how)``, broadcasting ``static`` under the bound."""
     if fits_broadcast(static, max_broadcast_bytes):
         static = F.broadcast(static)
@@ -37,7 +33,7 @@ def stream_static_join(stream: DataFrame, static: DataFrame, on: str | list[str]
 
 def start_stream_static_join(stream: DataFrame, static: DataFrame, on: str | list[str],
                              path: str, checkpoint: str, how: str = "inner",
-                             max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                             max_broadcast_bytes: int | None = None,
                              trigger: dict | None = None) -> StreamingQuery:
     """Join ``stream`` with ``static`` and append the rows to a parquet file
     sink at ``path`` (exactly-once by the sink's log)."""
