@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from livetable import schemas
 from livetable.functions.ids import id_number, id_text, ids_to_text
 from livetable.functions.json import json_fields, parse_json, split_valid
 from livetable.functions.timefns import parse_event_line
