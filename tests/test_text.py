@@ -1,6 +1,5 @@
 """Edge rows of the text functions."""
 
-
 from livetable.functions.text import contains_text, lines_of, nonblank, split_words
 
 
