@@ -27,3 +27,20 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+TIME_KEYS = ["event_line_parse", "window_sliding_complete", "window_tumbling_daily",
+             "json_struct_parse", "json_extract_fields"]
+
+
+@pytest.mark.parametrize("name", TIME_KEYS)
+def test_time_keys_do_not_depend_on_session_zone(spark, name):
+    """A caller's session may use any zone, even one with clock changes."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, QUERIES[name], ORACLE[name], SF001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["cols_match"] and r["values_match"], r
+    assert r["spark_rows"] == r["oracle_rows"]
