@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
+from livetable.sources.files import batch_bytes
 from livetable.streaming.sinks import start_query
 
 
@@ -43,4 +44,6 @@ def read_batch_distinct(spark: SparkSession, path: str, df: DataFrame,
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     fields = [df.schema[c] for c in keys] + [StructField("batch_id", LongType(), True)]
-    return spark.readStream.schema(StructType(fields)).parquet(path).select(*keys)
+    return (spark.readStream.schema(StructType(fields))
+            .option("maxBytesPerTrigger", str(batch_bytes(spark)))
+            .parquet(path).select(*keys))
