@@ -121,6 +121,10 @@ ORACLE: dict[str, str] = {
         SELECT date_trunc('day', timestamp) AS window_start,
                date_trunc('day', timestamp) + INTERVAL 1 DAY AS window_end, word, count(*) AS "count"
         FROM ({_EVENT_WORDS}) GROUP BY 1, 2, 3''',
+    "window_tumbling_daily_stream": f'''
+        SELECT date_trunc('day', timestamp) AS window_start,
+               date_trunc('day', timestamp) + INTERVAL 1 DAY AS window_end, word, count(*) AS "count"
+        FROM ({_EVENT_WORDS}) GROUP BY 1, 2, 3''',
     "dedup_user_counts": '''
         SELECT userID, count(*) AS "count" FROM (
           SELECT DISTINCT CAST(user_id AS VARCHAR) AS userID, strftime(ts, '%Y-%m-%d') AS d, event_type

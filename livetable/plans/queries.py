@@ -255,6 +255,15 @@ def q_window_tumbling_daily(spark, base):
     return windowed_count(event_words(spark, base), "timestamp", "word", "1 day")
 
 
+def q_window_tumbling_daily_stream(spark, base):
+    """Counts per event day on a stream, whatever the arrival order: tumbling
+    one-day windows with a watermark, update mode, newest value per key."""
+    counts = windowed_count(event_words(spark, base, stream=True), "timestamp", "word",
+                            "1 day", watermark=WATERMARK)
+    path = _stream_to(spark, "window_tumbling_daily_stream", counts, "updates", "update")
+    return latest_updates(spark, path, ["window_start", "window_end", "word"], ["count"])
+
+
 def user_events(spark, base, stream=False) -> DataFrame:
     lines = nonblank(st.user_event_lines(st._src(spark, base, "events", stream)), "value")
     return json_fields(lines, {"eventTime": "$.eventTime", "eventType": "$.eventType",
@@ -431,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_sliding_update": q_window_sliding_update,
     "window_sliding_append": q_window_sliding_append,
     "window_tumbling_daily": q_window_tumbling_daily,
+    "window_tumbling_daily_stream": q_window_tumbling_daily_stream,
     "dedup_user_counts": q_dedup_user_counts,
     "dedup_user_counts_staged": q_dedup_user_counts_staged,
     "dedup_within_watermark": q_dedup_within_watermark,
