@@ -129,3 +129,32 @@ def test_event_windows_append_is_laid_out_per_day(spark, tmp):
     batch = windowed_count(Q.event_words(spark, SF0001), "timestamp", "word",
                            "1 hour", "30 minutes")
     assert set(_rows(got, cols)) <= set(_rows(batch, cols))
+
+
+def test_device_stats_and_etl_programs(spark, tmp):
+    """The IoT statistics program (SQL and DSL queries in one application)
+    and the Kafka ETL program give the rows of their batch keys."""
+    from livetable.functions.timefns import to_utc_instant
+    from livetable.sources.kafka import kafka_rows
+
+    iot_src = os.path.join(tmp, "iot")
+    st.iot_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(iot_src)
+    app = "iot_" + _run_id()
+    qs = apps.device_stats(spark, read_lines(spark, iot_src, stream=True), app=app,
+                           trigger=AVAILABLE_NOW)
+    assert len(qs) == 2
+    for q in qs:
+        q.awaitTermination()
+    for form in ("sql", "dsl"):
+        want = Q.QUERIES[f"iot_stats_{form}"](spark, SF0001)
+        got = spark.read.parquet(session.shared_dir(spark, "apps", app, form, "out"))
+        assert sorted(_rows(got, want.columns)) == sorted(_rows(want, want.columns)), form
+
+    ev = stream_table(spark, SF0001, "events")
+    records = kafka_rows(ev, st.call_log_line(), "stationTopic", F.col("event_id"),
+                         to_utc_instant("ts"))
+    app2 = "etl_" + _run_id()
+    apps.etl_filter(spark, records, "error", app=app2, trigger=AVAILABLE_NOW).awaitTermination()
+    got = spark.read.parquet(session.shared_dir(spark, "apps", app2, "filtered", "out"))
+    want = Q.QUERIES["etl_contains_filter"](spark, SF0001)
+    assert sorted(_rows(got, ["value"])) == sorted(_rows(want, ["value"])) and want.count() > 0
