@@ -20,8 +20,8 @@ from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
 from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
 from livetable.streaming.eventtime import dedup_counts, windowed_count
-from livetable.streaming.sinks import (foreach_batch_outputs, snapshot_path_writer,
-                                       start_query)
+from livetable.streaming.sinks import (drop_versions, foreach_batch_outputs, list_versions,
+                                       snapshot_path_writer, start_query)
 
 
 def _dirs(spark: SparkSession, app: str, name: str) -> tuple[str, str]:
@@ -148,31 +148,6 @@ def answer_stats(spark: SparkSession, json_lines: DataFrame, app: str = "answer_
     return qs
 
 
-def _fs_versions(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids of the ``v=<n>`` folders under ``root`` (driver-side listing
-    of folder names only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def _drop_versions(spark: SparkSession, root: str, keep_from: int) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for v in _fs_versions(spark, root):
-        if v < keep_from:
-            p = jvm.org.apache.hadoop.fs.Path(f"{root}/v={v}")
-            p.getFileSystem(conf).delete(p, True)
-
-
 # Per statistic: batch partial aggregate, merge of (previous state + partial),
 # and the top-10 read from the merged state.  Counts add up and minimums take
 # the minimum, so merging partials equals aggregating all rows.
@@ -218,7 +193,8 @@ def answer_stats_per_batch(spark: SparkSession, json_lines: DataFrame,
     version ``v=<batch_id>`` = previous version merged with the batch's
     partial aggregate (work per batch grows with the batch and the number of
     keys, not with history); a replayed batch rewrites its own version.  The
-    four top-10 tables are snapshots of the newest version.
+    four top-10 tables are snapshots of the newest version (read them with
+    ``streaming.sinks.read_snapshot``).
     """
     d = session.shared_dir(spark, "apps", app)
     parsed = parse_json(json_lines, raw=True)
@@ -236,7 +212,7 @@ def answer_stats_per_batch(spark: SparkSession, json_lines: DataFrame,
         state = {}
         for name, (keys, partial, merge) in _merges().items():
             root = f"{d}/state_{name}"
-            prev = [v for v in _fs_versions(spark, root) if v < batch_id]
+            prev = [v for v in list_versions(spark, root, committed=True) if v < batch_id]
             part = partial(good)
             if prev:
                 old = spark.read.parquet(f"{root}/v={prev[-1]}")
@@ -244,7 +220,7 @@ def answer_stats_per_batch(spark: SparkSession, json_lines: DataFrame,
             part.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
             state[name] = spark.read.parquet(f"{root}/v={batch_id}")
             if prev:
-                _drop_versions(spark, root, prev[-1])
+                drop_versions(spark, root, prev[-1])
         for name, df in _tops(state).items():
             snapshot_path_writer(f"{d}/{name}")(df, batch_id)
 

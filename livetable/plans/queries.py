@@ -29,7 +29,8 @@ from livetable.sources.files import batch_bytes, read_delimited, read_json_lines
 from livetable.sources.kafka import kafka_rows, kafka_value
 from livetable.streaming.eventtime import dedup_counts, dedup_within, windowed_count
 from livetable.streaming.joins import read_join_output, start_stream_static_join
-from livetable.streaming.sinks import latest_updates, run_available_now, wait_query
+from livetable.streaming.sinks import (latest_updates, read_snapshot, run_available_now,
+                                       wait_query)
 
 # Parameters of the event-time keys (window length, slide, watermark delay).
 WINDOW_LENGTH = "1 hour"
@@ -71,7 +72,7 @@ def q_wordcount_sql(spark, base):
         GROUP BY value
         ORDER BY counts DESC, value""")
     run_available_now(counts, "snapshot", f"{d}/checkpoint", "complete", path=f"{d}/out")
-    return spark.read.parquet(f"{d}/out")
+    return read_snapshot(spark, f"{d}/out")
 
 
 def q_wordcount_stream_memory(spark, base, n: int = 100):
@@ -99,7 +100,7 @@ def q_foreach_batch_snapshot(spark, base, n: int = 1000):
 
     fn = foreach_batch_outputs([write_full, write_top])
     run_available_now(counts, "foreach_batch", f"{d}/checkpoint", "complete", batch_fn=fn)
-    return spark.read.parquet(full)
+    return read_snapshot(spark, full)
 
 
 def q_split_words_append(spark, base):
@@ -217,8 +218,8 @@ def q_top10_questions_stream(spark, base):
     """Top-10 questions as a live query: complete mode, snapshot sink."""
     c = agg.count_by(st.answers(spark, base, stream=True), "question_id", "count")
     top = agg.top_n(c, [F.desc("count"), F.asc("question_id")], 10)
-    return spark.read.parquet(_stream_to(spark, "top10_questions_stream", top,
-                                         "snapshot", "complete"))
+    return read_snapshot(spark, _stream_to(spark, "top10_questions_stream", top,
+                                           "snapshot", "complete"))
 
 
 # --- event time -----------------------------------------------------------
@@ -236,8 +237,8 @@ def _sliding(spark, base, stream=True):
 
 
 def q_window_sliding_complete(spark, base):
-    return spark.read.parquet(_stream_to(spark, "window_sliding_complete",
-                                         _sliding(spark, base), "snapshot", "complete"))
+    return read_snapshot(spark, _stream_to(spark, "window_sliding_complete",
+                                           _sliding(spark, base), "snapshot", "complete"))
 
 
 def q_window_sliding_update(spark, base):
@@ -273,8 +274,8 @@ def user_events(spark, base, stream=False) -> DataFrame:
 def q_dedup_user_counts(spark, base):
     res = dedup_counts(user_events(spark, base, stream=True),
                        ["userID", "eventTime", "eventType"], "userID")
-    return spark.read.parquet(_stream_to(spark, "dedup_user_counts", res,
-                                         "snapshot", "complete"))
+    return read_snapshot(spark, _stream_to(spark, "dedup_user_counts", res,
+                                           "snapshot", "complete"))
 
 
 def q_dedup_user_counts_staged(spark, base):
@@ -288,7 +289,7 @@ def q_dedup_user_counts_staged(spark, base):
                          trigger={"availableNow": True}).awaitTermination()
     stage2 = dedup_counts(read_batch_distinct(spark, f"{d}/distinct", ue, keys), keys, "userID")
     run_available_now(stage2, "snapshot", f"{d}/checkpoint2", "complete", path=f"{d}/out")
-    return spark.read.parquet(f"{d}/out")
+    return read_snapshot(spark, f"{d}/out")
 
 
 def q_dedup_within_watermark(spark, base):

@@ -1,8 +1,12 @@
 """Starting streaming queries and the sinks we use.
 
 * ``parquet`` (append mode): Spark's file sink, exactly-once by its own log.
-* ``snapshot`` (complete mode): each batch's full result overwrites a parquet
-  table via ``foreachBatch``; a replayed batch rewrites the same snapshot.
+* ``snapshot`` (complete mode): each batch's full result is written via
+  ``foreachBatch`` as version ``v=<batch_id>``; a replayed batch rewrites its
+  own version.  :func:`read_snapshot` reads the newest version whose write
+  committed (``_SUCCESS``), so a reader never sees a half-written snapshot
+  and a failed write leaves the previous version readable.  Versions older
+  than the previous committed one are removed.
 * ``updates`` (update mode): each batch's changed rows are written under
   ``batch_id=<n>`` with dynamic partition overwrite, so a replay replaces its
   own partition; :func:`latest_updates` gives the current value per key.
@@ -23,9 +27,53 @@ from pyspark.sql.streaming import StreamingQuery
 from livetable.operators.registry import latest_per_key
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_versions(spark: SparkSession, root: str, committed: bool = False) -> list[int]:
+    """Batch ids of the ``v=<n>`` folders under ``root``, ascending (a
+    driver-side listing of folder names); ``committed`` keeps only those
+    whose write finished (``_SUCCESS``)."""
+    path, fs = _fs(spark, root)
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v="):
+            if committed and not fs.exists(st.getPath().suffix("/_SUCCESS")):
+                continue
+            out.append(int(name[2:]))
+    return sorted(out)
+
+
+def drop_versions(spark: SparkSession, root: str, below: int) -> None:
+    """Remove the ``v=<n>`` folders with ``n < below``."""
+    for v in list_versions(spark, root):
+        if v < below:
+            p, fs = _fs(spark, f"{root}/v={v}")
+            fs.delete(p, True)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version written by the ``snapshot`` sink."""
+    done = list_versions(spark, path, committed=True)
+    if not done:
+        raise FileNotFoundError(f"no committed snapshot under {path}")
+    return spark.read.parquet(f"{path}/v={done[-1]}")
+
+
 def _snapshot_writer(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        # Keep this version and the committed one before it (a reader may
+        # still be on it); older ones, and unfinished earlier attempts, go.
+        before = [v for v in list_versions(spark, path, committed=True) if v < batch_id]
+        drop_versions(spark, path, before[-1] if before else batch_id)
     return write
 
 
@@ -165,7 +213,8 @@ def jdbc_append_idempotent(spark: SparkSession, df: DataFrame, batch_id: int,
 
 
 def snapshot_path_writer(path: str):
-    """``foreachBatch`` output: overwrite ``path`` with the batch."""
+    """``foreachBatch`` output: the batch as snapshot version ``v=<batch_id>``
+    of ``path`` (read it with :func:`read_snapshot`)."""
     return _snapshot_writer(path)
 
 
@@ -174,6 +223,7 @@ def updates_path_writer(path: str):
     return _updates_writer(path)
 
 
-__all__ = ["start_query", "run_available_now", "wait_query", "latest_updates",
+__all__ = ["start_query", "run_available_now", "wait_query", "read_snapshot",
+           "list_versions", "drop_versions", "latest_updates",
            "foreach_batch_outputs", "jdbc_snapshot", "jdbc_append_idempotent",
            "snapshot_path_writer", "updates_path_writer", "latest_per_key"]

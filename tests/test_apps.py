@@ -9,6 +9,7 @@ from livetable import session
 from livetable.plans import apps, queries as Q, standins as st
 from livetable.sources.files import read_lines, stream_table
 from livetable.streaming.eventtime import windowed_count
+from livetable.streaming.sinks import read_snapshot
 
 from conftest import SF0001
 
@@ -35,7 +36,7 @@ def test_answer_stats_four_queries_and_per_batch_form(spark, tmp):
                 ["top10_questions", "top10_grades", "top10_questions_with_subject",
                  "lowest_score_students"]}
     for k, df in expected.items():
-        got = spark.read.parquet(f"{base}/{k}/out")
+        got = read_snapshot(spark, f"{base}/{k}/out")
         assert sorted(_rows(got, df.columns)) == sorted(_rows(df, df.columns)), k
 
     # One read, one parse, state merged batch by batch (several batches).
@@ -50,7 +51,7 @@ def test_answer_stats_four_queries_and_per_batch_form(spark, tmp):
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     base2 = session.shared_dir(spark, "apps", app2)
     for k, df in expected.items():
-        got = spark.read.parquet(f"{base2}/{k}")
+        got = read_snapshot(spark, f"{base2}/{k}")
         assert sorted(_rows(got, df.columns)) == sorted(_rows(df, df.columns)), k
     assert spark.read.parquet(f"{base2}/answers").count() == st.answers(spark, SF0001).count()
 
@@ -61,7 +62,7 @@ def test_word_count_and_windows_apps(spark, tmp):
     app = "wc_" + _run_id()
     apps.word_count(spark, read_lines(spark, docs, stream=True), app=app,
                     trigger=AVAILABLE_NOW).awaitTermination()
-    got = spark.read.parquet(session.shared_dir(spark, "apps", app, "counts", "out"))
+    got = read_snapshot(spark, session.shared_dir(spark, "apps", app, "counts", "out"))
     want = Q.QUERIES["wordcount_dsl"](spark, SF0001)
     assert sorted(_rows(got, ["word", "count"])) == sorted(_rows(want, ["word", "count"]))
 
@@ -71,7 +72,7 @@ def test_word_count_and_windows_apps(spark, tmp):
     app2 = "win_" + _run_id()
     apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
                        "10 minutes", "complete", app=app2, trigger=AVAILABLE_NOW).awaitTermination()
-    got = spark.read.parquet(session.shared_dir(spark, "apps", app2, "complete", "out"))
+    got = read_snapshot(spark, session.shared_dir(spark, "apps", app2, "complete", "out"))
     assert got.count() > 0 and got.agg(F.sum("count")).first()[0] == 2 * spark.read.parquet(
         f"{SF0001}/events.parquet").count()
 
@@ -105,7 +106,7 @@ def test_user_dedup_both_forms(spark, tmp):
         qs = fn(spark, read_lines(spark, src, stream=True), app=app, trigger=AVAILABLE_NOW)
         for q in (qs if isinstance(qs, list) else [qs]):
             q.awaitTermination()
-        got = spark.read.parquet(session.shared_dir(spark, "apps", app, "counts", "out"))
+        got = read_snapshot(spark, session.shared_dir(spark, "apps", app, "counts", "out"))
         assert sorted(_rows(got, ["userID", "count"])) == want and want
 
 
@@ -147,7 +148,7 @@ def test_device_stats_and_etl_programs(spark, tmp):
         q.awaitTermination()
     for form in ("sql", "dsl"):
         want = Q.QUERIES[f"iot_stats_{form}"](spark, SF0001)
-        got = spark.read.parquet(session.shared_dir(spark, "apps", app, form, "out"))
+        got = read_snapshot(spark, session.shared_dir(spark, "apps", app, form, "out"))
         assert sorted(_rows(got, want.columns)) == sorted(_rows(want, want.columns)), form
 
     ev = stream_table(spark, SF0001, "events")

@@ -14,7 +14,7 @@ from livetable.operators.ranking import lowest_items_per_key
 from livetable.streaming.dedup import read_batch_distinct, start_batch_distinct
 from livetable.streaming.eventtime import dedup_counts
 from livetable.streaming.joins import read_join_output, start_stream_static_join
-from livetable.streaming.sinks import run_available_now, start_query, wait_query
+from livetable.streaming.sinks import read_snapshot, run_available_now, start_query, wait_query
 
 HOT = "学生ID_1"
 
@@ -137,7 +137,7 @@ def test_staged_dedup_with_hot_group_and_replay(spark, tmp):
                       path=os.path.join(tmp, "out"))
     direct = dedup_counts(spark.read.schema(schema).option("recursiveFileLookup", "true")
                           .json(src), keys, "userID")
-    got = sorted(map(tuple, spark.read.parquet(os.path.join(tmp, "out")).collect()))
+    got = sorted(map(tuple, read_snapshot(spark, os.path.join(tmp, "out")).collect()))
     assert got == sorted(map(tuple, direct.collect()))
     assert dict(got)["u_hot"] == 1
 

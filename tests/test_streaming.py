@@ -15,8 +15,8 @@ from livetable.plans import queries as Q
 from livetable.sources.files import read_lines, read_table, stream_table
 from livetable.sources.generators import read_rate
 from livetable.streaming.eventtime import dedup_counts, windowed_count
-from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates,
-                                       run_available_now, snapshot_path_writer,
+from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates, list_versions,
+                                       read_snapshot, run_available_now, snapshot_path_writer,
                                        start_query, updates_path_writer)
 
 from conftest import SF0001
@@ -144,7 +144,7 @@ def test_checkpoint_restart_keeps_state(spark, tmp):
     def run():
         counts = count_by(split_words(read_lines(spark, src, stream=True)), "word")
         run_available_now(counts, "snapshot", ck, "complete", path=out)
-        return {r["word"]: r["count"] for r in spark.read.parquet(out).collect()}
+        return {r["word"]: r["count"] for r in read_snapshot(spark, out).collect()}
 
     with open(os.path.join(src, "1.txt"), "w") as f:
         f.write("hello me you her\nhello her\n")
@@ -163,8 +163,15 @@ def test_sinks_are_idempotent_on_replay(spark, tmp):
         w_up(df, 0)
         w_snap(df, 0)
     w_up(spark.createDataFrame([("a", 5)], "k string, v int"), 1)
-    assert spark.read.parquet(snap).count() == 2
+    assert read_snapshot(spark, snap).count() == 2
     assert spark.read.parquet(up).count() == 3
+    # Snapshot versions: the newest committed one is read; the committed one
+    # before it stays for readers still on it; older ones are removed.
+    w_snap(spark.createDataFrame([("c", 3)], "k string, v int"), 1)
+    assert [r.k for r in read_snapshot(spark, snap).collect()] == ["c"]
+    assert list_versions(spark, snap) == [0, 1]
+    w_snap(spark.createDataFrame([("d", 4)], "k string, v int"), 2)
+    assert list_versions(spark, snap, committed=True) == [1, 2]
     latest = {r["k"]: r["v"] for r in latest_updates(spark, up, ["k"], ["v"]).collect()}
     assert latest == {"a": 5, "b": 2}
 
@@ -202,7 +209,7 @@ def test_batch_equals_stream(spark, tmp):
     run_available_now(stream, "snapshot", os.path.join(tmp, "ck"), "complete",
                       path=os.path.join(tmp, "out"))
     a = sorted(tuple(r) for r in batch.collect())
-    b = sorted(tuple(r) for r in spark.read.parquet(os.path.join(tmp, "out"))
+    b = sorted(tuple(r) for r in read_snapshot(spark, os.path.join(tmp, "out"))
                .select(*batch.columns).collect())
     assert a == b and len(a) > 0
 
@@ -212,7 +219,7 @@ def test_batch_equals_stream(spark, tmp):
     run_available_now(ue_s, "snapshot", os.path.join(tmp, "ck2"), "complete",
                       path=os.path.join(tmp, "out2"))
     assert sorted(map(tuple, ue_b.collect())) == \
-        sorted(map(tuple, spark.read.parquet(os.path.join(tmp, "out2")).collect()))
+        sorted(map(tuple, read_snapshot(spark, os.path.join(tmp, "out2")).collect()))
 
 
 def test_console_sink_and_fixed_interval_trigger(spark, tmp, capfd):
