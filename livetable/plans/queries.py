@@ -92,11 +92,10 @@ def q_foreach_batch_snapshot(spark, base, n: int = 1000):
     counts = agg.count_by(words(spark, base, stream=True), "word", "count")
     d = _run_dir(spark, "foreach_batch_snapshot")
     full, top = f"{d}/full", f"{d}/top"
-    write_full = snapshot_path_writer(full)
+    write_full, top_writer = snapshot_path_writer(full), snapshot_path_writer(top)
 
     def write_top(batch, batch_id):
-        batch.orderBy(F.desc("count"), F.asc("word")).limit(n) \
-            .write.mode("overwrite").parquet(top)
+        top_writer(batch.orderBy(F.desc("count"), F.asc("word")).limit(n), batch_id)
 
     fn = foreach_batch_outputs([write_full, write_top])
     run_available_now(counts, "foreach_batch", f"{d}/checkpoint", "complete", batch_fn=fn)
