@@ -1,0 +1,58 @@
+"""Property tests: the text functions follow the JVM rules on random input.
+
+Each example sends a batch of strings through one Spark job and compares with
+a plain-Python statement of the rule.
+"""
+
+from hypothesis import given, settings
+from hypothesis import strategies as hs
+from pyspark.sql import functions as F
+
+from livetable.functions.text import is_not_blank, words_array
+
+# The rule of a JVM ``line.split(" ")``: split on each blank, drop trailing
+# empty strings; a line without any blank (the empty line too) is kept whole.
+def jvm_split_blank(line: str) -> list[str]:
+    if " " not in line:
+        return [line]
+    parts = line.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+# The JVM's Character.isWhitespace set, as in functions.text:
+# \t \n \x0B \f \r, \x1C-\x1F, space, U+1680, U+2000-U+2006, U+2008-U+200A,
+# U+2028, U+2029, U+205F, U+3000.
+JVM_WHITESPACE = (set("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680")
+                  | {chr(c) for c in range(0x2000, 0x2007)}
+                  | {chr(c) for c in range(0x2008, 0x200B)}
+                  | set("\u2028\u2029\u205f\u3000"))
+
+
+def jvm_not_blank(line: str | None) -> bool:
+    return line is not None and any(ch not in JVM_WHITESPACE for ch in line)
+
+
+LINES = hs.lists(hs.text(alphabet="ab \t", max_size=8), min_size=1, max_size=40)
+BLANKISH = hs.lists(hs.one_of(hs.none(), hs.text(
+    alphabet="a \t\n\x0b\x0c\r\x1c\u00a0\u1680\u2000\u2007\u200a\u200b\u2028\u202f"
+             "\u205f\u3000",
+    max_size=5)), min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(lines=LINES)
+def test_word_split_matches_jvm_rule(spark, lines):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, value string")
+    got = {r.i: list(r.w) for r in df.select("i", words_array("value").alias("w")).collect()}
+    assert got == {i: jvm_split_blank(s) for i, s in enumerate(lines)}
+
+
+@settings(max_examples=15, deadline=None)
+@given(lines=BLANKISH)
+def test_not_blank_matches_jvm_whitespace(spark, lines):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, value string")
+    got = {r.i: r.ok for r in df.select("i", F.coalesce(is_not_blank("value"), F.lit(False))
+                                        .alias("ok")).collect()}
+    assert got == {i: jvm_not_blank(s) for i, s in enumerate(lines)}
