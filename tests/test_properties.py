@@ -56,3 +56,22 @@ def test_not_blank_matches_jvm_whitespace(spark, lines):
     got = {r.i: r.ok for r in df.select("i", F.coalesce(is_not_blank("value"), F.lit(False))
                                         .alias("ok")).collect()}
     assert got == {i: jvm_not_blank(s) for i, s in enumerate(lines)}
+
+
+@settings(max_examples=15, deadline=None)
+@given(data=hs.data())
+def test_missing_ids_match_set_difference(spark, data):
+    """XOR finds a single missing id whatever the repeats; the anti join
+    returns exactly the missing set of any subset."""
+    from livetable.operators.integrity import missing_id_xor, missing_ids
+    n = data.draw(hs.integers(2, 300))
+    gone = data.draw(hs.integers(1, n))
+    ids = [i for i in range(1, n + 1) if i != gone]
+    ids += data.draw(hs.lists(hs.sampled_from(ids), max_size=30))  # repeats
+    one = missing_id_xor(spark.createDataFrame([(i,) for i in ids], "id long"), "id",
+                         lo=1, hi=n).first()
+    assert one["n_missing"] == 1 and one["missing_id"] == gone
+    keep = data.draw(hs.sets(hs.integers(1, n), max_size=n))
+    df = spark.createDataFrame([(i,) for i in sorted(keep)] or [(None,)], "id long")
+    got = {r.missing_id for r in missing_ids(spark, df, "id", 1, n).collect()}
+    assert got == set(range(1, n + 1)) - keep
