@@ -75,3 +75,23 @@ def test_missing_ids_match_set_difference(spark, data):
     df = spark.createDataFrame([(i,) for i in sorted(keep)] or [(None,)], "id long")
     got = {r.missing_id for r in missing_ids(spark, df, "id", 1, n).collect()}
     assert got == set(range(1, n + 1)) - keep
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=hs.lists(hs.tuples(hs.one_of(hs.none(), hs.integers(0, 12)),
+                               hs.one_of(hs.none(), hs.sampled_from("pqrs"))),
+                     min_size=1, max_size=80))
+def test_top_n_with_attr_two_level_equals_definition(spark, rows):
+    """Counting per (key, attribute) first gives the single-step result:
+    count of non-null keys and the smallest attribute per key, top 5 by count
+    with ties by key (nulls first)."""
+    from livetable.operators.aggregate import top_n_with_attr
+    df = spark.createDataFrame(rows, "k int, a string")
+    got = [tuple(r) for r in top_n_with_attr(df, "k", "a", 5).collect()]
+    groups: dict = {}
+    for k, a in rows:
+        n, m = groups.get(k, (0, None))
+        groups[k] = (n + (k is not None), a if m is None or (a is not None and a < m) else m)
+    want = sorted(((k, m, n) for k, (n, m) in groups.items()),
+                  key=lambda t: (-t[2], t[0] is not None, t[0] if t[0] is not None else 0))[:5]
+    assert got == want
