@@ -95,3 +95,40 @@ def test_top_n_with_attr_two_level_equals_definition(spark, rows):
     want = sorted(((k, m, n) for k, (n, m) in groups.items()),
                   key=lambda t: (-t[2], t[0] is not None, t[0] if t[0] is not None else 0))[:5]
     assert got == want
+
+
+ANSWER_ROWS = hs.lists(hs.tuples(hs.sampled_from(["s1", "s2", "s3"]),
+                                 hs.sampled_from(["q1", "q2", "q3", "q4", "q5"]),
+                                 hs.one_of(hs.none(), hs.integers(0, 10))),
+                       min_size=1, max_size=60)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=ANSWER_ROWS)
+def test_lowest_items_and_lowest_by_equal_definitions(spark, rows):
+    """Per student: the 3 questions with the lowest minimum score (ties by
+    question); and the students with the lowest minimum, each with the
+    question of that minimum (ties by question), ties between students by id."""
+    from livetable.operators.aggregate import lowest_by
+    from livetable.operators.ranking import lowest_items_per_key
+    df = spark.createDataFrame(rows, "student string, question string, score int")
+
+    per = {}
+    for s, q, v in rows:
+        if v is not None:
+            per[(s, q)] = min(v, per.get((s, q), v))
+    want_items = []
+    for s in sorted({s for s, _ in per}):
+        ranked = sorted((v, q) for (t, q), v in per.items() if t == s)[:3]
+        want_items += [(s, q, v, i + 1) for i, (v, q) in enumerate(ranked)]
+    got_items = sorted(tuple(r) for r in lowest_items_per_key(
+        df, "student", "question", "score", k=3).select(
+        "student", "question", "score", "rank").collect())
+    assert got_items == sorted(want_items)
+
+    best = {}
+    for (s, q), v in per.items():
+        best[s] = min(best.get(s, (v, q)), (v, q))
+    want_low = sorted(((s, v, q) for s, (v, q) in best.items()), key=lambda t: (t[1], t[0]))[:2]
+    got_low = [tuple(r) for r in lowest_by(df, "student", "score", "question", 2).collect()]
+    assert got_low == want_low
