@@ -132,3 +132,36 @@ def test_lowest_items_and_lowest_by_equal_definitions(spark, rows):
     want_low = sorted(((s, v, q) for s, (v, q) in best.items()), key=lambda t: (t[1], t[0]))[:2]
     got_low = [tuple(r) for r in lowest_by(df, "student", "score", "question", 2).collect()]
     assert got_low == want_low
+
+
+@settings(max_examples=15, deadline=None)
+@given(events=hs.lists(hs.tuples(hs.integers(0, 3 * 86400 - 1), hs.sampled_from("xyz")),
+                       min_size=1, max_size=60))
+def test_sliding_window_counts_equal_definition(spark, events):
+    """10-minute windows every 5 minutes: an event at t counts in the windows
+    starting at floor(t / 5 min) * 5 min and 5 minutes before that, in any
+    session zone."""
+    import datetime as dt
+
+    from livetable.streaming.eventtime import windowed_count
+    base = dt.datetime(2024, 3, 30)  # spans the 2024-03-31 clock change in Europe
+    rows = [(base + dt.timedelta(seconds=s), w) for s, w in events]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, word string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    results = []
+    try:
+        for zone in ("UTC", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            results.append({(r.window_start, r.window_end, r.word): r["count"] for r in
+                            windowed_count(df, "ts", "word", "10 minutes", "5 minutes").collect()})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    got = results[0]
+    assert results[1] == got
+    want: dict = {}
+    for s, w in events:
+        first = s - s % 300
+        for start in (first, first - 300):
+            k = (base + dt.timedelta(seconds=start), base + dt.timedelta(seconds=start + 600), w)
+            want[k] = want.get(k, 0) + 1
+    assert got == want
