@@ -165,3 +165,37 @@ def test_sliding_window_counts_equal_definition(spark, events):
             k = (base + dt.timedelta(seconds=start), base + dt.timedelta(seconds=start + 600), w)
             want[k] = want.get(k, 0) + 1
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=hs.lists(hs.tuples(hs.integers(0, 5), hs.sampled_from([1.0, 2.0, 3.0])),
+                     min_size=1, max_size=80))
+def test_rmse_vs_group_mean_equals_definition(spark, rows):
+    """sqrt(mean((x - mean of its group)^2)) from per-group sums only."""
+    import math
+
+    from livetable.operators.aggregate import rmse_vs_group_mean
+    df = spark.createDataFrame(rows, "g int, x double")
+    r = rmse_vs_group_mean(df, "g", "x", digits=None).first()
+    groups: dict = {}
+    for g, x in rows:
+        groups.setdefault(g, []).append(x)
+    sse = sum((x - sum(v) / len(v)) ** 2 for v in groups.values() for x in v)
+    assert r["n"] == len(rows)
+    assert math.isclose(r["rmse"], math.sqrt(sse / len(rows)), rel_tol=1e-9, abs_tol=1e-9)
+
+
+@settings(max_examples=15, deadline=None)
+@given(pairs=hs.lists(hs.tuples(hs.integers(-10**6, 10**6), hs.integers(0, 10**6)),
+                      min_size=1, max_size=50))
+def test_hash_bucket_is_plain_md5(spark, pairs):
+    """The split bucket is md5("seed:a:b"), first 32 bits, mod 10: the same
+    rows land in the same split in any engine."""
+    import hashlib
+
+    from livetable.operators.split import hash_bucket
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r.bkt for r in df.select(hash_bucket("a", "b", buckets=10, seed=11)
+                                    .alias("bkt")).collect()]
+    want = [int(hashlib.md5(f"11:{a}:{b}".encode()).hexdigest()[:8], 16) % 10 for a, b in pairs]
+    assert got == want
