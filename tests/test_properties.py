@@ -199,3 +199,27 @@ def test_hash_bucket_is_plain_md5(spark, pairs):
                                     .alias("bkt")).collect()]
     want = [int(hashlib.md5(f"11:{a}:{b}".encode()).hexdigest()[:8], 16) % 10 for a, b in pairs]
     assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=hs.lists(hs.tuples(hs.sampled_from(["kafka", "mysql", "redis"]),
+                               hs.one_of(hs.none(), hs.sampled_from(["d1", "d2"])),
+                               hs.one_of(hs.none(), hs.integers(0, 60).map(float))),
+                     min_size=1, max_size=60))
+def test_filtered_stats_count_forms(spark, rows):
+    """Per type over signals above 30: rows counted (SQL ``count(*)``) or
+    non-null device ids counted (DSL ``count(device)``), and the average."""
+    from livetable.operators.aggregate import filtered_stats
+    df = spark.createDataFrame(rows, "t string, device string, signal double")
+    cond = F.col("signal") > 30
+    rows_form = {r.t: (r.counts, r.avgsignal) for r in
+                 filtered_stats(df, cond, "t", "signal").collect()}
+    dev_form = {r.t: (r.counts, r.avgsignal) for r in
+                filtered_stats(df, cond, "t", "signal", count_col="device").collect()}
+    kept = [(t, d, s) for t, d, s in rows if s is not None and s > 30]
+    for t in {t for t, _, _ in kept}:
+        sig = [s for u, _, s in kept if u == t]
+        avg = round(sum(sig) / len(sig), 6)
+        assert rows_form[t] == (len(sig), avg)
+        assert dev_form[t] == (sum(1 for u, d, _ in kept if u == t and d is not None), avg)
+    assert set(rows_form) == set(dev_form) == {t for t, _, _ in kept}
