@@ -36,7 +36,12 @@ def epoch_millis(c) -> Column:
     return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), _c(c))
 
 
-def parse_event_line(c, fmt: str = "yyyy-MM-dd HH:mm:ss") -> tuple[Column, Column]:
+# The JVM's ``Timestamp.valueOf`` text: one- or two-digit month, day and time
+# fields, optional fraction of up to nine digits.
+EVENT_TS_FORMAT = "yyyy-M-d H:m:s[.SSSSSSSSS]"
+
+
+def parse_event_line(c, fmt: str = EVENT_TS_FORMAT) -> tuple[Column, Column]:
     """``"<timestamp>,<word>"`` -> (timestamp_ntz or null, word or null)."""
     parts = F.split(F.trim(_c(c)), ",", -1)
     ts = F.try_to_timestamp(F.get(parts, 0), F.lit(fmt))

@@ -54,9 +54,14 @@ def test_ids_to_text_keeps_rank_order(spark):
 
 def test_event_line_bad_rows(spark):
     rows = [("2019-10-10 12:00:07,dog",), (" 2019-10-10 12:00:08,owl ",), ("garbage",),
-            ("2019-13-45 99:00:00,cat",), ("2019-10-10 12:00:09",)]
+            ("2019-13-45 99:00:00,cat",), ("2019-10-10 12:00:09",),
+            # Timestamp.valueOf also takes a fraction and one-digit fields
+            ("2019-10-10 12:00:07.25,fox",), ("2019-1-5 2:03:04,elk",),
+            ("2019-10-10 12:00,yak",), ("2019-10-10 12:00:07.1234567891,emu",)]
     df = spark.createDataFrame(rows, "value string")
     ts, word = parse_event_line("value")
     got = [(str(r[0]) if r[0] else None, r[1]) for r in df.select(ts, word).collect()]
     assert got == [("2019-10-10 12:00:07", "dog"), ("2019-10-10 12:00:08", "owl"),
-                   (None, None), (None, "cat"), ("2019-10-10 12:00:09", None)]
+                   (None, None), (None, "cat"), ("2019-10-10 12:00:09", None),
+                   ("2019-10-10 12:00:07.250000", "fox"), ("2019-01-05 02:03:04", "elk"),
+                   (None, "yak"), (None, "emu")]
