@@ -39,9 +39,12 @@ def test_json_fields_try_cast(spark):
 
 
 def test_id_number_and_text(spark):
-    df = spark.createDataFrame([("学生ID_31",), ("科目ID_2_语文",), ("noid",), ("x_abc",)], "s string")
+    df = spark.createDataFrame([("学生ID_31",), ("科目ID_2_语文",), ("noid",), ("x_abc",),
+                                ("q_ 5",), ("q_5 ",), ("q_5.0",), ("q_+5",), ("q_-5",),
+                                ("q_05",), ("q_2147483648",), ("a__5",), ("a_5_",)], "s string")
     got = [r[0] for r in df.select(id_number("s")).collect()]
-    assert got == [31, 2, None, None]
+    # As the JVM's integer parse: no blanks, no decimals, sign allowed, range checked.
+    assert got == [31, 2, None, None, None, None, None, 5, -5, 5, None, None, 5]
     assert df.select(id_text("题目ID_", F.lit(5))).first()[0] == "题目ID_5"
 
 
