@@ -5,18 +5,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import byte_bpe
+from .decontaminate import contamination
 from .minhash_dedup import near_duplicates
-from .store import read
+from .phrase_dedup import repeated_phrases
+from .store import read, ship
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _words_in(spans: str):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), size=2, percent=80)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    hit = _words_in("spans")
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY, decode=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeated_phrases(read(spark, sf_dir, "documents", "doc_id", "text"), joined=True)
+    return kept.select("doc_id", "n_words", _words_in("spans").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash_dedup": op1_minhash_dedup,
+    f.__name__: _shipped(f) for f in (
+        op1_minhash_dedup, op5_benchmark_decontamination, op6_byte_bpe, op8_substring_dedup)
 }
 
 SQL: dict[str, str] = {}

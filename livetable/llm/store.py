@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from livetable.session import _checkpoint_root
@@ -25,3 +29,22 @@ def shard_count(docs: DataFrame, text: str, shard_bytes: int) -> int:
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code (once per session), for drivers whose
+    PYTHONPATH they do not share."""
+    sc = spark.sparkContext
+    if getattr(sc, "_livetable_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(package):
+        path = os.path.join(tempfile.mkdtemp(prefix="livetable-code-"), "livetable_code.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(path)
+    sc._livetable_shipped = True
