@@ -271,22 +271,27 @@ def _run(source, decode: bool):
             data, offsets = column_bytes(batch.column("text"))
             for i, j in pieces(offsets, BATCH_BYTES):
                 ids, cut = encode_texts(data, offsets, i, j, tools["encoder"])
-                cols = [batch.column("doc_id").slice(i, j - i),
-                        pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids))]
+                names = [c for c in batch.schema.names if c != "text"]
+                cols = [batch.column(c).slice(i, j - i) for c in names]
+                cols.append(pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids)))
                 if decode:
                     raw, at = tools["decoder"].decode(ids, cut)
                     cols.append(pa.LargeBinaryArray.from_buffers(
                         pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]
                     ).cast(pa.binary()))
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "decoded"][:len(cols)])
+                yield pa.RecordBatch.from_arrays(cols, names=names + ["ids", "decoded"][:len(cols) - len(names)])
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", decode: bool = False) -> DataFrame:
-    """(doc_id, ids array<int>) of every row, and with ``decode`` the bytes that the
-    ids decode to (decoded binary).  ``vocabulary``: path of a rank file."""
+def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", decode: bool = False,
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *carry, ids array<int>) of every row, and with ``decode`` the bytes that
+    the ids decode to (decoded binary).  ``vocabulary``: path of a rank file."""
     ranks = load_ranks(vocabulary)
     source = docs.sparkSession.sparkContext.broadcast(ranks)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_run(source, decode), f"doc_id {kind}, ids array<int>" + ", decoded binary" * decode)
+    names = {c: f"carry_{k}" for k, c in enumerate(carry)}
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(c).alias(a) for c, a in names.items()],
+                       F.col(text).cast("string").alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    out = rows.mapInArrow(_run(source, decode), f"{kinds}, ids array<int>" + ", decoded binary" * decode)
+    return out.select("doc_id", *[F.col(a).alias(c) for c, a in names.items()], "ids", *["decoded"] * decode)

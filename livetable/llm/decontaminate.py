@@ -129,7 +129,7 @@ def _search(source, keep_text: bool, clean: bool):
                 for d in range(j - i):
                     a, b = int(w.first[d]), int(w.first[d + 1])
                     got = (n[d] > 0 and touched[d] > 0)
-                    names = {p["ids"][k] for k in owners[own[d]:own[d + 1], 1].tolist()} - {None}
+                    found = {p["ids"][k] for k in owners[own[d]:own[d + 1], 1].tolist()} - {None}
                     before = olds[d].as_py() or []
                     if got or before:
                         here = hit[a:b].copy()
@@ -141,14 +141,15 @@ def _search(source, keep_text: bool, clean: bool):
                                       for f, l in zip(x, y)])
                     else:
                         spans.append([])
-                    items.append(sorted(names | set(oldi[d].as_py() or [])))
+                    items.append(sorted(found | set(oldi[d].as_py() or [])))
                     if clean:
                         cleaned.append(cut_spans(batch.column("text")[i + d].as_py(), spans[-1]))
-                cols = [batch.column("doc_id").slice(i, j - i), batch.column("text").slice(i, j - i) if keep_text else None,
+                own_names = [c for c in batch.schema.names if c not in ("text", "spans", "items", "n_words")]
+                cols = [*[batch.column(c).slice(i, j - i) for c in own_names], batch.column("text").slice(i, j - i) if keep_text else None,
                         pa.array(cleaned, pa.string()) if clean else None, pa.array(n, pa.int64()),
                         pa.array(spans, pa.list_(pa.struct([(c, pa.int32()) for c in ("first", "last", "from", "to")]))),
                         pa.array(items, pa.list_(pa.string()))]
-                names = ["doc_id", "text", "cleaned", "n_words", "spans", "items"]
+                names = [*own_names, "text", "cleaned", "n_words", "spans", "items"]
                 yield pa.RecordBatch.from_arrays([c for c in cols if c is not None], names=[m for m, c in zip(names, cols) if c is not None])
     return run
 
@@ -170,8 +171,8 @@ def cut_spans(text: str | None, spans: list[dict]) -> str | None:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-                  clean: bool = False) -> DataFrame:
-    """(doc_id, n_words, spans, items[, cleaned]) for every row of ``docs``.
+                  clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *carry, [cleaned,] n_words, spans, items) for every row of ``docs``.
 
     spans: merged hits, as word numbers [first, last) and byte offsets [from, to);
     items: ids (as strings, sorted) whose phrases occur; ``clean``: also the text
@@ -181,9 +182,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     bench = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("string").alias("text"))
     size = bench.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-int(size) // (BLOCK_BYTES // 2)))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
+    carried = {c: f"carry_{k}" for k, c in enumerate(carry)}
+    rows = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(c).alias(a) for c, a in carried.items()], F.col(text).cast("string").alias("text"),
                        F.lit(None).cast(SPANS.split(" ", 1)[1]).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("text", "spans", "items"))
     for k in range(blocks):
         # A block is bounded: about BLOCK_BYTES / 2 by hash of the text.
         part = bench.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
@@ -191,9 +193,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
             or _no_phrases(window)
         last = k == blocks - 1
         rows = rows.mapInArrow(_search(spark.sparkContext.broadcast(compiled), not last, clean and last),
-                               f"doc_id {kind}, " + "text string, " * (not last) + "cleaned string, " * (clean and last)
+                               kinds + ", " + "text string, " * (not last) + "cleaned string, " * (clean and last)
                                + f"n_words long, {SPANS}, items array<string>")
-    return rows
+    return rows.select("doc_id", *[F.col(a).alias(c) for c, a in carried.items()],
+                       *[c for c in rows.columns if c != "doc_id" and c not in carried.values()])
 
 
 def _no_phrases(window: int) -> dict:

@@ -170,6 +170,7 @@ def _remove(window: int, joined: bool, cleaned: bool):
             order = np.lexsort((full, anchor))
             phrases = anchor[order], full[order], lowest[order]
         data, offsets = column_bytes(docs["text"])
+        null = docs["text"].combine_chunks().is_null().to_pylist() if cleaned else []
         n, spans, out = [], [], []
         for i, j, w in _each(docs, window):
             hit = _occurrences(w, phrases, docs["doc_id"].slice(i, j - i).to_pylist(), window) if phrases else None
@@ -189,7 +190,7 @@ def _remove(window: int, joined: bool, cleaned: bool):
                     words = data[offsets[i + d]:offsets[i + d + 1]].tobytes().split()
                     out.append(b" ".join(words if gone is None else [x for x, g in zip(words, gone.tolist()) if not g]))
                 elif cleaned:
-                    out.append(_cut(data[offsets[i + d]:offsets[i + d + 1]].tobytes(), here))
+                    out.append(None if null[i + d] else _cut(data[offsets[i + d]:offsets[i + d + 1]].tobytes(), here))
         cols = {c: docs[c] for c in docs.column_names if c not in ("shard", "text")}
         cols |= {"n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([(c, pa.int32()) for c in ("first", "last", "from", "to")])))}
         if joined or cleaned:
