@@ -15,9 +15,10 @@ form groups.
    ``miss``.
 4. Survivors are verified on their full sets, exactly; verified pairs give groups.
 5. Pairing with the smallest node covers a bucket unless it still holds several
-   groups.  Only those buckets are compared in full (in blocks, inside a task), and
-   only pairs that cross two groups, survive step 3 and have not met before are
-   verified.  No pair is left out.
+   groups.  In those buckets every node outside the smallest node's group is compared
+   with all nodes of other groups, by steps 3 and 4 inside a task, in blocks of
+   bounded size; only links are emitted, one for each node and other group.  No
+   pair is left out.
 
 Rows: a null doc_id is in no group (component null, kept).  Null, empty and blank
 texts have the empty set: linked with nothing.  Rows that share a doc_id count as
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -43,6 +45,8 @@ BAND_ROWS, BANDS = 5, 30    # miss of the bands at 0.8: (1 - 0.8^5)^30 = 6.8e-6
 BATCH = 30          # values compared between two tests
 MISS = 1e-6         # posterior probability at which a pair is dropped
 SEED = 20
+BLOCK = 4096        # nodes of a bucket that are compared in one task
+FILTER_BITS = 1 << 25
 
 
 def multipliers(values: int = VALUES, seed: int = SEED) -> np.ndarray:
@@ -76,13 +80,14 @@ def signature(shingles: np.ndarray, mult: np.ndarray) -> np.ndarray:
 
 
 def band_keys(sigs: np.ndarray, rows: int = BAND_ROWS, bands: int = BANDS) -> np.ndarray:
-    """(documents, bands) 64-bit bucket keys of (documents, values) signatures."""
+    """(documents, bands) 64-bit bucket keys of (documents, values) signatures; the
+    lowest byte is the band's number."""
     keys = np.empty((len(sigs), bands), np.uint64)
     for b in range(bands):
         h = np.full(len(sigs), (b + 1) * 0x9E3779B9, dtype=np.uint64)
         for q in range(rows):
             h = mix(h ^ sigs[:, b * rows + q].astype(np.uint64)) + np.uint64(q)
-        keys[:, b] = h
+        keys[:, b] = (h & ~np.uint64(0xFF)) | np.uint64(b)
     return keys
 
 
@@ -162,47 +167,82 @@ def _verify(size: int, percent: int):
                 if text != last:
                     last, big = text, _one_set(text, size)
                 small = _one_set(ta[k].as_py(), size)
-                common = len(np.intersect1d(small, big, assume_unique=True))
-                if 100 * common >= percent * (len(small) + len(big) - common) and common:
+                if _linked(small, big, percent):
                     keep.append(k)
             yield pa.RecordBatch.from_arrays([pa.array([ua[k] for k in keep], pa.int64()),
                                               pa.array([va[k] for k in keep], pa.int64())], names=["u", "v"])
     return run
 
 
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= percent * (len(a) + len(b) - common)
+
+
 def _one_set(text: str, size: int) -> np.ndarray:
     data, offsets = column_bytes(pa.array([text], pa.string()))
     return next(iter(shingle_sets(data, offsets, size)))
 
 
-BLOCK = 1 << 18  # pairs compared at once
+def _bitmap(ids: np.ndarray) -> np.ndarray:
+    return mix(ids.astype(np.int64).view(np.uint64)) & np.uint64(FILTER_BITS - 1)
+
+
+def _maybe(source):
+    """Whether a doc_id may be one of the wanted ones."""
+    @F.pandas_udf("boolean")
+    def run(ids: pd.Series) -> pd.Series:
+        at = _bitmap(ids.fillna(0).to_numpy()).astype(np.int64)
+        return pd.Series((source.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0)
+    return run
 
 
-def _cross_pairs(tests):
-    """All pairs of a bucket whose groups differ, that no earlier band of the pair
-    shares, that the smallest node is no part of, and that survive the tests."""
+def _wanted(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of hashed ids, built by a grouped bit-or.  Its size is fixed, so it may
+    be broadcast at any scale; a full one only lets more rows through to the join."""
+    @F.pandas_udf("long")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(_bitmap(ids.to_numpy()).astype(np.int64))
+    words = nodes.select(place("node").alias("at")).groupBy(F.shiftright("at", 6).alias("word")) \
+        .agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS >> 6, np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _cross_links(tests, size: int, percent: int):
+    """Verified links between different groups of a bucket's block: each probing node
+    against the block's nodes, but for pairs that an earlier band has.  One link
+    for each node and other group is enough."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        node, group = table["node"].to_numpy(), table["root"].to_numpy()
-        order = np.argsort(node, kind="stable")
-        node, group = node[order], group[order]
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(node), -1)[order]
+        node, root, flag = table["node"].to_numpy(), table["root"].to_numpy(), table["flag"].to_numpy()
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(node), -1)
         keys = band_keys(sig)
-        here = int(np.flatnonzero((keys == keys[0]).all(axis=0) & (keys[0].view(np.int64) == table["band"][0].as_py()))[0])
+        here = int(table["band"][0].as_py() & 0xFF)
+        sets: dict[int, np.ndarray] = {}
+
+        def members(k: int) -> np.ndarray:
+            if k not in sets:
+                sets[k] = _one_set(table["text"][k].as_py(), size)
+            return sets[k]
+
         us, vs = [], []
-        n = len(node)
-        for i in range(1, n):
-            other = np.arange(i + 1, n)
-            other = other[group[other] != group[i]]
-            for k in range(0, len(other), BLOCK):
-                o = other[k:k + BLOCK]
-                if here:
-                    o = o[~(keys[o, :here] == keys[i, :here]).any(axis=1)]
-                o = o[surviving(np.broadcast_to(sig[i], (len(o), sig.shape[1])), sig[o], tests)]
-                us.append(np.full(len(o), node[i]))
-                vs.append(node[o])
-        cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"u": cat(us), "v": cat(vs)})
+        targets = np.flatnonzero(flag & 1)
+        for p in np.flatnonzero(flag & 2).tolist():
+            o = targets[root[targets] != root[p]]
+            o = o[~(keys[o, :here] == keys[p, :here]).any(axis=1)] if here else o
+            o = o[surviving(np.broadcast_to(sig[p], (len(o), sig.shape[1])), sig[o], tests)]
+            alike = (sig[o] == sig[p]).sum(axis=1)
+            done: set[int] = set()
+            for t in o[np.argsort(-alike, kind="stable")].tolist():
+                if root[t] not in done and _linked(members(p), members(t), percent):
+                    done.add(root[t])
+                    us.append(int(node[p]))
+                    vs.append(int(node[t]))
+        return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
     return run
 
 
@@ -220,8 +260,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = feats.filter("doc_id is not null and digest is not null")
     copies = settle(known.groupBy("digest").agg(F.min("doc_id").alias("node")))
     # One signature for each node (rows that share doc_id and set are repeats).
-    sigs = known.join(copies, [known.digest == copies.digest, known.doc_id == copies.node]) \
-        .select("node", "sig").dropDuplicates(["node", "sig"])
+    sigs = settle(known.join(copies, [known.digest == copies.digest, known.doc_id == copies.node])
+                  .select("node", "sig").dropDuplicates(["node", "sig"]))
     bands = sigs.mapInArrow(_bands, "band long, node long")
     tests = least_agreeing(percent / 100)
 
@@ -232,27 +272,43 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     star = settle(met.filter("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct())
 
     # Texts of the nodes that any pair can hold, by one pass over the documents.
-    nodes = star.select(F.col("u").alias("node")).union(star.select("v")).distinct()
-    texts = settle(rows.join(nodes, rows.doc_id == nodes.node).select("node", "text").dropDuplicates(["node", "text"]))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("node").alias("u"), F.col("text").alias("ta"))
-        b = texts.select(F.col("node").alias("v"), F.col("text").alias("tb"))
-        return pairs.join(a, "u").join(b, "v").select("u", "v", "ta", "tb") \
-            .mapInArrow(_verify(size, percent), "u long, v long")
+    nodes = settle(star.select(F.col("u").alias("node")).union(star.select("v")).distinct())
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(nodes))
+    found = rows.filter("doc_id is not null").filter(_maybe(wanted)("doc_id"))
+    texts = settle(found.join(nodes, found.doc_id == nodes.node).select("node", "text").dropDuplicates(["node", "text"]))
+    near = settle(sigs.join(nodes, "node", "left_semi"))
 
-    sa, sb = sigs.toDF("u", "sa"), sigs.toDF("v", "sb")
+    sa, sb = near.toDF("u", "sa"), near.toDF("v", "sb")
     alive = star.join(sa, "u").join(sb, "v").select("u", "v", "sa", "sb").mapInArrow(_prune(tests), "u long, v long")
-    links = settle(verified(alive))
+    ta, tb = texts.toDF("u", "ta"), texts.toDF("v", "tb")
+    links = settle(alive.join(ta, "u").join(tb, "v").select("u", "v", "ta", "tb")
+                   .mapInArrow(_verify(size, percent), "u long, v long"))
     label = components(links)
 
-    # Buckets that still hold several groups.
+    # Buckets that still hold several groups: one for each set of members, the first.
     crowd = met.filter("members > 2").join(label, F.col("node") == F.col("vertex"), "left") \
-        .select("band", "node", "lead", F.coalesce("root", "node").alias("root"))
-    mixed = crowd.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band")
-    again = crowd.join(mixed, "band").select("band", "node", "root").join(sigs, "node")
-    cross = again.groupBy("band").applyInArrow(_cross_pairs(tests), "u long, v long")
-    more = settle(verified(cross.distinct()))
+        .select("band", "node", "lead", "members", F.coalesce("root", "node").alias("root"))
+    mixed = crowd.groupBy("band").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(F.expr("if(node = lead, root, null)")).alias("main"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("a"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")).alias("b"),
+        F.count(F.lit(1)).alias("c")).filter("lo <> hi")
+    first = mixed.groupBy("a", "b", "c").agg(F.min(F.struct(F.expr("band & 255"), "band", "main")).alias("m")) \
+        .select("m.band", "m.main")
+    # Nodes outside the group of the bucket's smallest node probe all others.  Large
+    # buckets are cut into blocks on both sides; flag 1: compared with, 2: probes.
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    probes = F.col("root") != F.col("main")
+    others = F.filter(F.sequence(F.lit(0), blocks - 1), lambda k: k != F.col("own"))
+    place = lambda t, p, flag: F.struct(t.alias("t"), p.alias("p"), flag.cast("int").alias("flag"))
+    cells = F.concat(F.array(place(F.col("own"), F.col("own"), F.when(probes, 3).otherwise(1))),
+                     F.transform(others, lambda k: place(F.col("own"), k, F.lit(1))),
+                     F.when(probes, F.transform(others, lambda k: place(k, F.col("own"), F.lit(2))))
+                     .otherwise(F.expr("cast(array() as array<struct<t:int,p:int,flag:int>>)")))
+    again = crowd.join(first, "band").withColumn("own", own) \
+        .select("band", "node", "root", F.explode(cells).alias("x")).select("band", "node", "root", "x.*") \
+        .join(near, "node").join(texts, "node")
+    more = settle(again.groupBy("band", "t", "p").applyInArrow(_cross_links(tests, size, percent), "u long, v long"))
     if more.head(1):
         label = components(links.union(more))
 
