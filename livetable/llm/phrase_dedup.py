@@ -11,7 +11,7 @@ whose word sequence also starts in a document with a smaller doc_id is removed.
 2. Confirmation.  Only windows with such an anchor are hashed in full and sent, again
    pre-aggregated per shard; windows that a smaller doc_id also has go back.
 3. Automata.  Each shard compiles the confirmed phrases into Aho-Corasick automata
-   over word numbers (at most ``PHRASES`` each) and streams its documents through
+   over words (at most ``PHRASES`` phrases each) and streams its documents through
    them; every occurrence marks its words in documents above the phrase's smallest.
 
 The documents cross the cluster once, by shard (the exchange is used three times);
@@ -229,26 +229,41 @@ def _occurrences(w: _Windows, phrases: tuple, doc_ids: list, window: int) -> np.
     start = start[pick]
     if not len(start):
         return cover[:-1] > 0
-    _, number = np.unique(w.hash, return_inverse=True)
-    first = w.words.first.tolist()
+    text, at = _spelled(w.hash, np.unique(w.hash[(start[:, None] + np.arange(window)).ravel()]))
+    first, places, low = w.words.first.tolist(), at.tolist(), lowest[which].tolist()
     for k in range(0, len(start), PHRASES):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for s, p in zip(start[k:k + PHRASES].tolist(), range(k, len(start))):
-            automaton.add_word(tuple(number[s:s + window].tolist()), p)
+            automaton.add_word(text[places[s]:places[s + window]], p)
         automaton.make_automaton()
-        low = lowest[which].tolist()
         for d, doc in enumerate(doc_ids):
             a, b = first[d], first[d + 1]
             if doc is None or b - a < window:
                 continue
-            ends = [e for e, p in automaton.iter(tuple(number[a:b].tolist())) if low[p] < doc]
+            ends = [e for e, p in automaton.iter(text[places[a]:places[b]]) if low[p] < doc]
             if ends:
-                e = np.array(ends) + a
+                e = np.searchsorted(at[a:b], np.array(ends) + places[a], side="right") - 1 + a
                 cover[e - window + 1] += 1
                 cover[e + 1] -= 1
     return np.cumsum(cover)[:-1] > 0
 
 
+def _spelled(words: np.ndarray, vocabulary: np.ndarray) -> tuple[str, np.ndarray]:
+    """The words as a string, and where each begins in it (with the end).  A word of the
+    vocabulary is three letters, its number's digits, each digit with letters of its
+    own, so words never overlap; any other word is one letter.  The automaton looks
+    through a node's letters one by one, so few letters keep its steps short."""
+    n = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+    known = vocabulary[n] == words
+    base = max(2, round(len(vocabulary) ** (1 / 3)) + 1)
+    at = np.concatenate([[0], np.cumsum(np.where(known, 3, 1))])
+    letters = np.ones(int(at[-1]), np.uint32)
+    k = at[:-1][known]
+    for place, digit in enumerate((n // (base * base), n // base % base, n % base)):
+        letters[k + place] = 2 + place * base + digit[known]
+    return letters.tobytes().decode("utf-32-le"), at
+
+
 def repeated_phrases(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
                      joined: bool = False, cleaned: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_words, spans) for every row of ``docs``, with the columns ``carry``.
