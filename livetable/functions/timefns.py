@@ -44,7 +44,7 @@ EVENT_TS_FORMAT = "yyyy-M-d H:m:s[.SSSSSSSSS]"
 def parse_event_line(c, fmt: str = EVENT_TS_FORMAT) -> tuple[Column, Column]:
     """``"<timestamp>,<word>"`` -> (timestamp_ntz or null, word or null)."""
     parts = F.split(F.trim(_c(c)), ",", -1)
-    ts = F.try_to_timestamp(F.get(parts, 0), F.lit(fmt))
-    # try_to_timestamp reads the text in the session zone; map that instant
-    # back to the same wall clock so the result is zone-free.
-    return ts.cast("timestamp_ntz"), F.get(parts, 1)
+    # The text is read as UTC, whatever the session zone is: a zone with clock
+    # changes has wall-clock times that do not exist or occur twice.
+    ts = F.try_to_timestamp(F.concat(F.get(parts, 0), F.lit("Z")), F.lit(fmt + "X"))
+    return from_utc_micros(ts), F.get(parts, 1)

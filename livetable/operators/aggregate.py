@@ -24,7 +24,7 @@ def count_by(df: DataFrame, key: str | list[str], name: str = "count",
 
 def filtered_stats(df: DataFrame, cond: Column, key: str, value: str,
                    count_col: str | None = None, count_name: str = "counts",
-                   avg_name: str = "avgsignal", digits: int | None = 6) -> DataFrame:
+                   avg_name: str = "mean_signal", digits: int | None = 6) -> DataFrame:
     """Count and average of ``value`` per ``key`` over rows passing ``cond``.
 
     ``count_col=None`` counts rows (SQL ``count(*)``); a column name counts its
@@ -65,11 +65,25 @@ def top_n_with_attr(df: DataFrame, key: str, attr: str, n: int = 10,
 def lowest_by(df: DataFrame, key: str, score: str, item: str, n: int = 10,
               score_name: str = "minscore") -> DataFrame:
     """Keys with the lowest minimum score, each with the item of that minimum
-    (ties: smallest item)."""
-    agg = df.filter(F.col(score).isNotNull()).groupBy(key).agg(
-        F.min(score).alias(score_name),
-        F.min_by(F.col(item), F.struct(F.col(score), F.col(item))).alias(item))
-    return top_n(agg, [F.asc(score_name), F.asc(key)], n)
+    (ties: smallest item).
+
+    In batch, the minimum per key is a hash aggregate of numbers; only the n keys
+    it leaves are joined back to the rows for their items.  Streaming complete mode
+    allows one aggregation, so a stream takes both in a single step.
+    """
+    rows = df.filter(F.col(score).isNotNull())
+    if df.isStreaming:
+        agg = rows.groupBy(key).agg(
+            F.min(score).alias(score_name),
+            F.min_by(F.col(item), F.struct(F.col(score), F.col(item))).alias(item))
+        return top_n(agg, [F.asc(score_name), F.asc(key)], n)
+    low = top_n(rows.groupBy(key).agg(F.min(score).alias(score_name)),
+                [F.asc(score_name), F.asc(key)], n)
+    k, s = low[key].alias("_key"), low[score_name]
+    found = rows.select(key, score, item).join(low.select(k, s), (F.col(key).eqNullSafe(F.col("_key")))
+                                               & (F.col(score) == F.col(score_name)))
+    items = found.groupBy(key, score_name).agg(F.min(item).alias(item))
+    return top_n(items.select(key, score_name, item), [F.asc(score_name), F.asc(key)], n)
 
 
 def rmse(df: DataFrame, label: str, prediction: str, name: str = "rmse",
@@ -88,14 +102,14 @@ def rmse_vs_group_mean(df: DataFrame, group: str, label: str,
                        name: str = "rmse", digits: int | None = 6) -> DataFrame:
     """RMSE of ``label`` against its per-``group`` mean (a baseline model).
 
-    Uses sum((x - m)^2) = sum(x^2) - (sum x)^2 / n per group: two chained
-    aggregates, no join back to the rows, so a hot group costs nothing extra.
+    The squared error of a group is its size times its variance (Spark merges
+    central moments, so large means lose no digits): two chained aggregates, no
+    join back to the rows, so a hot group costs nothing extra.
     """
     x = F.col(label).cast("double")
     per = (df.filter(F.col(label).isNotNull()).groupBy(group)
-           .agg(F.count(F.lit(1)).alias("_n"), F.sum(x).alias("_s"),
-                F.sum(x * x).alias("_q")))
-    sse = F.sum(F.greatest(F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n"), F.lit(0.0)))
+           .agg(F.count(F.lit(1)).alias("_n"), F.var_pop(x).alias("_v")))
+    sse = F.sum(F.col("_v") * F.col("_n"))
     r = F.sqrt(sse / F.sum("_n"))
     if digits is not None:
         r = F.round(r, digits)

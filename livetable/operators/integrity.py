@@ -1,7 +1,7 @@
 """Missing ids in a run lo..hi.
 
 * one missing id: XOR of all ids of the run, XOR of all present ids; the run's
-  XOR has a closed form, so only the present ids are scanned (one aggregate);
+  XOR has a closed form, so only the distinct present ids are scanned;
 * any number missing: the run from ``spark.range`` anti-joined with the present
   ids (both sides partitioned by id, nothing collected).
 """

@@ -1,48 +1,16 @@
-"""Equi-join with a size-checked broadcast.
+"""Equi-join of a large side with a smaller one.
 
-Spark already broadcasts a side whose planned size is under
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with runtime sizes and
-splits skewed partitions.  :func:`attach` adds an explicit hint only when the
-optimizer's own size estimate of the small side is under a bound; above it the
-join stays a shuffle (sort-merge) join.  The bound defaults to the session's
-``spark.sql.autoBroadcastJoinThreshold``, the limit the cluster's operator set
-for broadcasts (-1: never broadcast).
+The join is stated and no more: Spark broadcasts a side whose planned size is
+under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans with runtime
+sizes and splits skewed partitions.  A hint would switch both checks off.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (negative: disabled)."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-
-
-def table_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan, in bytes."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - plan without statistics
-        return None
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Catalyst's size estimate of ``df`` is known and within the bound
-    (default: the session's broadcast threshold)."""
-    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
-    if limit < 0:
-        return False
-    size = table_bytes(df)
-    return size is not None and size <= limit
+from pyspark.sql import DataFrame
 
 
 def attach(big: DataFrame, small: DataFrame, on: str | list[str],
-           how: str = "inner", max_broadcast_bytes: int | None = None) -> DataFrame:
-    """``big.join(small, on, how)`` broadcasting ``small`` only under a bound."""
-    if (not small.isStreaming and how in ("inner", "left", "left_semi", "left_anti")
-            and fits_broadcast(small, max_broadcast_bytes)):
-        small = F.broadcast(small)
+           how: str = "inner") -> DataFrame:
+    """``big.join(small, on, how)``."""
     return big.join(small, on, how)

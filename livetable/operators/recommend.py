@@ -63,9 +63,12 @@ def make_als(rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
 
 
 def _als_input(df: DataFrame) -> DataFrame:
-    return df.select(F.col("student_id").cast("int").alias("student_id"),
-                     F.col("question_id").cast("int").alias("question_id"),
+    """Spark's ALS takes 32-bit ids; rows with a larger id are unknown to any model,
+    in training as in serving, and leave here."""
+    rows = df.select(F.col("student_id").try_cast("int").alias("student_id"),
+                     F.col("question_id").try_cast("int").alias("question_id"),
                      F.col("rating").cast("float").alias("rating"))
+    return rows.filter(F.col("student_id").isNotNull() & F.col("question_id").isNotNull())
 
 
 def train(ratings: DataFrame, **kw) -> ALSModel:
@@ -125,8 +128,8 @@ def recommend_all(model: ALSModel, k: int = TOP_ALL) -> DataFrame:
 def recommend_subset(model: ALSModel, students: DataFrame, k: int = TOP_SUBSET) -> DataFrame:
     """Top-k for the students in ``students.student_id`` (numbers); repeats
     are de-duplicated and unknown students dropped by Spark."""
-    return model.recommendForUserSubset(
-        students.select(F.col("student_id").cast("int").alias("student_id")), k)
+    ids = students.select(F.col("student_id").try_cast("int").alias("student_id"))
+    return model.recommendForUserSubset(ids.filter(F.col("student_id").isNotNull()), k)
 
 
 def recs_to_text(recs: DataFrame, student_prefix: str = STUDENT_PREFIX,
@@ -164,10 +167,28 @@ class ModelCache:
         return self.model
 
 
-def serve_batch(cache: ModelCache, output, k: int = TOP_SUBSET) -> callable:
+class NoModel(RuntimeError):
+    """No model has been published yet; the micro-batch must be tried again."""
+
+
+def model_recommender(cache: ModelCache, k: int = TOP_SUBSET):
+    """Students -> their top-k by the registry's current model."""
+    def run(students: DataFrame) -> DataFrame:
+        model = cache.current()
+        if model is None:
+            raise NoModel(f"no model in the registry {cache.registry_path}")
+        return recommend_subset(model, students, k)
+    return run
+
+
+def serve_batch(recommender, output) -> callable:
     """``foreachBatch`` function: answers of the batch -> recommendations for
     their students -> text -> joined to the answers -> ``output(df, batch_id)``.
 
+    ``recommender``: students (student_id) -> (student_id, recommendations), for
+    example :func:`model_recommender`.  What it raises ends the query before the
+    batch's offsets are committed, so a restart serves the same batch again.
+
     Empty batches and batches without any known student are skipped.  The
     batch is read twice (students, join) and the per-batch recommendations
     are checked then joined, so both are persisted for the duration of the
@@ -176,15 +197,12 @@ def serve_batch(cache: ModelCache, output, k: int = TOP_SUBSET) -> callable:
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        model = cache.current()
-        if model is None:
-            return
         batch = batch.persist()
         recs = None
         try:
             students = (batch.select(id_number("student_id").alias("student_id"))
                         .filter(F.col("student_id").isNotNull()))
-            recs = recs_to_text(recommend_subset(model, students, k)).persist()
+            recs = recs_to_text(recommender(students)).persist()
             if not recs.isEmpty():
                 output(attach_recs(batch, recs), batch_id)
         finally:

@@ -28,13 +28,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str, value: str,
                    extra: list[str] | None = None) -> DataFrame:
     """Newest ``value`` per key by ``order`` (ties: largest value).
 
-    One aggregate with ``max_by`` over a struct; partial aggregation keeps a hot
-    key cheap.
+    ``max(order)`` per key is a hash aggregate; only rows that carry a key's
+    newest ``order`` reach the second aggregate, which picks the value.
     """
-    o = F.struct(F.col(order), F.col(value))
-    cols = [F.max_by(F.col(value), o).alias(value), F.max(order).alias(order)]
-    cols += [F.max_by(F.col(c), o).alias(c) for c in (extra or [])]
-    return df.groupBy(*keys).agg(*cols)
+    newest = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    newest = newest.select(*[F.col(k).alias(a) for k, a in zip(keys, names)], "_newest")
+    same = F.col(order) == F.col("_newest")
+    for k, a in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(a))
+    rows = df.select(*keys, order, value, *(extra or [])).join(newest, same)
+    cols = [F.max(value).alias(value), F.max(order).alias(order)]
+    cols += [F.max_by(F.col(c), F.col(value)).alias(c) for c in (extra or [])]
+    return rows.groupBy(*keys).agg(*cols)
 
 
 def publish(spark: SparkSession, registry_path: str, model: str, item: str,
@@ -47,11 +53,13 @@ def publish(spark: SparkSession, registry_path: str, model: str, item: str,
 
 def current_path(spark: SparkSession, registry_path: str, model: str,
                  item: str) -> str | None:
-    """Path of the newest model for (model, item), or None."""
-    try:
-        reg = spark.read.schema(REGISTRY).parquet(registry_path)
-    except Exception:
+    """Path of the newest model for (model, item); None when nothing has been
+    published yet (the registry's folder does not exist).  Any other failure to
+    read the registry is raised."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(registry_path)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return None
+    reg = spark.read.schema(REGISTRY).parquet(registry_path)
     rows = (latest_per_key(reg.filter((F.col("model") == model) & (F.col("item") == item)),
                            ["model", "item"], "created_at", "path").select("path").take(1))
     return rows[0]["path"] if rows else None

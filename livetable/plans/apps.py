@@ -50,21 +50,23 @@ def etl_filter(spark: SparkSession, records: DataFrame, needle: str = "success",
     return start_query(out_df, "parquet", ck, "append", path=out, trigger=trigger)
 
 
-IOT_FIELDS = {"device_id": "$.device", "deviceType": "$.deviceType", "signal": "$.signal"}
+IOT_FIELDS = {"device_id": "$.device", "deviceType": "$.deviceType",
+              "signal": "$.signal", "time": "$.time"}
+IOT_TYPES = {"signal": "double", "time": "bigint"}
 
 
 def device_stats(spark: SparkSession, lines: DataFrame, threshold: float = 30.0,
                  app: str = "device_stats", trigger: dict | None = None) -> list[StreamingQuery]:
     """Count and average signal per device type over signals above the
     threshold, in the SQL form and the DSL form (two named queries)."""
-    iot = json_fields(nonblank(lines), IOT_FIELDS, types={"signal": "double"})
-    view = f"t_iot_{app}"
+    iot = json_fields(nonblank(lines), IOT_FIELDS, types=IOT_TYPES)
+    view = f"signals_{app}"
     iot.createOrReplaceTempView(view)
     sql_form = spark.sql(f"""
-        SELECT deviceType, COUNT(*) AS counts, ROUND(AVG(signal), 6) AS avgsignal
+        SELECT deviceType, COUNT(*) AS counts, ROUND(AVG(signal), 6) AS mean_signal
         FROM {view} WHERE signal > {float(threshold)} GROUP BY deviceType""")
     dsl_form = agg.filtered_stats(iot, F.col("signal") > threshold, "deviceType", "signal",
-                                  count_col="device_id")
+                                  count_col="device_id", avg_name="mean_signal")
     qs = []
     for name, df in (("sql", sql_form), ("dsl", dsl_form)):
         ck, out = _dirs(spark, app, name)
@@ -76,9 +78,14 @@ def event_windows(spark: SparkSession, lines: DataFrame, length: str = "10 secon
                   slide: str = "5 seconds", watermark: str = "10 seconds",
                   mode: str = "update", app: str = "event_windows",
                   trigger: dict | None = None) -> StreamingQuery:
-    """``timestamp,word`` lines -> sliding-window counts with a watermark."""
+    """``timestamp,word`` lines -> sliding-window counts with a watermark.  Lines that
+    do not parse are appended to ``quarantine_<mode>`` by a query of their own."""
     ts, word = parse_event_line("value")
-    ev = lines.select(ts.alias("timestamp"), word.alias("word")).filter(F.col("timestamp").isNotNull())
+    parsed = lines.select("value", ts.alias("timestamp"), word.alias("word"))
+    ok = F.col("timestamp").isNotNull()
+    ck, out = _dirs(spark, app, f"quarantine_{mode}")
+    start_query(parsed.filter(~ok).select("value"), "parquet", ck, "append", path=out, trigger=trigger)
+    ev = parsed.filter(ok)
     counts = windowed_count(ev, "timestamp", "word", length, slide, watermark)
     ck, out = _dirs(spark, app, mode)
     sink = {"update": "updates", "append": "parquet", "complete": "snapshot"}[mode]
@@ -122,7 +129,8 @@ def user_dedup_staged(spark: SparkSession, lines: DataFrame, app: str = "user_de
     return [q1, start_query(res, "snapshot", ck, "complete", path=out, trigger=trigger)]
 
 
-def _answer_stats(answers: DataFrame) -> dict[str, DataFrame]:
+def answer_statistics(answers: DataFrame) -> dict[str, DataFrame]:
+    """The four top-10 statistics, batch or stream."""
     return {
         "top10_questions": agg.top_n(agg.count_by(answers, "question_id"),
                                      [F.desc("count"), F.asc("question_id")], 10),
@@ -138,10 +146,13 @@ def _answer_stats(answers: DataFrame) -> dict[str, DataFrame]:
 def answer_stats(spark: SparkSession, json_lines: DataFrame, app: str = "answer_stats",
                  trigger: dict | None = None) -> list[StreamingQuery]:
     """Four live top-10 statistics over answer messages, each its own named
-    query with its own checkpoint (complete mode, snapshot tables)."""
-    answers, _bad = split_valid(parse_json(json_lines), ["student_id", "question_id"])
-    qs = []
-    for name, df in _answer_stats(answers).items():
+    query with its own checkpoint (complete mode, snapshot tables), and before them a
+    query that appends messages without student or question to ``quarantine``."""
+    answers, bad = split_valid(parse_json(json_lines, raw=True), ["student_id", "question_id"])
+    ck, out = _dirs(spark, app, "quarantine")
+    qs = [start_query(bad.select("_raw"), "parquet", ck, "append", path=out,
+                      query_name=f"{app}_quarantine", trigger=trigger)]
+    for name, df in answer_statistics(answers).items():
         ck, out = _dirs(spark, app, name)
         qs.append(start_query(df, "snapshot", ck, "complete", path=out,
                               query_name=f"{app}_{name}", trigger=trigger))
@@ -244,9 +255,14 @@ def serve_recommendations(spark: SparkSession, json_lines: DataFrame,
                           trigger: dict | None = None) -> StreamingQuery:
     """Online: each micro-batch of answers gets its students' top-10 from the
     current registered model, joined to the answers and appended (keyed by
-    batch id so a replay replaces its own rows)."""
+    batch id so a replay replaces its own rows).  Before the first publication the
+    query fails and, started again, serves the same batch; messages without student
+    or question go to ``quarantine``."""
     root = session.shared_dir(spark, "apps", app)
-    answers = parse_json(json_lines)
+    answers, bad = split_valid(parse_json(json_lines, raw=True), ["student_id", "question_id"])
+    start_query(bad.select("_raw"), "parquet", f"{root}/quarantine_checkpoint", "append",
+                path=f"{root}/quarantine", trigger=trigger)
+    answers = answers.drop("_raw")
     cache = rec.ModelCache(spark, f"{root}/registry")
     if output is None:
         out = f"{root}/served"
@@ -256,4 +272,4 @@ def serve_recommendations(spark: SparkSession, json_lines: DataFrame,
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(out))
     return start_query(answers, "foreach_batch", f"{root}/serve_checkpoint", "append",
-                       batch_fn=rec.serve_batch(cache, output), trigger=trigger)
+                       batch_fn=rec.serve_batch(rec.model_recommender(cache), output), trigger=trigger)

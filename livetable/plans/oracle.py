@@ -41,6 +41,12 @@ SELECT CAST(split_part(student_id, '_', 2) AS BIGINT) AS student_id,
        CAST(CASE WHEN score <= 3 THEN 3 WHEN score <= 8 THEN 2 ELSE 1 END AS FLOAT) AS rating
 FROM ({_ANSWERS}) WHERE score IS NOT NULL"""
 
+# Ratings with the bucket (of ten) of their hash split.
+_SPLIT = f"""s AS (
+    SELECT *, ('0x' || substr(md5(concat_ws(':', '11', CAST(student_id AS VARCHAR),
+                                            CAST(question_id AS VARCHAR))), 1, 8))::BIGINT % 10 AS bucket
+    FROM ({_RATINGS}))"""
+
 _EVENT_WORDS = """
 SELECT CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS timestamp, event_type AS word
 FROM events"""
@@ -63,9 +69,15 @@ FROM r WHERE rk <= 3 GROUP BY s"""
 ORACLE: dict[str, str] = {
     "wordcount_dsl": f'SELECT word, count(*) AS "count" FROM ({_WORDS}) GROUP BY word',
     "wordcount_sql": f"SELECT word AS value, count(*) AS counts FROM ({_WORDS}) GROUP BY word",
-    "wordcount_stream_memory": f'''
-        SELECT word, count(*) AS "count" FROM ({_WORDS}) GROUP BY word
-        ORDER BY "count" DESC, word LIMIT 100''',
+    "wordcount_stream_memory": """
+        WITH l AS (SELECT lang, unnest(string_split(text, chr(10))) AS value FROM documents),
+        w AS (SELECT lang, unnest(CASE WHEN value = '' THEN ['']
+                                       WHEN rtrim(value, ' ') = '' THEN []::VARCHAR[]
+                                       ELSE string_split(rtrim(value, ' '), ' ') END) AS word FROM l)
+        SELECT lang, count(*) AS "count" FROM w GROUP BY lang""",
+    "foreach_batch_second_output": f"""
+        SELECT "count", count(*) AS words
+        FROM (SELECT word, count(*) AS "count" FROM ({_WORDS}) GROUP BY word) GROUP BY 1""",
     "foreach_batch_snapshot": f'SELECT word, count(*) AS "count" FROM ({_WORDS}) GROUP BY word',
     "split_words_append": f"SELECT doc_id, word FROM ({_WORDS})",
     "nonblank_filter": f"""
@@ -74,10 +86,10 @@ ORACLE: dict[str, str] = {
         WHERE regexp_matches(value, '{NON_BLANK_PATTERN}')""",
     "json_extract_fields": _IOT,
     "iot_stats_sql": f"""
-        SELECT deviceType, count(*) AS counts, round(avg(signal), 6) AS avgsignal
+        SELECT deviceType, count(*) AS counts, round(avg(signal), 6) AS mean_signal
         FROM ({_IOT}) WHERE signal > 30 GROUP BY deviceType""",
     "iot_stats_dsl": f"""
-        SELECT deviceType, count(device_id) AS counts, round(avg(signal), 6) AS avgsignal
+        SELECT deviceType, count(device_id) AS counts, round(avg(signal), 6) AS mean_signal
         FROM ({_IOT}) WHERE signal > 30 GROUP BY deviceType""",
     "etl_contains_filter": """
         SELECT value FROM (
@@ -133,7 +145,9 @@ ORACLE: dict[str, str] = {
         SELECT userID, count(*) AS "count" FROM (
           SELECT DISTINCT CAST(user_id AS VARCHAR) AS userID, strftime(ts, '%Y-%m-%d') AS d, event_type
           FROM events) GROUP BY userID''',
-    "dedup_within_watermark": "SELECT DISTINCT user_id, event_type FROM events",
+    "dedup_within_watermark": """
+        SELECT DISTINCT CAST(user_id AS VARCHAR) AS userID, strftime(ts, '%Y-%m-%d %H:00:00') AS eventTime,
+               event_type AS eventType FROM events""",
     "id_to_number": f"""
         SELECT student_id, TRY_CAST(split_part(student_id, '_', 2) AS INTEGER) AS student_num,
                question_id, TRY_CAST(split_part(question_id, '_', 2) AS INTEGER) AS question_num
@@ -176,4 +190,32 @@ ORACLE: dict[str, str] = {
         WITH b AS (SELECT min(doc_id) AS lo, max(doc_id) AS hi FROM labels)
         SELECT unnest(generate_series(lo, hi)) AS missing_id FROM b
         EXCEPT ALL SELECT doc_id FROM labels""",
+    "event_line_quarantine": """
+        SELECT substr(strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' || event_type, 1, 12) AS value
+        FROM events WHERE event_id % 5 = 0""",
+    "json_quarantine": """
+        SELECT substr('{"device":"device_' || CAST(event_id AS VARCHAR), 1, 12) AS value
+        FROM events WHERE event_id % 5 = 0""",
+    "rmse_predictions": f"""
+        SELECT round(sqrt(avg(pow(rating - (3.0 - score / 5.0), 2))), 6) AS rmse, count(*) AS n
+        FROM (SELECT score, CAST(CASE WHEN score <= 3 THEN 3 WHEN score <= 8 THEN 2 ELSE 1 END AS DOUBLE) AS rating
+              FROM ({_ANSWERS})) WHERE score IS NOT NULL""",
+    "serve_batches": f"SELECT * FROM ({_ANSWERS}) a JOIN ({_RECS_TEXT}) r USING (student_id)",
+    "als_predict": f"""
+        WITH {_SPLIT}
+        SELECT student_id, question_id, rating, TRUE AS scored FROM s
+        WHERE bucket >= 8 AND student_id IN (SELECT student_id FROM s WHERE bucket < 8)
+          AND question_id IN (SELECT question_id FROM s WHERE bucket < 8)""",
+    "als_recommend_all": f"""
+        WITH {_SPLIT}, q AS (SELECT count(DISTINCT question_id) AS questions FROM s WHERE bucket < 8)
+        SELECT DISTINCT student_id, least(20, questions) AS n, TRUE AS descending, TRUE AS distinct_items
+        FROM s, q WHERE bucket < 8""",
+    "als_recommend_subset": f"""
+        WITH {_SPLIT}, q AS (SELECT count(DISTINCT question_id) AS questions FROM s WHERE bucket < 8),
+        a AS (SELECT CAST(split_part(student_id, '_', 2) AS BIGINT) AS student_id, CAST(ts AS DATE) AS day FROM ({_ANSWERS}))
+        SELECT DISTINCT student_id, least(10, questions) AS n, TRUE AS descending, TRUE AS distinct_items
+        FROM a, q WHERE day = (SELECT max(day) FROM a) AND student_id IN (SELECT student_id FROM s WHERE bucket < 8)""",
 }
+for _live in ("top10_questions", "top10_grades", "top10_questions_with_subject", "lowest_score_students"):
+    ORACLE[f"{_live}_stream"] = ORACLE[_live]
+ORACLE["iot_stats_stream"] = ORACLE["iot_stats_dsl"]

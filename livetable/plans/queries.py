@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from livetable import session
 from livetable.functions.ids import id_number
-from livetable.functions.json import json_fields, parse_json, split_valid
-from livetable.functions.text import contains_text, nonblank, split_words
+from livetable.functions.json import json_fields, parse_json
+from livetable.functions.text import contains_text, lines_of, nonblank, split_words
 from livetable.functions.timefns import parse_event_line, to_utc_instant
 from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
@@ -24,13 +25,17 @@ from livetable.operators.joins import attach
 from livetable.operators.ranking import lowest_items_per_key
 from livetable.operators.registry import latest_per_key
 from livetable.operators.split import hash_bucket, hash_split
+from livetable.plans import apps
 from livetable.plans import standins as st
-from livetable.sources.files import batch_bytes, read_delimited, read_json_lines, read_table
+from livetable.sources.files import batch_bytes, read_delimited, read_json_lines, read_table, table_path
 from livetable.sources.kafka import kafka_rows, kafka_value
-from livetable.streaming.eventtime import dedup_counts, dedup_within, windowed_count
+from livetable.streaming.eventtime import (dedup_counts, dedup_within, run_in_time_order,
+                                           windowed_count)
 from livetable.streaming.joins import read_join_output, start_stream_static_join
-from livetable.streaming.sinks import (latest_updates, read_snapshot, run_available_now,
+from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates, read_snapshot,
+                                       run_available_now, snapshot_path_writer, updates_path_writer,
                                        wait_query)
+from livetable.streaming.sinks import _fs
 
 # Parameters of the event-time keys (window length, slide, watermark delay).
 WINDOW_LENGTH = "1 hour"
@@ -75,31 +80,39 @@ def q_wordcount_sql(spark, base):
     return read_snapshot(spark, f"{d}/out")
 
 
-def q_wordcount_stream_memory(spark, base, n: int = 100):
-    """Streaming word count, complete mode, top n kept in a memory table."""
-    counts = agg.count_by(words(spark, base, stream=True), "word", "count")
-    top = counts.orderBy(F.desc("count"), F.asc("word")).limit(n)
+def q_wordcount_stream_memory(spark, base):
+    """Streaming word count by the document's language, complete mode, in a memory
+    table (a driver-held table: the result is a row per language)."""
+    docs = st._src(spark, base, "documents", stream=True).select("lang", "text")
+    words_ = split_words(lines_of(docs, "text", "value", keep=["lang"]), "value", "word", keep=["lang"])
     d = _run_dir(spark, "wordcount_stream_memory")
     name = "t_result_" + d.rsplit("/", 1)[-1]
-    run_available_now(top, "memory", f"{d}/checkpoint", "complete", query_name=name)
+    run_available_now(agg.count_by(words_, "lang", "count"), "memory", f"{d}/checkpoint", "complete",
+                      query_name=name)
     return spark.table(name)
 
 
-def q_foreach_batch_snapshot(spark, base, n: int = 1000):
-    """Streaming word count; one foreachBatch writes the full snapshot and a
-    top-n table from one persisted batch."""
-    from livetable.streaming.sinks import foreach_batch_outputs, snapshot_path_writer
+def _foreach_batch(spark, base, name: str) -> str:
+    """Streaming word count; one foreachBatch writes the counts and how many words
+    have each count, both from one persisted batch."""
     counts = agg.count_by(words(spark, base, stream=True), "word", "count")
-    d = _run_dir(spark, "foreach_batch_snapshot")
-    full, top = f"{d}/full", f"{d}/top"
-    write_full, top_writer = snapshot_path_writer(full), snapshot_path_writer(top)
+    d = _run_dir(spark, name)
+    write_full, write_sizes = snapshot_path_writer(f"{d}/full"), snapshot_path_writer(f"{d}/sizes")
 
-    def write_top(batch, batch_id):
-        top_writer(batch.orderBy(F.desc("count"), F.asc("word")).limit(n), batch_id)
+    def sizes(batch, batch_id):
+        write_sizes(batch.groupBy("count").agg(F.count(F.lit(1)).alias("words")), batch_id)
 
-    fn = foreach_batch_outputs([write_full, write_top])
+    fn = foreach_batch_outputs([write_full, sizes], skip_empty=False)
     run_available_now(counts, "foreach_batch", f"{d}/checkpoint", "complete", batch_fn=fn)
-    return read_snapshot(spark, full)
+    return d
+
+
+def q_foreach_batch_snapshot(spark, base):
+    return read_snapshot(spark, _foreach_batch(spark, base, "foreach_batch_snapshot") + "/full")
+
+
+def q_foreach_batch_second_output(spark, base):
+    return read_snapshot(spark, _foreach_batch(spark, base, "foreach_batch_second_output") + "/sizes")
 
 
 def q_split_words_append(spark, base):
@@ -113,15 +126,10 @@ def q_nonblank_filter(spark, base):
 
 # --- JSON, IoT, call logs ---------------------------------------------------
 
-IOT_FIELDS = {"device_id": "$.device", "deviceType": "$.deviceType",
-              "signal": "$.signal", "time": "$.time"}
-IOT_TYPES = {"signal": "double", "time": "bigint"}
-
-
 def iot(spark, base, stream=False) -> DataFrame:
     ev = st._src(spark, base, "events", stream)
     lines = nonblank(st.iot_lines(ev), "value")
-    return json_fields(lines, IOT_FIELDS, "value", IOT_TYPES)
+    return json_fields(lines, apps.IOT_FIELDS, "value", apps.IOT_TYPES)
 
 
 def q_json_extract_fields(spark, base):
@@ -129,17 +137,24 @@ def q_json_extract_fields(spark, base):
 
 
 def q_iot_stats_sql(spark, base):
-    iot(spark, base).createOrReplaceTempView("t_iot")
+    iot(spark, base).createOrReplaceTempView("signals")
     return spark.sql("""
-        SELECT deviceType, COUNT(*) AS counts, ROUND(AVG(signal), 6) AS avgsignal
-        FROM t_iot
+        SELECT deviceType, COUNT(*) AS counts, ROUND(AVG(signal), 6) AS mean_signal
+        FROM signals
         WHERE signal > 30
         GROUP BY deviceType""")
 
 
+def q_iot_stats_stream(spark, base):
+    """The live form: complete mode, a snapshot for each batch."""
+    stats = agg.filtered_stats(iot(spark, base, stream=True), F.col("signal") > 30, "deviceType",
+                               "signal", count_col="device_id", avg_name="mean_signal")
+    return read_snapshot(spark, _stream_to(spark, "iot_stats_stream", stats, "snapshot", "complete"))
+
+
 def q_iot_stats_dsl(spark, base):
     return agg.filtered_stats(iot(spark, base), F.col("signal") > 30, "deviceType",
-                              "signal", count_col="device_id")
+                              "signal", count_col="device_id", avg_name="mean_signal")
 
 
 def q_etl_contains_filter(spark, base):
@@ -151,22 +166,63 @@ def q_etl_contains_filter(spark, base):
     return spark.read.parquet(_stream_to(spark, "etl_contains_filter", out, "parquet", "append"))
 
 
-def q_event_line_parse(spark, base):
-    lines = st.event_word_lines(read_table(spark, base, "events"))
+def _broken(lines: DataFrame, key: str) -> DataFrame:
+    """The lines, every fifth (by ``key``) cut in the middle, as a broken feed has them."""
+    return lines.select(F.when(F.col(key) % 5 == 0, F.expr("substring(value, 1, 12)"))
+                        .otherwise(F.col("value")).alias("value"))
+
+
+def parse_with_quarantine(spark, lines: DataFrame, parse, required: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined lines) of ``lines``; both outputs are written from one
+    parse of the input."""
+    d = _run_dir(spark, name)
+    ok = F.lit(True)
+    for c in required:
+        ok = ok & F.col(c).isNotNull()
+    parse(lines).withColumn("ok", ok).write.partitionBy("ok").parquet(d)
+    rows = spark.read.schema(parse(lines).withColumn("ok", F.lit(True)).schema).parquet(d)
+    return rows.filter("ok").drop("ok", "_raw"), rows.filter("not ok").select(F.col("_raw").alias("value"))
+
+
+def parse_event_rows(lines: DataFrame) -> DataFrame:
     ts, word = parse_event_line("value")
-    parsed = lines.select(ts.alias("timestamp"), word.alias("word"))
-    good, _bad = split_valid(parsed, ["timestamp", "word"])
-    return good
+    return lines.select(F.col("value").alias("_raw"), ts.alias("timestamp"), word.alias("word"))
+
+
+def _event_lines(spark, base) -> tuple[DataFrame, DataFrame]:
+    lines = st.event_word_lines(read_table(spark, base, "events"))
+    return parse_with_quarantine(spark, lines, parse_event_rows, ["timestamp", "word"], "event_line_parse")
+
+
+def q_event_line_parse(spark, base):
+    return _event_lines(spark, base)[0]
+
+
+def q_event_line_quarantine(spark, base):
+    """Lines that cannot be parsed, from a feed in which every fifth line is cut."""
+    ev = read_table(spark, base, "events")
+    lines = _broken(ev.select("event_id", F.concat(F.date_format("ts", st.SECOND_FORMAT), F.lit(","),
+                                                   F.col("event_type")).alias("value")), "event_id")
+    return parse_with_quarantine(spark, lines, parse_event_rows, ["timestamp", "word"], "event_line_quarantine")[1]
 
 
-def answers_parsed(spark, base, stream=False) -> DataFrame:
-    lines = st.answer_json_lines(st.answers(spark, base, stream))
-    good, _bad = split_valid(parse_json(lines), ["student_id", "question_id"])
-    return good
+def _answer_rows(spark, base) -> tuple[DataFrame, DataFrame]:
+    lines = st.answer_json_lines(st.answers(spark, base))
+    return parse_with_quarantine(spark, lines, lambda x: parse_json(x, raw=True), ["student_id", "question_id"],
+                                 "json_struct_parse")
 
 
 def q_json_struct_parse(spark, base):
-    return answers_parsed(spark, base)
+    return _answer_rows(spark, base)[0]
+
+
+def q_json_quarantine(spark, base):
+    """IoT messages that cannot be parsed, from a feed in which every fifth is cut."""
+    ev = read_table(spark, base, "events")
+    lines = st.iot_lines(ev, keep=["event_id"])
+    schema = "device string, deviceType string, signal double, time bigint"
+    return parse_with_quarantine(spark, _broken(lines, "event_id"), lambda x: parse_json(x, T.StructType.fromDDL(schema), raw=True),
+                                 ["device", "signal"], "json_quarantine")[1]
 
 
 def q_json_lines_batch_read(spark, base):
@@ -213,12 +269,26 @@ def q_lowest_questions_per_student(spark, base):
                                 "score", k=10)
 
 
+def _live_statistic(spark, base, statistic: str) -> DataFrame:
+    """One of the four answer statistics as a live query: complete mode, snapshot sink."""
+    top = apps.answer_statistics(st.answers(spark, base, stream=True))[statistic]
+    return read_snapshot(spark, _stream_to(spark, f"{statistic}_stream", top, "snapshot", "complete"))
+
+
 def q_top10_questions_stream(spark, base):
-    """Top-10 questions as a live query: complete mode, snapshot sink."""
-    c = agg.count_by(st.answers(spark, base, stream=True), "question_id", "count")
-    top = agg.top_n(c, [F.desc("count"), F.asc("question_id")], 10)
-    return read_snapshot(spark, _stream_to(spark, "top10_questions_stream", top,
-                                           "snapshot", "complete"))
+    return _live_statistic(spark, base, "top10_questions")
+
+
+def q_top10_grades_stream(spark, base):
+    return _live_statistic(spark, base, "top10_grades")
+
+
+def q_top10_questions_with_subject_stream(spark, base):
+    return _live_statistic(spark, base, "top10_questions_with_subject")
+
+
+def q_lowest_score_students_stream(spark, base):
+    return _live_statistic(spark, base, "lowest_score_students")
 
 
 # --- event time -----------------------------------------------------------
@@ -230,9 +300,18 @@ def event_words(spark, base, stream=False) -> DataFrame:
         .filter(F.col("timestamp").isNotNull())
 
 
-def _sliding(spark, base, stream=True):
+def _sliding(spark, base, stream=True, watermark: str | None = None):
+    """Sliding counts.  Files of a table are in no time order, so the complete and
+    update forms set no watermark (state: a row for each window and word); a feed whose
+    disorder is bounded passes that bound."""
     return windowed_count(event_words(spark, base, stream), "timestamp", "word",
-                          WINDOW_LENGTH, WINDOW_SLIDE, WATERMARK)
+                          WINDOW_LENGTH, WINDOW_SLIDE, watermark)
+
+
+def slices_of(spark, base, name: str) -> int:
+    """Time slices in which a table is replayed: each about one micro-batch."""
+    path, fs = _fs(spark, table_path(base, name))
+    return max(1, -(-fs.getContentSummary(path).getLength() // batch_bytes(spark)))
 
 
 def q_window_sliding_complete(spark, base):
@@ -246,9 +325,21 @@ def q_window_sliding_update(spark, base):
     return latest_updates(spark, path, ["window_start", "window_end", "word"], ["count"])
 
 
-def q_window_sliding_append(spark, base):
-    return spark.read.parquet(_stream_to(spark, "window_sliding_append",
-                                         _sliding(spark, base), "parquet", "append"))
+def q_window_sliding_append(spark, base, slices: int | None = None):
+    """Final windows in append mode: the table replayed in event-time order, so that the
+    watermark drops nothing."""
+    d = _run_dir(spark, "window_sliding_append")
+    ev = read_table(spark, base, "events").select("ts", "event_type")
+
+    def run(stream):
+        lines = st.event_word_lines(stream)
+        ts, word = parse_event_line("value")
+        rows = lines.select(ts.alias("timestamp"), word.alias("word")).filter(F.col("timestamp").isNotNull())
+        counts = windowed_count(rows, "timestamp", "word", WINDOW_LENGTH, WINDOW_SLIDE, WATERMARK)
+        return run_available_now(counts, "parquet", f"{d}/checkpoint", "append", path=f"{d}/out")
+
+    run_in_time_order(spark, ev, "ts", f"{d}/in", slices or slices_of(spark, base, "events"), run)
+    return spark.read.parquet(f"{d}/out")
 
 
 def q_window_tumbling_daily(spark, base):
@@ -257,17 +348,16 @@ def q_window_tumbling_daily(spark, base):
 
 def q_window_tumbling_daily_stream(spark, base):
     """Counts per event day on a stream, whatever the arrival order: tumbling
-    one-day windows with a watermark, update mode, newest value per key."""
-    counts = windowed_count(event_words(spark, base, stream=True), "timestamp", "word",
-                            "1 day", watermark=WATERMARK)
+    one-day windows without a watermark (state: a row for each day and word), update
+    mode, newest value per key."""
+    counts = windowed_count(event_words(spark, base, stream=True), "timestamp", "word", "1 day")
     path = _stream_to(spark, "window_tumbling_daily_stream", counts, "updates", "update")
     return latest_updates(spark, path, ["window_start", "window_end", "word"], ["count"])
 
 
 def user_events(spark, base, stream=False) -> DataFrame:
     lines = nonblank(st.user_event_lines(st._src(spark, base, "events", stream)), "value")
-    return json_fields(lines, {"eventTime": "$.eventTime", "eventType": "$.eventType",
-                               "userID": "$.userID"})
+    return json_fields(lines, apps.USER_EVENT_FIELDS)
 
 
 def q_dedup_user_counts(spark, base):
@@ -291,11 +381,21 @@ def q_dedup_user_counts_staged(spark, base):
     return read_snapshot(spark, f"{d}/out")
 
 
-def q_dedup_within_watermark(spark, base):
-    ev = st._src(spark, base, "events", stream=True)
-    res = dedup_within(ev, "ts", ["user_id", "event_type"], WATERMARK)
-    return spark.read.parquet(_stream_to(spark, "dedup_within_watermark", res,
-                                         "parquet", "append"))
+def q_dedup_within_watermark(spark, base, slices: int | None = None):
+    """User events (event time cut to the hour) de-duplicated on user, time and type
+    with bounded state, replayed in event-time order."""
+    d = _run_dir(spark, "dedup_within_watermark")
+    ev = read_table(spark, base, "events").select("ts", "user_id", "event_type")
+    keys = ["userID", "eventTime", "eventType"]
+
+    def run(stream):
+        ue = json_fields(st.user_event_lines(stream, st.HOUR_FORMAT), dict(apps.USER_EVENT_FIELDS))
+        at, _ = parse_event_line(F.concat(F.col("eventTime"), F.lit(",")))
+        res = dedup_within(ue.withColumn("at", at), "at", keys, WATERMARK)
+        return run_available_now(res, "parquet", f"{d}/checkpoint", "append", path=f"{d}/out")
+
+    run_in_time_order(spark, ev, "ts", f"{d}/in", slices or slices_of(spark, base, "events"), run)
+    return spark.read.parquet(f"{d}/out")
 
 
 # --- ids, ratings, splits ------------------------------------------------------
@@ -321,6 +421,13 @@ def q_rmse_aggregate(spark, base):
     return agg.rmse_vs_group_mean(r, "question_id", "rating", digits=6)
 
 
+def q_rmse_predictions(spark, base):
+    """RMSE of a prediction (a line through the score) against the rating."""
+    a = st.answers(spark, base).select(rec.rating_weight("score").alias("rating"),
+                                       (F.lit(3.0) - F.col("score") / 5.0).alias("prediction"))
+    return agg.rmse(a, "rating", "prediction", digits=6)
+
+
 def q_hash_split_counts(spark, base):
     r = rec.extract_ratings(st.answers(spark, base))
     b = hash_bucket("student_id", "question_id", buckets=10, seed=rec.SPLIT_SEED)
@@ -342,17 +449,36 @@ def q_answers_join_recs(spark, base):
     return attach(st.answers(spark, base), recs_text(spark, base), "student_id")
 
 
-def q_stream_static_join(spark, base, max_broadcast_bytes: int | None = None):
-    """Answers as a stream joined with a static recommendation table: broadcast
-    under the size bound, else a shuffle join that AQE re-plans per batch."""
+def q_serve_batches(spark, base, batches: int = 3):
+    """The serving path: answers in several micro-batches -> recommendations of their
+    students -> text -> joined -> appended by batch."""
+    d = _run_dir(spark, "serve_batches")
+    st.fixed_recs(spark, base).write.parquet(f"{d}/recs")
+    recs = spark.read.parquet(f"{d}/recs")
+    topic, q = st.start_answer_topic(spark, base, f"{d}/answers", {"availableNow": True})
+    wait_query(q)
+    path, fs = _fs(spark, topic)
+    size = -(-fs.getContentSummary(path).getLength() // batches)
+    answers = st.read_answer_topic(spark, base, topic, max_bytes=min(size, batch_bytes(spark)))
+
+    def recommender(students):
+        return recs.join(students.distinct(), "student_id", "left_semi")
+
+    fn = rec.serve_batch(recommender, updates_path_writer(f"{d}/served"))
+    run_available_now(answers, "foreach_batch", f"{d}/checkpoint", "append", batch_fn=fn)
+    return spark.read.parquet(f"{d}/served").drop("batch_id")
+
+
+def q_stream_static_join(spark, base):
+    """Answers as a stream joined with a static recommendation table (AQE plans each
+    micro-batch)."""
     recs_path = _run_dir(spark, "stream_static_recs")
     recs_text(spark, base).write.mode("overwrite").parquet(recs_path)
     recs = spark.read.parquet(recs_path)
     d = _run_dir(spark, "stream_static_join")
     wait_query(start_stream_static_join(
         st.answers(spark, base, stream=True), recs, "student_id", f"{d}/out",
-        f"{d}/checkpoint", max_broadcast_bytes=max_broadcast_bytes,
-        trigger={"availableNow": True}))
+        f"{d}/checkpoint", trigger={"availableNow": True}))
     return read_join_output(spark, f"{d}/out")
 
 
@@ -369,7 +495,8 @@ def q_registry_latest(spark, base):
     return latest_per_key(registry, ["model", "item"], "created_at", "path", extra=["rmse"])
 
 
-# --- ALS (no SQL form: rows-only check, unit tests) ---------------------------
+# --- ALS: what any model must give (which rows are scored, list lengths and order);
+# the numbers themselves have no SQL form and are unit-tested ------------------------
 
 def _als_table(spark, base, name: str, result) -> DataFrame:
     """Train on the 80% split and write ``result(model, train, test)`` as a
@@ -386,19 +513,34 @@ def _als_table(spark, base, name: str, result) -> DataFrame:
     return spark.read.parquet(d)
 
 
+def _list_shape(recs: DataFrame) -> DataFrame:
+    """Per student: length of the list, whether ratings fall and questions differ."""
+    r = F.col("recommendations")
+    ratings, items = F.transform(r, lambda x: x["rating"]), F.transform(r, lambda x: x["question_id"])
+    falls = F.sort_array(ratings, asc=False) == ratings
+    return recs.select(F.col("student_id").cast("long").alias("student_id"), F.size(r).cast("long").alias("n"),
+                       falls.alias("descending"), (F.size(F.array_distinct(items)) == F.size(r)).alias("distinct_items"))
+
+
 def q_als_predict(spark, base):
-    return _als_table(spark, base, "als_predict", lambda m, tr, te: rec.predict(m, te))
+    """The held-out ratings that are scored: cold-start rows are dropped."""
+    return _als_table(spark, base, "als_predict", lambda m, tr, te: rec.predict(m, te).select(
+        F.col("student_id").cast("long").alias("student_id"), F.col("question_id").cast("long").alias("question_id"),
+        "rating", (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("scored")))
 
 
 def q_als_recommend_all(spark, base):
     return _als_table(spark, base, "als_recommend_all",
-                      lambda m, tr, te: rec.recommend_all(m, rec.TOP_ALL))
+                      lambda m, tr, te: _list_shape(rec.recommend_all(m, rec.TOP_ALL)))
 
 
 def q_als_recommend_subset(spark, base):
+    """Lists for the students of one micro-batch: the answers of the newest day."""
+    a = st.answers(spark, base)
+    newest = a.agg(F.max(F.to_date("ts")).alias("day")).first()["day"]
+    students = a.filter(F.to_date("ts") == F.lit(newest)).select(id_number("student_id", "long").alias("student_id"))
     return _als_table(spark, base, "als_recommend_subset",
-                      lambda m, tr, te: rec.recommend_subset(m, te.select("student_id"),
-                                                             rec.TOP_SUBSET))
+                      lambda m, tr, te: _list_shape(rec.recommend_subset(m, students, rec.TOP_SUBSET)))
 
 
 # --- missing ids ----------------------------------------------------------------
@@ -420,6 +562,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wordcount_sql": q_wordcount_sql,
     "wordcount_stream_memory": q_wordcount_stream_memory,
     "foreach_batch_snapshot": q_foreach_batch_snapshot,
+    "foreach_batch_second_output": q_foreach_batch_second_output,
+    "iot_stats_stream": q_iot_stats_stream,
+    "event_line_quarantine": q_event_line_quarantine,
+    "json_quarantine": q_json_quarantine,
+    "top10_grades_stream": q_top10_grades_stream,
+    "top10_questions_with_subject_stream": q_top10_questions_with_subject_stream,
+    "lowest_score_students_stream": q_lowest_score_students_stream,
+    "rmse_predictions": q_rmse_predictions,
+    "serve_batches": q_serve_batches,
     "split_words_append": q_split_words_append,
     "nonblank_filter": q_nonblank_filter,
     "json_extract_fields": q_json_extract_fields,

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from livetable import schemas
 from livetable.session import shared_dir
-from livetable.streaming.joins import fits_broadcast
 from livetable.functions.text import lines_of
 from livetable.functions.timefns import epoch_millis
 from livetable.operators.recommend import QUESTION_PREFIX, STUDENT_PREFIX
 from livetable.operators.ranking import top_items_per_key
 from livetable.sources.files import batch_bytes, read_table, stream_table
+from livetable.streaming.sinks import start_query, wait_query
 
 # Id prefixes of the other answer fields (textbook, grade,
 # subject, chapter), as in the answer messages.
@@ -29,13 +29,13 @@ CHAPTER_PREFIX = "章节ID_chapter_"
 
 SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DAY_FORMAT = "yyyy-MM-dd"
+HOUR_FORMAT = "yyyy-MM-dd HH:00:00"
 
 
 def _src(spark: SparkSession, base: str, name: str, stream: bool) -> DataFrame:
     """The fact table a stand-in is built from (spread for per-row work)."""
     if stream:
-        return stream_table(spark, base, name, spread=True,
-                            max_bytes_per_trigger=batch_bytes(spark))
+        return stream_table(spark, base, name, max_bytes_per_trigger=batch_bytes(spark))
     return read_table(spark, base, name, spread=True)
 
 
@@ -52,9 +52,9 @@ def doc_pieces(spark: SparkSession, base: str, stream: bool = False) -> DataFram
     return docs.select("doc_id", F.explode(F.split("text", r"\.", -1)).alias("value"))
 
 
-def iot_lines(events: DataFrame) -> DataFrame:
+def iot_lines(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """IoT JSON: device, deviceType, signal, time (epoch ms)."""
-    return events.select(F.to_json(F.struct(
+    return events.select(*(keep or []), F.to_json(F.struct(
         F.concat(F.lit("device_"), F.col("event_id").cast("string")).alias("device"),
         F.col("event_type").alias("deviceType"),
         F.col("value").alias("signal"),
@@ -79,11 +79,11 @@ def event_word_lines(events: DataFrame) -> DataFrame:
                                   F.col("event_type")).alias("value"))
 
 
-def user_event_lines(events: DataFrame) -> DataFrame:
+def user_event_lines(events: DataFrame, fmt: str = DAY_FORMAT) -> DataFrame:
     """User-event JSON with string fields; event time cut to the day (the raw
     triple never repeats, the day form does)."""
     return events.select(F.to_json(F.struct(
-        F.date_format("ts", DAY_FORMAT).alias("eventTime"),
+        F.date_format("ts", fmt).alias("eventTime"),
         F.col("event_type").alias("eventType"),
         F.col("user_id").cast("string").alias("userID"))).alias("value"))
 
@@ -111,8 +111,7 @@ def _answers_of(li: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
         F.col("o_orderdate").alias("ts"))
 
 
-def answers(spark: SparkSession, base: str, stream: bool = False,
-            max_broadcast_bytes: int | None = None) -> DataFrame:
+def answers(spark: SparkSession, base: str, stream: bool = False) -> DataFrame:
     """Student answers: lineitem joined to its order and part.
 
     customer -> student, part -> question, brand -> subject (a function of the
@@ -120,35 +119,41 @@ def answers(spark: SparkSession, base: str, stream: bool = False,
     -> chapter, quantity mod 11 -> score, order date -> answer time.
     Column order and types are those of ``schemas.ANSWER``.
 
-    ``stream=True``: when orders and part are both under the broadcast bound,
-    the lineitem stream joins them as broadcasts (no shuffle, so a hot order
-    costs nothing).  Above it, the stream reads an answer topic written once by
-    the batch join (:func:`answer_topic`).  A stream–static shuffle join would
-    re-shuffle orders in every micro-batch, and the live statistics that
-    consume the answers are stateful, so their micro-batches run without AQE
-    and could not split a hot order.
+    ``stream=True``: the rows there are now, as a live topic (see
+    :func:`start_answer_topic`).
     """
-    orders, part = _answer_dims(spark, base)
     if not stream:
-        return _answers_of(_src(spark, base, "lineitem", False), orders, part)
-    if fits_broadcast(orders, max_broadcast_bytes) and fits_broadcast(part, max_broadcast_bytes):
-        return _answers_of(_src(spark, base, "lineitem", True),
-                           F.broadcast(orders), F.broadcast(part))
-    return answer_topic(spark, base)
+        return _answers_of(_src(spark, base, "lineitem", False), *_answer_dims(spark, base))
+    topic, q = start_answer_topic(spark, base, trigger={"availableNow": True})
+    wait_query(q)
+    return read_answer_topic(spark, base, topic)
 
 
-def answer_topic(spark: SparkSession, base: str) -> DataFrame:
-    """The answers as a stream of finished messages, as a topic holds them.
+def start_answer_topic(spark: SparkSession, base: str, root: str | None = None,
+                       trigger: dict | None = None, max_files: int | None = None):
+    """Start the query that feeds the answer topic; returns (topic folder, query).
 
-    The batch job joins lineitem, orders and part once, with AQE (runtime join
-    choice, skew split), and writes the rows to a folder under the shared
-    checkpoint directory; the stream reads that folder.
+    A stateless stream joins ``lineitem`` with orders and part and appends finished
+    answers to the folder, at every size of the tables: AQE plans each micro-batch (join
+    choice, skew split), and stateful statistics read the folder without a join of
+    their own.  Rows that arrive in ``lineitem`` later reach the topic with the next
+    micro-batch.  ``root`` keeps topic and checkpoint across restarts.
     """
-    path = shared_dir(spark, "topics", "answers", unique=True)
-    batch = answers(spark, base)
-    batch.write.parquet(path)
-    return (spark.readStream.schema(batch.schema)
-            .option("maxBytesPerTrigger", str(batch_bytes(spark))).parquet(path))
+    root = root or shared_dir(spark, "topics", "answers", unique=True)
+    orders, part = _answer_dims(spark, base)
+    li = stream_table(spark, base, "lineitem", max_files_per_trigger=max_files,
+                      max_bytes_per_trigger=None if max_files else batch_bytes(spark))
+    q = start_query(_answers_of(li, orders, part), "parquet", f"{root}/checkpoint", "append",
+                    path=f"{root}/topic", trigger=trigger)
+    return f"{root}/topic", q
+
+
+def read_answer_topic(spark: SparkSession, base: str, topic: str,
+                      max_bytes: int | None = None) -> DataFrame:
+    """The answer topic as a stream."""
+    schema = _answers_of(read_table(spark, base, "lineitem"), *_answer_dims(spark, base)).schema
+    return (spark.readStream.schema(schema)
+            .option("maxBytesPerTrigger", str(max_bytes or batch_bytes(spark))).parquet(topic))
 
 
 def answer_json_lines(ans: DataFrame) -> DataFrame:

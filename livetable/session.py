@@ -73,7 +73,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
-        return current.get().rstrip("/")
+        # Spark adds a folder with a random name for each context; what must be
+        # found again after a restart lives beside it.
+        return current.get().rstrip("/").rsplit("/", 1)[0]
     if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster needs a shared folder "

@@ -71,13 +71,8 @@ def _spread(spark: SparkSession, df: DataFrame, scan: DataFrame) -> DataFrame:
 
 def stream_table(spark: SparkSession, base: str, name: str,
                  max_files_per_trigger: int | None = None,
-                 spread: bool = False,
                  max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of a parquet table; schema taken from the footer.
-
-    ``spread`` applies the rule of :func:`read_table` to the stream, judged on
-    the splits of the files present now.
-    """
+    """Streaming read of a parquet table; schema taken from the footer."""
     path = table_path(base, name)
     scan = spark.read.parquet(path)
     reader = _limits(spark.readStream.schema(scan.schema), max_files_per_trigger,
@@ -87,7 +82,7 @@ def stream_table(spark: SparkSession, base: str, name: str,
     else:
         # A one-file table: stream its folder, keep only that file.
         df = reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
-    return _spread(spark, df, scan) if spread else df
+    return df
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,

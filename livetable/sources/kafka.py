@@ -55,8 +55,12 @@ def kafka_rows(df: DataFrame, value: Column, topic: str, offset: Column,
 
 def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str,
                 output_mode: str = "append"):
-    """Start a Kafka sink: one ``value`` column, null key."""
-    return (df.select(F.col(df.columns[0]).cast("string").alias("value"))
+    """Start a Kafka sink of the column ``value`` (and ``key``, where there is one).
+    Other columns have no place in a record, so they are refused."""
+    extra = set(df.columns) - {"key", "value"}
+    if "value" not in df.columns or extra:
+        raise ValueError(f"a Kafka sink takes a value and at most a key, not {df.columns}")
+    return (df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
             .writeStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("topic", topic)

@@ -1,43 +1,34 @@
 """Stream–static equi-join that stays balanced when one key is hot.
 
-* The static side's size estimate is under the bound (default: the session's
-  ``spark.sql.autoBroadcastJoinThreshold``): it is broadcast and the
-  stream is never shuffled, so a hot key costs nothing extra.
-* Otherwise it is a shuffle join.  Spark 4.1 plans each micro-batch of a
-  stateless query adaptively, so AQE's skew join splits a hot key's partition
-  (``test_skew`` checks for ``SortMergeJoin(skew=true)`` in a micro-batch).  A
-  query with a stateful operator (aggregation, de-duplication) runs its
-  micro-batches without AQE.  Join before such an operator only on the
-  broadcast path, or write the joined rows first and stream them, as the
-  answer stand-in does.
+Spark 4.1 plans each micro-batch of a stateless query adaptively: a static side
+under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast and the stream is not
+shuffled; otherwise it is a shuffle join whose skewed partitions AQE splits
+(``test_skew`` checks for ``SortMergeJoin(skew=true)`` in a micro-batch).  A query
+with a stateful operator (aggregation, de-duplication) runs its micro-batches
+without AQE, so joins come first: write the joined rows to a topic folder and
+let the stateful query read that folder, as the answer stand-in does.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from livetable.operators.joins import fits_broadcast
 from livetable.streaming.sinks import start_query
 
 
 def stream_static_join(stream: DataFrame, static: DataFrame, on: str | list[str],
-                       how: str = "inner",
-                       max_broadcast_bytes: int | None = None) -> DataFrame:
-    """``stream.join(static, on, how)``, broadcasting ``static`` under the bound."""
-    if fits_broadcast(static, max_broadcast_bytes):
-        static = F.broadcast(static)
+                       how: str = "inner") -> DataFrame:
+    """``stream.join(static, on, how)``."""
     return stream.join(static, on, how)
 
 
 def start_stream_static_join(stream: DataFrame, static: DataFrame, on: str | list[str],
                              path: str, checkpoint: str, how: str = "inner",
-                             max_broadcast_bytes: int | None = None,
                              trigger: dict | None = None) -> StreamingQuery:
     """Join ``stream`` with ``static`` and append the rows to a parquet file
     sink at ``path`` (exactly-once by the sink's log)."""
-    joined = stream_static_join(stream, static, on, how, max_broadcast_bytes)
+    joined = stream_static_join(stream, static, on, how)
     return start_query(joined, "parquet", checkpoint, "append", path=path, trigger=trigger)
 
 

@@ -146,6 +146,13 @@ def wait_query(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQu
     return q
 
 
+def dropped_by_watermark(q: StreamingQuery) -> int:
+    """Rows that stateful operators of ``q`` refused as too late, in the batches
+    Spark keeps progress of."""
+    return sum(op["numRowsDroppedByWatermark"] or 0
+               for p in q.recentProgress for op in (p["stateOperators"] or []))
+
+
 def latest_updates(spark: SparkSession, path: str, keys: list[str],
                    values: list[str]) -> DataFrame:
     """Current value per key from an ``updates`` sink (newest batch wins)."""
@@ -159,7 +166,8 @@ def foreach_batch_outputs(outputs: list[Callable[[DataFrame, int], None]],
     """One ``foreachBatch`` function feeding several outputs from one read.
 
     The batch is persisted once when there is more than one output, and
-    released afterwards; empty batches are skipped (``isEmpty``, not count).
+    released afterwards; empty batches are skipped (``isEmpty``, not count).  In
+    complete mode pass ``skip_empty=False``: an empty result is an empty table.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
@@ -185,6 +193,19 @@ def jdbc_snapshot(df: DataFrame, url: str, table: str, properties: dict) -> None
      .jdbc(url, table, properties=properties))
 
 
+def _has_table(conn, table: str) -> bool:
+    """Asks the database's own catalog; names may be stored in another case."""
+    schema, _, name = table.rpartition(".")
+    found = conn.getMetaData().getTables(None, schema or None, None, None)
+    try:
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == name.lower():
+                return True
+        return False
+    finally:
+        found.close()
+
+
 def jdbc_append_idempotent(spark: SparkSession, df: DataFrame, batch_id: int,
                            url: str, table: str, properties: dict) -> None:
     """Append a micro-batch keyed by ``batch_id``: rows of an earlier attempt
@@ -195,19 +216,15 @@ def jdbc_append_idempotent(spark: SparkSession, df: DataFrame, batch_id: int,
     props = jvm.java.util.Properties()
     for k, v in properties.items():
         props.setProperty(k, str(v))
-    conn = None
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
     try:
-        conn = jvm.java.sql.DriverManager.getConnection(url, props)
-        st = conn.prepareStatement(f"DELETE FROM {table} WHERE batch_id = ?")
-        st.setLong(1, batch_id)
-        st.executeUpdate()
-        st.close()
-    except Exception as e:  # the table does not exist before the first batch
-        if "does not exist" not in str(e).lower() and "not found" not in str(e).lower():
-            raise
+        if _has_table(conn, table):  # absent before the first batch
+            st = conn.prepareStatement(f"DELETE FROM {table} WHERE batch_id = ?")
+            st.setLong(1, batch_id)
+            st.executeUpdate()
+            st.close()
     finally:
-        if conn is not None:
-            conn.close()
+        conn.close()
     (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("append").jdbc(url, table, properties=properties))
 

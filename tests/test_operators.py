@@ -32,7 +32,7 @@ def test_iot_count_forms(spark):
     sql_form = filtered_stats(df, F.col("signal") > 30, "deviceType", "signal").collect()
     dsl_form = filtered_stats(df, F.col("signal") > 30, "deviceType", "signal",
                               count_col="device_id").collect()
-    assert [(r.deviceType, r.counts, r.avgsignal) for r in sql_form] == [("t", 2, 45.0)]
+    assert [(r.deviceType, r.counts, r.mean_signal) for r in sql_form] == [("t", 2, 45.0)]
     assert [(r.deviceType, r.counts) for r in dsl_form] == [("t", 1)]  # null id skipped
 
 
@@ -58,13 +58,26 @@ def test_rmse_forms_agree(spark):
     assert abs(direct.rmse - fast.rmse) < 1e-12 and direct.n == fast.n == 5
 
 
-def test_attach_broadcasts_only_small_sides(spark):
+def test_attach_leaves_the_join_choice_to_spark(spark):
     big = spark.range(0, 100000).withColumnRenamed("id", "k")
     small = spark.range(0, 10).withColumnRenamed("id", "k")
-    plan = attach(big, small, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    plan2 = attach(big, small, "k", max_broadcast_bytes=0)
-    assert plan2.count() == 10
+    j = attach(big, small, "k")
+    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()
+    assert "ResolvedHint" not in j._jdf.queryExecution().analyzed().toString()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = attach(big, small, "k")
+        assert "SortMergeJoin" in j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_group_rmse_keeps_its_digits_for_large_means(spark):
+    df = spark.createDataFrame([("a", 1e9 + x) for x in (0.0, 1.0, 2.0, 3.0)], "g string, x double")
+    r = rmse_vs_group_mean(df, "g", "x", digits=None).first()
+    assert abs(r.rmse - 1.25 ** 0.5) < 1e-9
 
 
 def test_count_by_named(spark):

@@ -14,7 +14,7 @@ BATCH_KEYS = ["wordcount_dsl", "nonblank_filter", "json_extract_fields",
               "top10_questions", "top10_grades", "top10_questions_with_subject",
               "lowest_score_students", "lowest_questions_per_student",
               "window_tumbling_daily", "id_to_number", "rating_bucket", "ratings_extract",
-              "rmse_aggregate", "hash_split_counts", "recs_to_string", "answers_join_recs",
+              "rmse_aggregate", "rmse_predictions", "hash_split_counts", "recs_to_string", "answers_join_recs",
               "registry_latest", "missing_id_xor"]
 
 
@@ -66,3 +66,16 @@ def test_streaming_aggregation_is_partial_before_the_state_store(spark, tmp_path
     exchange = plan.index("Exchange hashpartitioning")
     restore = plan.index("StateStoreRestore")
     assert restore < exchange < partial  # printed top-down: partial sits below the shuffle
+
+
+@pytest.mark.parametrize("name", ["lowest_score_students", "registry_latest"])
+def test_raw_rows_are_not_sorted_before_the_shuffle(spark, name):
+    """The first aggregate over the rows is a hash aggregate of numbers or times."""
+    plan = _plan(QUERIES[name](spark, SF0001)).split("== Initial Plan ==")[0]
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+    for i, line in enumerate(lines):
+        if "SortAggregate" in line and "partial_" in line:
+            below = "\n".join(lines[i:])
+            assert "Join" in below.split("FileScan")[0], plan  # only what a join has left
+    assert scans and "HashAggregate" in plan

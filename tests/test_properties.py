@@ -212,9 +212,9 @@ def test_filtered_stats_count_forms(spark, rows):
     from livetable.operators.aggregate import filtered_stats
     df = spark.createDataFrame(rows, "t string, device string, signal double")
     cond = F.col("signal") > 30
-    rows_form = {r.t: (r.counts, r.avgsignal) for r in
+    rows_form = {r.t: (r.counts, r.mean_signal) for r in
                  filtered_stats(df, cond, "t", "signal").collect()}
-    dev_form = {r.t: (r.counts, r.avgsignal) for r in
+    dev_form = {r.t: (r.counts, r.mean_signal) for r in
                 filtered_stats(df, cond, "t", "signal", count_col="device").collect()}
     kept = [(t, d, s) for t, d, s in rows if s is not None and s > 30]
     for t in {t for t, _, _ in kept}:

@@ -130,10 +130,50 @@ def test_serve_batch_stream(spark, trained, tmp):
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
     answers = st.answers(spark, SF0001, stream=True)
-    fn = rec.serve_batch(rec.ModelCache(spark, registry), write)
+    fn = rec.serve_batch(rec.model_recommender(rec.ModelCache(spark, registry)), write)
     run_available_now(answers, "foreach_batch", os.path.join(tmp, "ck"), batch_fn=fn)
     served = spark.read.parquet(out)
     assert served.count() > 0
     assert set(served.columns) >= {"student_id", "question_id", "recommendations"}
     row = served.first()
     assert all(x.startswith(rec.QUESTION_PREFIX) for x in row.recommendations.split(","))
+
+
+def test_answers_read_before_the_first_publication_are_served_after_it(spark, trained, tmp):
+    """Without a model the batch fails, its offsets stay open, and a restart serves it."""
+    _, _, _, model = trained
+    root, registry = os.path.join(tmp, "models"), os.path.join(tmp, "registry")
+    out = os.path.join(tmp, "served")
+
+    def write(df, batch_id):
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    topic, q = st.start_answer_topic(spark, SF0001, os.path.join(tmp, "answers"), {"availableNow": True})
+    q.awaitTermination()
+
+    def serve():
+        fn = rec.serve_batch(rec.model_recommender(rec.ModelCache(spark, registry)), write)
+        run_available_now(st.read_answer_topic(spark, SF0001, topic), "foreach_batch", os.path.join(tmp, "ck"), batch_fn=fn)
+
+    with pytest.raises(Exception, match="no model in the registry"):
+        serve()
+    assert not os.path.exists(out)
+    rec.publish_if_good(spark, model, 1.0, root, registry)
+    serve()
+    known = {f"{rec.STUDENT_PREFIX}{r.id}" for r in model.userFactors.select("id").collect()}
+    want = sum(r.student_id in known for r in st.answers(spark, SF0001).select("student_id").collect())
+    assert spark.read.parquet(out).count() == want > 0
+
+
+def test_unreadable_registry_is_an_error(spark, tmp):
+    os.makedirs(os.path.join(tmp, "registry"))
+    with open(os.path.join(tmp, "registry", "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        reg.current_path(spark, os.path.join(tmp, "registry"), "m", "i")
+    assert reg.current_path(spark, os.path.join(tmp, "absent"), "m", "i") is None
+
+
+def test_ids_beyond_32_bits_are_left_out_by_rule(spark):
+    rows = spark.createDataFrame([(1, 2, 3.0), (2**31, 2, 3.0)], "student_id long, question_id long, rating float")
+    assert rec._als_input(rows).count() == 1

@@ -74,7 +74,7 @@ def test_hot_student_join_is_split_by_aqe(spark, tmp):
     answers = _answers(spark)
     recs = _recs(spark, answers, os.path.join(tmp, "recs"))
     with _skew_conf(spark):
-        j = attach(answers, recs, "student_id", max_broadcast_bytes=0)
+        j = attach(answers, recs, "student_id")
         rows = j.collect()
         plan = j._jdf.queryExecution().executedPlan().toString()
     _check_join(rows)
@@ -90,7 +90,7 @@ def test_hot_student_stream_join_is_split_by_aqe(spark, tmp):
     with _skew_conf(spark):
         q = wait_query(start_stream_static_join(
             stream, recs, "student_id", os.path.join(tmp, "out"), os.path.join(tmp, "ck"),
-            max_broadcast_bytes=0, trigger={"availableNow": True}))
+            trigger={"availableNow": True}))
         plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
     _check_join(read_join_output(spark, os.path.join(tmp, "out")).collect())
     assert _is_skew_split(plan), plan

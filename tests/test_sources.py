@@ -58,18 +58,46 @@ def test_one_file_table_streams(spark, tmp):
     assert spark.read.parquet(out).count() == read_table(spark, SF0001, "events").count()
 
 
-def test_answer_stream_forms_agree(spark, tmp):
-    """Broadcast-joined stream and the materialized topic give the same rows."""
+def test_answer_topic_follows_the_table(spark, tmp):
+    """Rows that reach ``lineitem`` after the start reach the topic and what reads it,
+    with the static tables broadcast and joined by shuffle."""
+    import shutil
+
+    from livetable.operators.aggregate import count_by
     from livetable.plans import standins as st
-    from livetable.streaming.sinks import run_available_now
-    out = []
-    for i, bound in enumerate((None, 0)):
-        kw = {} if bound is None else {"max_broadcast_bytes": bound}
-        s = st.answers(spark, SF0001, stream=True, **kw)
-        run_available_now(s, "parquet", os.path.join(tmp, f"ck{i}"), path=os.path.join(tmp, f"o{i}"))
-        out.append(sorted(map(tuple, spark.read.parquet(os.path.join(tmp, f"o{i}")).collect())))
-    batch = sorted(map(tuple, st.answers(spark, SF0001).collect()))
-    assert out[0] == out[1] == batch and len(batch) > 0
+    from livetable.streaming.sinks import read_snapshot
+    li = read_table(spark, SF0001, "lineitem")
+    for i, limit in enumerate((None, "-1")):
+        base = os.path.join(tmp, f"base{i}")
+        os.makedirs(base)
+        for t in ("orders", "part"):
+            shutil.copy(f"{SF0001}/{t}.parquet", base)
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        if limit:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            def run():
+                topic, q = st.start_answer_topic(spark, base, os.path.join(tmp, f"topic{i}"), {"availableNow": True})
+                q.awaitTermination()
+                counts = count_by(st.read_answer_topic(spark, base, topic), "grade_id")
+                run_available_now(counts, "snapshot", os.path.join(tmp, f"ck{i}"), "complete",
+                                  path=os.path.join(tmp, f"out{i}"))
+                return sum(r["count"] for r in read_snapshot(spark, os.path.join(tmp, f"out{i}")).collect())
+
+            li.filter("l_orderkey % 2 = 0").write.parquet(f"{base}/lineitem.parquet")
+            first = run()
+            li.filter("l_orderkey % 2 = 1").write.mode("append").parquet(f"{base}/lineitem.parquet")
+            assert 0 < first < run() == st.answers(spark, SF0001).count()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_kafka_sink_takes_value_and_key_only(spark):
+    import pytest
+    from livetable.sources.kafka import write_kafka
+    rows = spark.readStream.format("rate").load().selectExpr("cast(value as string) word")
+    with pytest.raises(ValueError, match="value"):
+        write_kafka(rows, "localhost:1", "t", "/nowhere")
 
 
 def test_stream_backlog_is_read_in_bounded_batches(spark, tmp):

@@ -21,17 +21,17 @@ from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates, li
 
 from conftest import SF0001
 
-# Late-data trace (FIXTURES.md section 3): 2019-10-10 12:mm:ss, window 10 s,
-# slide 5 s, watermark 10 s.
-BLOCKS = [["00:07,dog", "00:08,owl"],
-          ["00:14,dog", "00:09,cat"],
-          ["00:15,cat", "00:08,dog", "00:13,owl", "00:21,owl"],
-          ["00:04,donkey", "00:17,owl"]]
+# Late-data trace, made for this test: 2023-03-03 09:mm:ss, window 10 s, slide 5 s,
+# watermark 10 s.
+BLOCKS = [["30:06,ash", "30:09,elm"],
+          ["30:12,ash", "30:08,fir"],
+          ["30:17,fir", "30:07,ash", "30:11,elm", "30:22,elm"],
+          ["30:03,oak", "30:16,elm"]]
 
 
 def _line(s):
     t, w = s.split(",")
-    return f"2019-10-10 12:{t},{w}"
+    return f"2023-03-03 09:{t},{w}"
 
 
 def _trace_query(spark, src):
@@ -72,23 +72,23 @@ def _run_trace(spark, tmp, mode):
 
 def test_late_data_update_mode(spark, tmp):
     out, dropped = _run_trace(spark, tmp, "update")
-    assert out[0] == sorted([("00:00", "00:10", "dog", 1), ("00:00", "00:10", "owl", 1),
-                             ("00:05", "00:15", "dog", 1), ("00:05", "00:15", "owl", 1)])
-    assert out[1] == sorted([("00:00", "00:10", "cat", 1), ("00:05", "00:15", "cat", 1),
-                             ("00:05", "00:15", "dog", 2), ("00:10", "00:20", "dog", 1)])
-    assert out[2] == sorted([("00:00", "00:10", "dog", 2), ("00:05", "00:15", "dog", 3),
-                             ("00:05", "00:15", "owl", 2), ("00:10", "00:20", "cat", 1),
-                             ("00:10", "00:20", "owl", 1), ("00:15", "00:25", "cat", 1),
-                             ("00:15", "00:25", "owl", 1), ("00:20", "00:30", "owl", 1)])
-    assert out[3] == sorted([("00:10", "00:20", "owl", 2), ("00:15", "00:25", "owl", 2)])
-    assert dropped == 2  # donkey, in its two windows
+    w = {0: ("30:00", "30:10"), 5: ("30:05", "30:15"), 10: ("30:10", "30:20"), 15: ("30:15", "30:25"), 20: ("30:20", "30:30")}
+    rows = lambda *x: sorted((*w[s], word, n) for s, word, n in x)
+    assert out[0] == rows((0, "ash", 1), (0, "elm", 1), (5, "ash", 1), (5, "elm", 1))
+    # ash 30:12 is in 5 and 10, fir 30:08 in 0 and 5.
+    assert out[1] == rows((5, "ash", 2), (10, "ash", 1), (0, "fir", 1), (5, "fir", 1))
+    # Watermark 30:02: ash 30:07 is late and still counts.
+    assert out[2] == rows((10, "fir", 1), (15, "fir", 1), (0, "ash", 2), (5, "ash", 3), (5, "elm", 2),
+                          (10, "elm", 1), (15, "elm", 1), (20, "elm", 1))
+    # Watermark 30:12: oak's windows (ends 30:05 and 30:10) are gone.
+    assert out[3] == rows((10, "elm", 2), (15, "elm", 2))
+    assert dropped == 2
 
 
 def test_late_data_append_mode(spark, tmp):
     out, _ = _run_trace(spark, tmp, "append")
     assert out[0] == [] and out[1] == []
-    assert out[2] == sorted([("00:00", "00:10", "cat", 1), ("00:00", "00:10", "dog", 2),
-                             ("00:00", "00:10", "owl", 1)])
+    assert out[2] == sorted([("30:00", "30:10", "ash", 2), ("30:00", "30:10", "elm", 1), ("30:00", "30:10", "fir", 1)])
     assert out[3] == []
 
 
@@ -243,30 +243,43 @@ def test_console_sink_and_fixed_interval_trigger(spark, tmp, capfd):
 
 
 def test_stream_static_join_both_paths(spark):
-    """Broadcast path and shuffle-join path give the oracle's rows."""
-    from functools import partial
-
+    """Broadcast and shuffle join give the oracle's rows."""
     from livetable.plans.oracle import ORACLE
     from oracle_compare import compare
 
-    for bound in (None, 0):
-        fn = Q.q_stream_static_join if bound is None else \
-            partial(Q.q_stream_static_join, max_broadcast_bytes=bound)
-        r = compare(spark, "stream_static_join", fn, ORACLE["stream_static_join"], SF0001)
-        assert r["cols_match"] and r["values_match"], (bound, r)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (old, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            r = compare(spark, "stream_static_join", Q.q_stream_static_join, ORACLE["stream_static_join"], SF0001)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert r["cols_match"] and r["values_match"], (limit, r)
         assert r["spark_rows"] == r["oracle_rows"] > 0
 
 
-def test_broadcast_stream_join_does_not_shuffle_the_stream(spark, tmp):
+def test_small_static_side_does_not_shuffle_the_stream(spark, tmp):
+    """No hint and no round robin: Spark broadcasts what its own bound allows."""
     from livetable.plans import standins as st
-    from livetable.streaming.joins import start_stream_static_join
-    from livetable.streaming.sinks import wait_query
-    recs = os.path.join(tmp, "recs")
-    Q.recs_text(spark, SF0001).write.parquet(recs)
-    q = wait_query(start_stream_static_join(
-        st.answers(spark, SF0001, stream=True), spark.read.parquet(recs), "student_id",
-        os.path.join(tmp, "out"), os.path.join(tmp, "ck"), trigger={"availableNow": True}))
+    _, q = st.start_answer_topic(spark, SF0001, os.path.join(tmp, "topic"), {"availableNow": True})
+    q.awaitTermination()
     plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("BroadcastHashJoin") == 3, plan  # orders, part, recs
-    assert "Exchange hashpartitioning" not in final, plan
+    assert final.count("BroadcastHashJoin") == 2, plan  # orders, part
+    assert "Exchange hashpartitioning" not in final and "RoundRobin" not in final, plan
+
+
+def test_late_rows_of_an_ordered_replay_are_an_error(spark, tmp):
+    """A replay that is not in time order is refused, not cut."""
+    from livetable.streaming.eventtime import run_in_time_order
+    from livetable.streaming.sinks import dropped_by_watermark
+    rows = [(f"2023-01-{d:02d} 00:00:00", "x") for d in (20, 1)]
+    df = spark.createDataFrame(rows, "t string, word string").selectExpr("cast(t as timestamp_ntz) ts", "word")
+
+    def run(stream):
+        counts = windowed_count(stream, "ts", "word", "1 hour", "30 minutes", "10 minutes")
+        return run_available_now(counts, "parquet", os.path.join(tmp, "ck"), "append", path=os.path.join(tmp, "out"))
+
+    run_in_time_order(spark, df, "ts", os.path.join(tmp, "in"), 2, run)
+    df.filter("ts < '2023-01-02'").write.mode("append").parquet(os.path.join(tmp, "in"))
+    assert dropped_by_watermark(run(spark.readStream.schema(df.schema).parquet(os.path.join(tmp, "in")))) > 0
