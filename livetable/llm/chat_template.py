@@ -409,7 +409,7 @@ def format_conversations(rows: DataFrame, template: str = TEMPLATE, conv_id: str
                                                "learnt array<struct<start:long,end:long>>")
 
 
-_T = r"((?:[^\\\[<]+|\\.)*)"
+_T = r"((?:[^\\\[<]++|\\.)*+)"     # possessive: what is not read back fails at once
 _TURN = re.compile(rf"\[INST\]{_T}\[/INST\]|\[ANS\]{_T}</s>|\[ROLE\]{_T}\[SAYS\]{_T}\[/ROLE\]", re.S)
 
 _DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),

@@ -250,17 +250,18 @@ def _occurrences(w: _Windows, phrases: tuple, doc_ids: list, window: int) -> np.
 
 def _spelled(words: np.ndarray, vocabulary: np.ndarray) -> tuple[str, np.ndarray]:
     """The words as a string, and where each begins in it (with the end).  A word of the
-    vocabulary is three letters, its number's digits, each digit with letters of its
+    vocabulary is two letters, its number's digits, each digit with letters of its
     own, so words never overlap; any other word is one letter.  The automaton looks
     through a node's letters one by one, so few letters keep its steps short."""
     n = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
     known = vocabulary[n] == words
-    base = max(2, round(len(vocabulary) ** (1 / 3)) + 1)
-    at = np.concatenate([[0], np.cumsum(np.where(known, 3, 1))])
+    base = round(len(vocabulary) ** 0.5) + 1
+    at = np.concatenate([[0], np.cumsum(np.where(known, 2, 1))])
     letters = np.ones(int(at[-1]), np.uint32)
     k = at[:-1][known]
-    for place, digit in enumerate((n // (base * base), n // base % base, n % base)):
+    for place, digit in enumerate((n // base, n % base)):
         letters[k + place] = 2 + place * base + digit[known]
+    letters[letters >= 0xD800] += 0x800     # no surrogates
     return letters.tobytes().decode("utf-32-le"), at
 
 

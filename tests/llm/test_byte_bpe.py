@@ -1,0 +1,87 @@
+"""Byte-level BPE against the tiktoken library, and round trips."""
+
+import random
+
+import pyarrow as pa
+import pytest
+import tiktoken
+import public_tokenizers
+from hypothesis import given, settings, strategies as s
+
+from livetable.llm import byte_bpe as b
+from livetable.llm.queries import QUERIES, VOCABULARY
+from livetable.llm.spans import column_bytes, pieces
+
+from conftest import SF001, sha
+
+RANKS = b.load_ranks(VOCABULARY)
+ORACLE = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def encode(texts, encoder, limit=1 << 16):
+    data, offsets = column_bytes(pa.array(texts, pa.string()))
+    decoder, out = b.Decoder(RANKS), []
+    for i, j in pieces(offsets, limit):
+        ids, cut = b.encode_texts(data, offsets, i, j, encoder)
+        raw, at = decoder.decode(ids, cut)
+        for k in range(j - i):
+            assert raw[at[k]:at[k + 1]].tobytes() == (texts[i + k] or "").encode()
+            out.append(ids[cut[k]:cut[k + 1]].tolist())
+    return out
+
+
+def test_pattern_is_the_tokenizers():
+    assert b.SPLIT == public_tokenizers.PATTERN
+
+
+def test_every_code_point():
+    texts = ["".join(chr(c) for c in range(a, a + 61) if not 0xD800 <= c < 0xE000) for a in range(0, 0x32000, 61)]
+    assert encode(texts, b.Encoder(RANKS)) == [ORACLE.encode_ordinary(t) for t in texts]
+
+
+BITS = ["a", "the", " ", "  ", "\n", "\t", "'s", "'", "'ll", "'re", "l", "ve", "1", "22", "é", "漢", "😀", "!", "--", "\x1c", "\x85", "'S", "́"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(s.lists(s.lists(s.sampled_from(BITS), max_size=25).map("".join), max_size=8))
+def test_random_texts(texts):
+    assert encode(texts, b.Encoder(RANKS), 40) == [ORACLE.encode_ordinary(t) for t in texts]
+
+
+def test_tree_of_long_parts(monkeypatch):
+    """Joins decide: small leaves, long parts without any split."""
+    monkeypatch.setattr(b, "LEAF", 1)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abcdelnorst") for _ in range(n)) for n in (3, 17, 100, 3000)] + ["a" * 999, "ab" * 500, "é" * 400, "\n" * 777]
+    assert encode(texts, b.Encoder(RANKS)) == [ORACLE.encode_ordinary(t) for t in texts]
+
+
+def test_hash_collisions_do_no_harm(monkeypatch):
+    monkeypatch.setattr(b, "hash_spans", lambda buf, starts, lens, seed=0: (lens % 3).astype("u8"))
+    texts = ["one two three fours", "fives sixes", "", "a bb ccc dddd"]
+    assert encode(texts, b.Encoder(RANKS)) == [ORACLE.encode_ordinary(t) for t in texts]
+
+
+def test_query_on_table(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    got = QUERIES["op6_byte_bpe"](spark, SF001).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = ORACLE.encode_ordinary(docs[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(",".join(map(str, ids))), sha(docs[r["doc_id"]]))
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "x"), (1, "", "x"), (None, "it's", "x"), (2, "a" * 100_000, "x"), (2, "a" * 100_000, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    got = b.encode(df, VOCABULARY, decode=True, carry=("ids",))
+    got = got.toDF("doc_id", "was", "ids", "decoded").collect()
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"]).decode(), r["was"]) for r in got), key=str) == \
+        sorted(((i, ORACLE.encode_ordinary(t or ""), t or "", x) for i, t, x in rows), key=str)
+    assert b.encode(df.limit(0), VOCABULARY).collect() == []
+
+
+def test_vocabulary_bound(tmp_path, monkeypatch):
+    monkeypatch.setattr(b, "MAX_VOCABULARY_BYTES", 10)
+    with pytest.raises(ValueError):
+        b.load_ranks(VOCABULARY)

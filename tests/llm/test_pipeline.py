@@ -1,0 +1,69 @@
+"""The pipeline's stages one by one, each against brute force on its own input."""
+
+import corpus_pipeline as cp
+import tiktoken
+import public_tokenizers
+from livetable.llm.queries import QUERIES
+
+import test_decontaminate
+import test_minhash_dedup
+import test_phrase_dedup
+from conftest import SF001
+
+
+def stage_rows(spark, name, docs, tmp_path):
+    out = str(tmp_path / name)
+    dict(cp.STAGES)[name](spark, docs, SF001).write.parquet(out)
+    return spark.read.parquet(out)
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def test_stages(spark, tmp_path):
+    assert [n for n, _ in cp.STAGES] == ["toxicity", "near_dedup", "substring_dedup", "decontamination", "byte_bpe"]
+    odd = spark.createDataFrame([(None, "Some words of no document", "en", "s", 25), (5000, None, "en", "s", 0), (5001, "", None, None, None)],
+                                "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").union(odd)
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
+
+    kept = stage_rows(spark, "toxicity", docs, tmp_path)
+    assert kept.columns == cp.COLUMNS
+    gone = {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in kept.collect()}
+    assert gone and sum(labels.get(i) == 0 for i in gone) <= 2
+
+    single = stage_rows(spark, "near_dedup", kept, tmp_path)
+    want = {r[0] for r in test_minhash_dedup.brute(pairs(kept), 5) if r[3]}
+    assert {r["doc_id"] for r in single.collect()} == want and single.count() == len(want)
+
+    cut = stage_rows(spark, "substring_dedup", single, tmp_path)
+    words = {r[0]: (r[1], r[2]) for r in test_phrase_dedup.brute(pairs(single))}
+    before = dict(pairs(single))
+    for r in cut.collect():
+        n, removed = words[r["doc_id"]]
+        if removed:
+            assert len((r["text"] or "").split()) == n - removed and r["n_chars"] == len(r["text"])
+        else:
+            assert r["text"] == before[r["doc_id"]]
+
+    clean = stage_rows(spark, "decontamination", cut, tmp_path)
+    items = [tuple(r) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    hits = {r[0]: r[2] for r in test_decontaminate.brute(pairs(cut), items)}
+    before = dict(pairs(cut))
+    for r in clean.collect():
+        assert (r["text"] == before[r["doc_id"]]) == (hits[r["doc_id"]] == 0)
+
+    coded = stage_rows(spark, "byte_bpe", clean, tmp_path)
+    ranks = __import__("livetable.llm.byte_bpe", fromlist=["load_ranks"]).load_ranks(cp.VOCABULARY)
+    oracle = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    before = dict(pairs(clean))
+    assert coded.count() == clean.count()
+    for r in coded.collect():
+        assert list(r["ids"]) == oracle.encode_ordinary(before[r["doc_id"]] or "") and r["text"] == (before[r["doc_id"]] or "")
+
+
+def test_registered():
+    import __spark_entry__ as e
+    assert "pipeline" in e.queries() and set(QUERIES) <= set(e.queries())
+    assert [f"op{n}_" in "".join(QUERIES) for n in range(1, 11)] == [True] * 10

@@ -1,0 +1,69 @@
+"""Approximate search: recall against brute force, exact scores, odd vectors."""
+
+import math
+
+import numpy as np
+import pytest
+
+from livetable.llm import projected_search as p
+from livetable.llm.queries import QUERIES
+
+
+def check(got, ids, x, k=10, queries=None):
+    """Recall; scores, ranks and order must be exact."""
+    hit = total = 0
+    for q in queries:
+        d = np.sqrt(((x - x[ids.index(q)]) ** 2).sum(axis=1))
+        best = sorted((s, i) for s, i in zip(d.tolist(), ids) if i != q)
+        mine = got[got.query_id == q].sort_values("rank")
+        n = min(k, len(best))
+        assert mine["rank"].tolist() == list(range(1, n + 1))
+        pairs = list(zip(mine.score.tolist(), mine.vec_id.tolist()))
+        assert pairs == sorted(pairs)
+        by = dict((i, s) for s, i in best)
+        assert all(abs(by[i] - s) < 1e-12 for s, i in pairs)
+        hit += len({i for _, i in pairs} & {i for _, i in best[:n]})
+        total += n
+    return hit / total
+
+
+@pytest.mark.parametrize("chunk", [p.CHUNK, 200])
+def test_recall_on_table(spark, monkeypatch, chunk):
+    monkeypatch.setattr(p, "CHUNK", chunk)
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    got = QUERIES["op9_projected_search"](spark, "/root/testdata/sf0.1").toPandas()
+    ids = rows.vec_id.tolist()
+    assert check(got, ids, np.stack(rows.embedding).astype(float), queries=[i for i in ids if i % 100 == 0]) >= 0.9
+
+
+def test_clusters_ties_and_hot_vector(spark, monkeypatch):
+    """Clustered data, a vector that a third of the rows share, and small chunks."""
+    monkeypatch.setattr(p, "CHUNK", 100)
+    monkeypatch.setattr(p, "LEAF", 8)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(12, 16))[rng.integers(0, 12, 900)] + 0.05 * rng.normal(size=(900, 16))
+    x[::3] = x[0]
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = p.search(df, lambda v: v % 50 == 0).toPandas()
+    queries = [i for i in range(900) if i % 50 == 0]
+    assert check(got, list(range(900)), x, queries=queries) >= 0.9
+    assert got[got.query_id == 0].vec_id.tolist() == list(range(3, 33, 3))     # ties: smaller ids first
+
+
+def test_odd_vectors(spark):
+    nan, inf = math.nan, math.inf
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
+            (8, [1.0, 2.0, 3.0]), (None, [1.0, 0.0]), (1, [1.0, 0.1]), (9, [1.0, 0.0]), (10, [2.0, 0.0]), (10, [3.0, 0.0]), (100, [5.0, 5.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as id", "2 as cell")
+    got = [tuple(r) for r in p.search(df, lambda v: v % 100 == 0).orderBy("query_id", "rank").collect()]
+    assert [(q, r, i) for q, r, i, _ in got] == [(0, 1, 9), (0, 2, 1), (0, 3, 10), (100, 1, 8)]
+    assert got[0][3] == 0.0 and abs(got[2][3] - 1) < 1e-12
+    assert p.search(df.limit(0), lambda v: v % 100 == 0).collect() == []
+    assert p.search(df.filter("vec_id = 0"), lambda v: v % 100 == 0).collect() == []
+
+
+def test_chi_square():
+    assert abs(p.chi_square(p.reach(0.95, 8), 8) - 0.95) < 1e-9
+    assert abs(p.reach(0.95, 2) + 2 * math.log(0.05)) < 1e-6
+    draws = np.random.default_rng(1).standard_normal((20_000, 8))
+    assert abs(((draws**2).sum(axis=1) <= p.reach(0.9)).mean() - 0.9) < 0.01
