@@ -47,7 +47,7 @@ _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:--!?>|\Z)"
     r"|<(?P<raw>" + _RAW.replace("|head", "") + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>(?s:.*?)(?:</(?P=raw)[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(?:[!?/]|[a-zA-Z])[^>]*>", re.I)
+    r"|<(?:[!?/]|[a-zA-Z])[^>]*(?:>|\Z)", re.I)
 _SAYS = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _BOILER = re.compile(
     r"(?:^|[\s_\-\"'])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|"
@@ -56,7 +56,7 @@ _BOILER = re.compile(
     r"(?=$|[\s_\-\"'\d])", re.I)
 
 #: Weights where no labelled page tells otherwise.
-PRIOR_WORD, PRIOR_TAG, PRIOR_BOILER = 1.0, -1.0, -6.0
+PRIOR_WORD, PRIOR_TAG, PRIOR_BOILER_WORD, PRIOR_BOILER = 1.0, -1.0, -1.0, -4.0
 
 
 def _boiler(name: str, rest: str, in_article: bool) -> bool:
@@ -121,7 +121,7 @@ def tokens(page: str):
 
 def prior(kind: str) -> float:
     if kind.endswith(":boiler"):
-        return PRIOR_BOILER
+        return PRIOR_BOILER_WORD if kind.startswith("w:") else PRIOR_BOILER
     return PRIOR_WORD if kind.startswith("w:") else PRIOR_TAG
 
 

@@ -325,6 +325,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(lowest, "root").select("digest", "component_id")
     out = feats.select("doc_id", "n", "digest").join(named, "digest", "left")
-    comp = F.coalesce("component_id", "doc_id")
+    comp = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))

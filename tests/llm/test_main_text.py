@@ -24,21 +24,22 @@ def test_query_gives_the_articles(spark):
         assert r["text"] == article(pages[r["page_id"]]["html"]) and r["n_chars"] == len(r["text"]) and r["url"] == pages[r["page_id"]]["url"]
 
 
-PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body>
+MORE = " ".join(["goes on and on and ends"] * 6)
+PAGE = f"""<!doctype html><html><head><title>T</title><style>p{{}}</style></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home page of the site</a></li></ul></nav>
 <div class="cookie-notice">We use cookies to make this better for all of you.</div>
 <div id="content"><h1>Head &amp; line</h1><p>First   words of <b>the</b> story
 go on here for a while.<script>var x = "<p>no</p>"</script><p>Second &lt;block&gt; with more words in it.
-<div class="ad">Buy this thing now please</div><p>Third block ends the story here.</p></div>
+<div class="ad">Buy this thing now please</div><p>Third block {MORE}.</p></div>
 <section class="comments"><p>I think this is wrong, said a reader.</p></section>
 <aside>Related stories here</aside><form><p>Sign up to our letter</p></form><!-- <p>hidden</p> -->
 <footer>All rights reserved by us.</footer></body></html>"""
 
 
 def test_boilerplate_is_left_out():
-    text = "Head & line\nFirst words of the story go on here for a while.\nSecond <block> with more words in it.\nThird block ends the story here."
+    text = "Head & line\nFirst words of the story go on here for a while.\nSecond <block> with more words in it.\nThird block " + MORE + "."
     assert m.main_text(PAGE, {}) == text
-    weights = m.weigh(m.count_types(PAGE.replace('<div id="content">', "<article>").replace("here.</p></div>", "here.</p></article>")))
+    weights = m.weigh(m.count_types(PAGE.replace('<div id="content">', "<article>").replace("</p></div>", "</p></article>")))
     assert m.main_text(PAGE, weights) == text
 
 
@@ -46,8 +47,8 @@ def test_odd_pages():
     for page in (None, "", "   ", "<p></p>", "<html", "<!-- never closed", "<script>never closed", "<nav>a b c</nav>"):
         assert m.main_text(page, {}) == ""
     assert m.main_text("just words", {}) == "just words"
-    assert m.main_text("<p a='>'>x &eacute;   y</P>z<br>w", {}) == "x é y\nz w"
-    assert m.main_text("<p>a <i>b</i>c</p>" + "<p>w &amp; w</p>" * 3000, {}).count("\n") == 3000
+    assert m.main_text("<p a='>'>x &eacute;   y</P>z and<br>w more", {}) == "x é y\nz and w more"
+    assert m.main_text("<p>a <i>b</i>c d e</p>" + "<p>w &amp; w</p>" * 3000, {}).count("\n") == 3000
     assert len(m.main_text("<p>" + "word " * 300_000, {}).split()) == 300_000
 
 
