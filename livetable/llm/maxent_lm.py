@@ -7,8 +7,8 @@ end token and the ``HEADS`` most frequent training words have their own, all oth
     P(word | history) = P(class | history) P(slot | class, history) P(word | slot)
 
 with two softmaxes of ``WIDTH`` outcomes whose scores sum the weight rows of hashed
-features of the history: the word before, the two before (bigram), the word before that
-(skip) and the one three back (skip).  P(word | slot) is (c + 1) / (sum of c + 1 over the
+features of the history: the word before, the two before (bigram) and the second word
+back alone (skip).  P(word | slot) is (c + 1) / (sum of c + 1 over the
 slot's known words, plus 1 in a shared slot, for unknown words); so the probabilities of
 all words, with one unknown word for each shared slot, sum to 1.
 
@@ -41,10 +41,11 @@ WIDTH = 32                      # classes, and slots of a class
 SLOTS = WIDTH * WIDTH
 HEADS = 767                     # words with a slot of their own; slot 0 is the end token
 TAILS = SLOTS - HEADS - 1       # shared slots
-CLASS_ROWS, SLOT_ROWS = 1 << 12, 1 << 13    # weight rows; the first WIDTH are biases
-FEATURES = 4
+CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14    # weight rows; the first WIDTH are biases
+FEATURES = 3
+SAFE = 60.0                     # scores within it need no shift before exp
 BATCH = 8192                    # tokens of a gradient step
-RATE = 0.25
+RATE = 0.5
 ROUNDS = 3
 BLOCKS = 16                     # the weights' change is summed in so many blocks
 SHARD_BYTES = 8 << 20
@@ -74,47 +75,59 @@ def history(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(keys)
     place = np.arange(n) - np.repeat(first[:-1], np.diff(first))
     back = []
-    for d in (1, 2, 3):
+    for d in (1, 2):
         x = np.empty(n, np.uint64)
         x[:d], x[d:] = START, keys[:max(0, n - d)]
         x[place < d] = START
         back.append(x)
-    one, two, three = back
-    return np.stack([mix(one ^ np.uint64(1)), mix(mix(one ^ np.uint64(2)) ^ two), mix(two ^ np.uint64(3)), mix(three ^ np.uint64(4))])
+    one, two = back
+    return np.stack([mix(one ^ np.uint64(1)), mix(one * START ^ two), mix(two ^ np.uint64(3))])
+
+
+def _spread(h: np.ndarray, n: int) -> np.ndarray:
+    """(FEATURES, tokens) hashes -> rows, each feature in a part of WIDTH..n-1 of its
+    own; as 16-bit numbers (numpy sorts these by radix)."""
+    span = (n - WIDTH) // FEATURES
+    begin = WIDTH + span * np.arange(FEATURES, dtype=np.uint64)[:, None]
+    return (begin + (((h >> np.uint64(32)) * np.uint64(span)) >> np.uint64(32))).astype(np.uint16)
 
 
 def rows_of(hist: np.ndarray, classes: np.ndarray | None) -> np.ndarray:
     """Weight rows (FEATURES + 1, tokens): the bias row, then the features' rows."""
     if classes is None:
-        bias = np.zeros(hist.shape[1], np.int64)
-        rows = WIDTH + (hist % np.uint64(CLASS_ROWS - WIDTH)).astype(np.int64)
-    else:
-        bias = classes
-        rows = WIDTH + (mix(hist ^ (classes.astype(np.uint64) << np.uint64(50))) % np.uint64(SLOT_ROWS - WIDTH)).astype(np.int64)
-    return np.concatenate([bias[None], rows])
+        return np.concatenate([np.zeros((1, hist.shape[1]), np.uint16), _spread(hist, CLASS_ROWS)])
+    turned = (hist ^ (classes.astype(np.uint64) * END)) * START
+    return np.concatenate([classes.astype(np.uint16)[None], _spread(turned ^ (turned << np.uint64(29)), SLOT_ROWS)])
 
 
 def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    scores = weights[rows[0]]
+    scores = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        scores = scores + weights[r]
-    scores -= scores.max(axis=1, keepdims=True)
+        scores += weights.take(r, axis=0)
+    if not -SAFE < scores.min() <= scores.max() < SAFE:
+        scores -= scores.max(axis=1, keepdims=True)
     scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
     return scores
 
 
 def _step(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One row-wise Adagrad step on a batch, in place."""
-    g = -np.exp(log_softmax(weights, rows))
+    g = np.exp(log_softmax(weights, rows))
+    np.negative(g, out=g)
     g[np.arange(len(target)), target] += 1
-    for k, r in enumerate(rows):
+    for r in rows:
+        if r[0] == r[-1] and (r == r[0]).all():     # the one bias row of the class model
+            total = g.sum(axis=0)
+            seen[r[0]] += total @ total
+            weights[r[0]] += total * (RATE / np.sqrt(seen[r[0]] + 1))
+            continue
         order = np.argsort(r, kind="stable")
         at = r[order]
         cut = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         row = at[cut]
-        total = np.add.reduceat(g[order], cut, axis=0)
-        seen[row] += (total * total).sum(axis=1)
-        weights[row] += RATE * total / np.sqrt(seen[row] + 1)[:, None]
+        total = np.add.reduceat(g.take(order, axis=0), cut, axis=0)
+        seen[row] += np.einsum("ij,ij->i", total, total)
+        weights[row] += total * (RATE / np.sqrt(seen[row] + 1))[:, None]
 
 
 def log_probability(weights: tuple[np.ndarray, np.ndarray], slot: np.ndarray, hist: np.ndarray) -> np.ndarray:
