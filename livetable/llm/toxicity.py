@@ -36,6 +36,7 @@ PREFIXES = (4, 5, 6)
 NEAR = 5                # words around a hit in which a second person counts
 TREES, DEPTH = 15, 3
 PARTS = 8               # partitions of the learned rows
+PIECE = 1 << 20         # bytes of text whose running counts are held at once
 
 #: General insults (fixed value).
 INSULTS = ("idiot moron stupid dumb fool loser clown trash scum garbage worthless pathetic disgusting "
@@ -140,7 +141,7 @@ def _featurize(source):
         for batch in batches:
             data, offsets = column_bytes(batch.column("text"))
             which = batch.column("lexicon").to_numpy(zero_copy_only=False)
-            for i, j in pieces(offsets):
+            for i, j in pieces(offsets, PIECE):
                 x = np.zeros((j - i, len(FEATURES)))
                 for l in np.unique(which[i:j]).tolist():
                     rows = which[i:j] == l
