@@ -7,8 +7,8 @@ end token and the ``HEADS`` most frequent training words have their own, all oth
     P(word | history) = P(class | history) P(slot | class, history) P(word | slot)
 
 with two softmaxes of ``WIDTH`` outcomes whose scores sum the weight rows of hashed
-features of the history: the word before, the two before (bigram) and the second word
-back alone (skip).  P(word | slot) is (c + 1) / (sum of c + 1 over the
+features of the history: the word before, the two before (bigram), the second word back
+alone (skip) and the third alone (skip).  P(word | slot) is (c + 1) / (sum of c + 1 over the
 slot's known words, plus 1 in a shared slot, for unknown words); so the probabilities of
 all words, with one unknown word for each shared slot, sum to 1.
 
@@ -41,8 +41,8 @@ WIDTH = 32                      # classes, and slots of a class
 SLOTS = WIDTH * WIDTH
 HEADS = 767                     # words with a slot of their own; slot 0 is the end token
 TAILS = SLOTS - HEADS - 1       # shared slots
-CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14    # weight rows; the first WIDTH are biases
-FEATURES = 3
+FEATURES = 4
+CLASS_ROWS, SLOT_ROWS = WIDTH + FEATURES * 2720, WIDTH + FEATURES * 5450    # weight rows; the first WIDTH are biases
 SAFE = 60.0                     # scores within it need no shift before exp
 BATCH = 8192                    # tokens of a gradient step
 RATE = 0.5
@@ -75,13 +75,13 @@ def history(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     n = len(keys)
     place = np.arange(n) - np.repeat(first[:-1], np.diff(first))
     back = []
-    for d in (1, 2):
+    for d in (1, 2, 3):
         x = np.empty(n, np.uint64)
         x[:d], x[d:] = START, keys[:max(0, n - d)]
         x[place < d] = START
         back.append(x)
-    one, two = back
-    return np.stack([mix(one ^ np.uint64(1)), mix(one * START ^ two), mix(two ^ np.uint64(3))])
+    one, two, three = back
+    return np.stack([mix(one ^ np.uint64(1)), mix(one * START ^ two), mix(two ^ np.uint64(3)), mix(three ^ np.uint64(4))])
 
 
 def _spread(h: np.ndarray, n: int) -> np.ndarray:

@@ -76,3 +76,10 @@ def test_model_beats_base_on_held_out_texts(spark):
     got = QUERIES["op10_maxent_lm"](spark, SF001).filter("held_out").agg(
         F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
     assert got["s"] / got["n"] > got["b"] / got["n"] + 0.05
+
+
+def test_word_three_back_is_seen():
+    a, b = (m.history(np.array([first, 20, 21, 22], np.uint64), np.array([0, 4])) for first in (10, 11))
+    differs = (a[:, 3] != b[:, 3])
+    assert differs.sum() == 1 and len(a) == m.FEATURES == 4
+    assert len({tuple(m.rows_of(h, None)[:, 3]) for h in (a, b)}) == 2
