@@ -38,6 +38,7 @@ SURE = 0.97
 SAMPLE = 20_000
 CHUNK = 16_384
 LEAF = 128
+SLACK = 1e-12       # of the query's squared length: rounding of squared projected distances
 SEED = 90
 
 
@@ -157,12 +158,13 @@ def nearest(tree: Tree, z: np.ndarray, x: np.ndarray, ids: np.ndarray, q_id: int
     known from elsewhere."""
     best: list[tuple[float, int]] = []
     kth = bound
+    slack = SLACK * float(q @ q)
     for gap, rows in tree.leaves(qz):
-        if gap > factor * kth * kth:
+        if gap > factor * kth * kth + slack:
             break
         rows = rows[ids[rows] != q_id]
         d = z[rows] - qz
-        rows = rows[np.einsum("ij,ij->i", d, d) <= factor * kth * kth]
+        rows = rows[np.einsum("ij,ij->i", d, d) <= factor * kth * kth + slack]
         if not len(rows):
             continue
         e = x[rows] - q
@@ -207,11 +209,11 @@ def _more_cells(source, length: int, factor: float):
                 continue
             x = _matrix(batch.column("x"))
             z = x @ a
-            own = splits.cell(z)
+            own = batch.column("cell").to_numpy()      # computed anew, rounding may name another
             kth = batch.column("kth").to_numpy(zero_copy_only=False)
             row, cell = [], []
             for k in range(len(x)):
-                limit = math.inf if np.isnan(kth[k]) else factor * kth[k] ** 2
+                limit = math.inf if np.isnan(kth[k]) else factor * kth[k] ** 2 + SLACK * float(x[k] @ x[k])
                 for c in splits.near(z[k], limit):
                     if c != own[k]:
                         row.append(k)
@@ -302,7 +304,7 @@ def _search(spark, part: DataFrame, length: int, rows: int, k: int, factor: floa
         "r", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))) \
         .filter(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
     more = asking.join(kth.groupBy("id").agg(F.min("kth").alias("kth")), "id", "left") \
-        .select("id", "x", F.coalesce("kth", F.lit(float("nan"))).alias("kth")) \
+        .select("id", "x", "cell", F.coalesce("kth", F.lit(float("nan"))).alias("kth")) \
         .mapInArrow(_more_cells(source, length, factor), "id long, x array<double>, cell int, kth double")
     return first.union(visit(settle(more)))
 

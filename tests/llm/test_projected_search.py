@@ -50,6 +50,37 @@ def test_clusters_ties_and_hot_vector(spark, monkeypatch):
     assert got[got.query_id == 0].vec_id.tolist() == list(range(3, 33, 3))     # ties: smaller ids first
 
 
+@pytest.mark.parametrize("length", [16, 384])
+@pytest.mark.parametrize("n_queries", [1, 3, 7])
+def test_one_query_among_copies(n_queries, length):
+    """Equal vectors whose projections differ by rounding, in more than one leaf."""
+    pa = p.pa
+    for seed in range(20):
+        rng = np.random.default_rng([seed, length])
+        x = np.repeat(rng.normal(size=(1, length)), 700, axis=0)
+        ids = rng.permutation(700)
+        rows = pa.table({"id": ids, "x": x.tolist()})
+        asks = pa.table({"id": ids[-n_queries:], "x": x[-n_queries:].tolist(), "kth": np.full(n_queries, np.nan)})
+        got = p._visit(length, 10, p.reach())(rows, asks).to_pandas()
+        for q in ids[-n_queries:].tolist():
+            assert got[got.query_id == q].vec_id.tolist() == [i for i in range(11) if i != q][:10]
+
+
+def test_copies_in_other_cells_are_met():
+    """A query visits the cells but its own that a rounded border may have parted from it."""
+    splits = p.Splits(np.array([[0.0] * p.M, [1.0] * p.M]), 1)
+    x = np.zeros((1, 16))
+    x[0, 0] = 1.0
+    z = x @ p.projection(16)
+    splits.value[0] = z[0, splits.axis[0]] + 1e-14      # the copies' projections fell on the other side
+    batch = p.pa.RecordBatch.from_pydict({"id": [1], "x": x.tolist(), "cell": p.pa.array([0], p.pa.int32()), "kth": [0.0]})
+    class Source:
+        value = splits
+    assert [c for b in p._more_cells(Source, 16, p.reach())([batch]) for c in b.column("cell").to_pylist()] == [1]
+    other = batch.set_column(2, "cell", p.pa.array([1], p.pa.int32()))
+    assert [c for b in p._more_cells(Source, 16, p.reach())([other]) for c in b.column("cell").to_pylist()] == [0]
+
+
 def test_odd_vectors(spark):
     nan, inf = math.nan, math.inf
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
