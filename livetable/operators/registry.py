@@ -27,6 +27,7 @@ REGISTRY = StructType([
 def latest_per_key(df: DataFrame, keys: list[str], order: str, value: str,
                    extra: list[str] | None = None) -> DataFrame:
     """Newest ``value`` per key by ``order`` (ties: largest value).
+    A key without any ``order`` has its largest value.
 
     ``max(order)`` per key is a hash aggregate; only rows that carry a key's
     newest ``order`` reach the second aggregate, which picks the value.
@@ -34,7 +35,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str, value: str,
     newest = df.groupBy(*keys).agg(F.max(order).alias("_newest"))
     names = [f"_k{i}" for i in range(len(keys))]
     newest = newest.select(*[F.col(k).alias(a) for k, a in zip(keys, names)], "_newest")
-    same = F.col(order) == F.col("_newest")
+    same = F.col(order).eqNullSafe(F.col("_newest"))
     for k, a in zip(keys, names):
         same = same & F.col(k).eqNullSafe(F.col(a))
     rows = df.select(*keys, order, value, *(extra or [])).join(newest, same)

@@ -120,6 +120,17 @@ def test_latest_per_key_tie_break(spark):
     assert r.path == "p2"
 
 
+def test_latest_per_key_without_order(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("m", "a", "p1", None, 1.0), ("m", "a", "p2", None, 2.0), ("m", "b", "p3", None, 3.0),
+                                ("m", "b", "p0", t, 4.0), (None, "c", "p4", None, 5.0)],
+                               "model string, item string, path string, created_at timestamp_ntz, rmse double")
+    got = reg.latest_per_key(df, ["model", "item"], "created_at", "path", extra=["rmse"])
+    assert {(r.model, r.item, r.path, r.created_at, r.rmse) for r in got.collect()} == {
+        ("m", "a", "p2", None, 2.0), ("m", "b", "p0", t, 4.0), (None, "c", "p4", None, 5.0)}
+
+
 def test_serve_batch_stream(spark, trained, tmp):
     _, _, _, model = trained
     root, registry = os.path.join(tmp, "models"), os.path.join(tmp, "registry")
