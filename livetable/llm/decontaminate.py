@@ -8,8 +8,9 @@ shorter than the shortest phrase are left out, for they can hold no occurrence.
 phrases are searched backward through the index, occurrences are located by sampled
 suffix positions, and their spans are merged for each document.
 
-The benchmark is read in blocks of ``BLOCK_BYTES`` at most, each broadcast by itself;
-a larger benchmark takes several passes.  Documents are only mapped: no shuffle.
+The benchmark is read in blocks of ``BLOCK_BYTES`` at most (an item is the smallest
+unit), each broadcast by itself; a larger benchmark takes several passes.  Items of one
+text may lie in several blocks, as each item's id is matched by itself.  Documents are only mapped: no shuffle.
 Words are compared by 64-bit hash.
 
 Null and empty texts have no words, no spans and no items.  Items without words have
@@ -25,9 +26,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FMIndex
 from .spans import ALNUM, LOWER, Words, column_bytes, pieces
+from .store import settle
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+BINS = 16           # hash bins for each block, which are packed to blocks by their bytes
 SHARD_BYTES = 8 << 20
 
 SPANS = "spans array<struct<first:int,last:int,from:int,to:int>>"
@@ -169,6 +172,24 @@ def cut_spans(text: str | None, spans: list[dict]) -> str | None:
     return b"".join(out).decode("utf-8", "replace")
 
 
+def _blocks(bench: DataFrame) -> list[DataFrame]:
+    """The distinct items, in blocks whose texts and ids have ``BLOCK_BYTES`` / 2 at
+    most, but where a bin alone has more."""
+    bytes_of = F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0))
+    items = settle(bench.filter(F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]")).distinct().withColumn("bytes", bytes_of.cast("long")))
+    most = BLOCK_BYTES // 2
+    bins = BINS * max(1, -(-int(items.agg(F.sum("bytes")).first()[0] or 0) // most))
+    # Bins are dealt by id and text, so that equal texts spread.
+    binned = items.withColumn("bin", F.pmod(F.xxhash64("id", "text"), F.lit(bins)))
+    cuts, held = [0], 0
+    for r in binned.groupBy("bin").agg(F.sum("bytes").alias("bytes")).orderBy("bin").collect():
+        if held and held + r["bytes"] > most:
+            cuts.append(r["bin"])
+            held = 0
+        held += r["bytes"]
+    return [binned.filter((F.col("bin") >= a) & (F.col("bin") < b)).select("id", "text") for a, b in zip(cuts, [*cuts[1:], bins])]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   clean: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -180,18 +201,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("string").alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0)))).first()[0] or 0
-    blocks = max(1, -(-int(size) // (BLOCK_BYTES // 2)))
+    blocks = _blocks(bench)
     carried = {c: f"carry_{k}" for k, c in enumerate(carry)}
     rows = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(c).alias(a) for c, a in carried.items()], F.col(text).cast("string").alias("text"),
                        F.lit(None).cast(SPANS.split(" ", 1)[1]).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("text", "spans", "items"))
-    for k in range(blocks):
-        # A block is bounded: about BLOCK_BYTES / 2 by hash of the text.
-        part = bench.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()
+    for k, block in enumerate(blocks):
+        part = block.collect()
         compiled = phrases([r["text"] for r in part], [r["id"] for r in part], window) \
             or _no_phrases(window)
-        last = k == blocks - 1
+        last = k == len(blocks) - 1
         rows = rows.mapInArrow(_search(spark.sparkContext.broadcast(compiled), not last, clean and last),
                                kinds + ", " + "text string, " * (not last) + "cleaned string, " * (clean and last)
                                + f"n_words long, {SPANS}, items array<string>")

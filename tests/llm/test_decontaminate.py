@@ -94,3 +94,22 @@ def test_cleaned_text_and_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(r["spans"] == [] for r in d.contamination(docs, none).collect())
     assert d.contamination(docs.limit(0), bench).collect() == []
+
+
+def test_blocks_are_bounded_for_a_hot_text(spark, monkeypatch):
+    """A text that most items share, repeated items, and items without words."""
+    monkeypatch.setattr(d, "BLOCK_BYTES", 600)
+    seen, compiled = [], d.phrases
+
+    def phrases(texts, ids, window):
+        seen.append(sum(len((t or "").encode()) + len(i or "") for t, i in zip(texts, ids)))
+        return compiled(texts, ids, window)
+
+    monkeypatch.setattr(d, "phrases", phrases)
+    hot = "one two three four five six seven eight nine ten eleven"
+    items = [(f"hot-{k}", hot) for k in range(25)] * 2 + [("n" * 50 + str(k), None) for k in range(30)] + [("blank" * 20, " .")] * 9
+    items += [("rare", "alpha beta gamma"), (None, "delta epsilon"), ("é", "zeta é")]
+    docs = [(1, f"x {hot} y"), (2, "alpha beta gamma delta epsilon"), (3, "ten nine eight"), (4, "the zeta é"), (5, None)]
+    found = d.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert digest(found) == brute(docs, items)
+    assert len(seen) > 3 and max(seen) <= d.BLOCK_BYTES
