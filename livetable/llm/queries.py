@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_template, main_text, maxent_lm, projected_search, toxicity, url_filter
+from . import byte_bpe, chat_template, line_dedup, main_text, maxent_lm, projected_search, toxicity, url_filter
 from .decontaminate import contamination
 from .minhash_dedup import near_duplicates
 from .phrase_dedup import repeated_phrases
@@ -84,6 +84,12 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score(read(spark, sf_dir, "documents", "doc_id", "text"), held_out=remainder(7) == 2)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(docs, line_dedup.file_batches(read(spark, sf_dir, "documents")))
+    return kept.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -94,7 +100,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_minhash_dedup, op2_url_filter, op3_chat_format, op4_toxicity, op5_benchmark_decontamination, op6_byte_bpe,
-        op7_main_text, op8_substring_dedup, op9_projected_search, op10_maxent_lm)
+        op7_main_text, op8_substring_dedup, op9_projected_search, op10_maxent_lm, op11_line_dedup)
 }
 
 SQL: dict[str, str] = {
@@ -113,4 +119,5 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits WHERE r = 1
 """,
     "op3_chat_format": chat_template.SQL,
+    "op11_line_dedup": line_dedup.SQL,
 }

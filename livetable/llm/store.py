@@ -48,3 +48,9 @@ def ship(spark: SparkSession) -> None:
                         z.write(full, os.path.relpath(full, os.path.dirname(package)))
         sc.addPyFile(path)
     sc._livetable_shipped = True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run in the shared folder, through Spark's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
