@@ -192,14 +192,14 @@ def drop_repeated_lines(docs: DataFrame, batches: list[DataFrame] | None = None,
 
 SQL = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-line AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM docs),
+line AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
 keyed AS (
-  SELECT r, at, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT r, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
 frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
 judged AS (SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key),
 put AS (
   SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS kept FROM judged GROUP BY r)
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept FROM judged GROUP BY r)
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM put JOIN docs USING (r)
 """
