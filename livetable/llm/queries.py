@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, chat_template, lexical_rank, line_dedup, main_text, maxent_lm, projected_search, toxicity, url_filter
+from . import byte_bpe, chat_template, collocations, lexical_rank, line_dedup, main_text, maxent_lm, projected_search, toxicity, url_filter
 from .decontaminate import contamination
 from .minhash_dedup import near_duplicates
 from .phrase_dedup import repeated_phrases
@@ -94,6 +94,10 @@ def op12_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_rank.rank(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"), k=50)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents", "doc_id", "lang", "text"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -104,7 +108,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shipped(f) for f in (
         op1_minhash_dedup, op2_url_filter, op3_chat_format, op4_toxicity, op5_benchmark_decontamination, op6_byte_bpe,
-        op7_main_text, op8_substring_dedup, op9_projected_search, op10_maxent_lm, op11_line_dedup, op12_lexical_rank)
+        op7_main_text, op8_substring_dedup, op9_projected_search, op10_maxent_lm, op11_line_dedup, op12_lexical_rank, op13_collocations)
 }
 
 SQL: dict[str, str] = {
@@ -125,4 +129,5 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM fits
     "op3_chat_format": chat_template.SQL,
     "op11_line_dedup": line_dedup.SQL,
     "op12_lexical_rank": lexical_rank.SQL,
+    "op13_collocations": collocations.SQL,
 }
