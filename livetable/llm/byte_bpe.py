@@ -27,11 +27,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .spans import _MASK, column_bytes, hash_spans, load8, pieces
+from .spans import _MASK, column_bytes, hash_spans, load8, pieces, tidy
 
 LEAF = 8                # bytes merged by rank directly
-CACHE = 200_000         # encoded parts kept in each of two generations
-BATCH_BYTES = 4 << 20
+CACHE_BYTES = 12 << 20  # encoded parts kept in each of two generations, as ``_cost`` counts them
+PAIRS = 50_000          # tested token pairs kept
+BATCH_BYTES = 2 << 20
 MAX_VOCABULARY_BYTES = 64 << 20  # the broadcast's bound
 
 #: The split pattern whose classes ``part_starts`` follows (fixed value).
@@ -109,6 +110,11 @@ def part_starts(points: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _cost(part: bytes, ids: tuple) -> int:
+    """Bytes that a cached part takes: two objects, their ids' numbers and a dictionary slot."""
+    return 200 + len(part) + 36 * len(ids)
+
+
 class Encoder:
     """Encodes parts; one per worker, with bounded memory."""
 
@@ -118,6 +124,7 @@ class Encoder:
         self.token = [b""] * self.size
         for t, r in ranks.items():
             self.token[r] = t
+        self.held = 0
         self.new: dict[bytes, tuple] = {}
         self.old: dict[bytes, tuple] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -146,7 +153,7 @@ class Encoder:
         """Tokens a and b side by side stay two tokens."""
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             found = self.pairs[a, b] = self.merge(self.token[a] + self.token[b]) == (a, b)
         return found
@@ -178,8 +185,9 @@ class Encoder:
             if found is None:
                 found = self.reduce(part)
             if len(part) <= 64:
-                if len(self.new) >= CACHE:
-                    self.old, self.new = self.new, {}
+                self.held += _cost(part, found)
+                if self.held > CACHE_BYTES:
+                    self.old, self.new, self.held = self.new, {}, _cost(part, found)
                 self.new[part] = found
         return found
 
@@ -280,6 +288,8 @@ def _run(source, decode: bool):
                         pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())]
                     ).cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=names + ["ids", "decoded"][:len(cols) - len(names)])
+        tools.clear()
+        tidy()
     return run
 
 

@@ -2,7 +2,7 @@
 
 A phrase is a window of consecutive words of a benchmark item (the whole item where
 it has fewer words).  Words are runs of ASCII letters and digits and of all
-non-ASCII bytes, with A-Z lower-cased.  Each shard (a few megabytes of whole
+non-ASCII bytes, with A-Z lower-cased.  Each shard (two megabytes of whole
 documents) is indexed once: words that no phrase has are separators, and runs
 shorter than the shortest phrase are left out, for they can hold no occurrence.  All
 phrases are searched backward through the index, occurrences are located by sampled
@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FMIndex
-from .spans import ALNUM, LOWER, Words, column_bytes, pieces
+from .spans import ALNUM, LOWER, Words, column_bytes, pieces, tidy
 from .store import settle
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 BINS = 16           # hash bins for each block, which are packed to blocks by their bytes
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 SPANS = "spans array<struct<first:int,last:int,from:int,to:int>>"
 
@@ -88,8 +88,8 @@ def find(data: np.ndarray, offsets: np.ndarray, i: int, j: int, p: dict) -> tupl
         return w, cover[:-1] > 0, none
     size = end - begin
     at = np.cumsum(size + 1) - size         # place of each run behind its separator
-    text = np.zeros(int(size.sum()) + len(size) + 1, np.int64)
-    source = np.zeros(len(text), np.int64)
+    text = np.zeros(int(size.sum()) + len(size) + 1, np.int32)
+    source = np.zeros(len(text), np.int32)
     inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     to, word = np.repeat(at, size) + inner, np.repeat(begin, size) + inner
     text[to], source[to] = place[word] + 1, word
@@ -154,6 +154,7 @@ def _search(source, keep_text: bool, clean: bool):
                         pa.array(items, pa.list_(pa.string()))]
                 names = [*own_names, "text", "cleaned", "n_words", "spans", "items"]
                 yield pa.RecordBatch.from_arrays([c for c in cols if c is not None], names=[m for m, c in zip(names, cols) if c is not None])
+        tidy()
     return run
 
 

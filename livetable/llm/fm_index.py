@@ -18,37 +18,38 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling; only suffixes still tied are sorted again."""
     n = len(text)
     zeros = np.flatnonzero(text == 0)
-    rank = np.empty(n + 1, np.int64)
+    rank = np.empty(n + 1, np.int32)
     rank[n] = -1
-    order = np.argsort(text, kind="stable")
+    order = np.argsort(text, kind="stable").astype(np.int32)
     sorted_ = text[order]
-    head = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]) if n else np.zeros(0, np.int64)
+    head = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]]).astype(np.int32) if n else np.zeros(0, np.int32)
     rank[order] = np.repeat(head, np.diff(np.append(head, n)))
     rank[zeros] = np.arange(len(zeros))     # each separator is a symbol of its own
-    tied = np.flatnonzero(text != 0)
+    tied = np.flatnonzero(text != 0).astype(np.int32)
     h = 1
     while len(tied):
         major, minor = rank[tied], rank[np.minimum(tied + h, n)] + 1
-        key = major * (n + 2) + minor
+        key = major.astype(np.int64) * (n + 2) + minor
         o = np.argsort(key, kind="stable")
         tied, key, major = tied[o], key[o], major[o]
         new = np.r_[True, key[1:] != key[:-1]]
         old = np.r_[True, major[1:] != major[:-1]]
-        at = np.arange(len(tied))
+        at = np.arange(len(tied), dtype=np.int32)
         group = np.maximum.accumulate(np.where(new, at, 0))
         base = np.maximum.accumulate(np.where(old, at, 0))
         rank[tied] = major + group - base
         last = np.r_[new[1:], True]
         tied = tied[~(new & last)]
         h *= 2
-    sa = np.empty(n, np.int64)
-    sa[rank[:n]] = np.arange(n)
+    sa = np.empty(n, np.int32)
+    sa[rank[:n]] = np.arange(n, dtype=np.int32)
     return sa
 
 
 class FMIndex:
     def __init__(self, text: np.ndarray, symbols: int):
-        """``text``: numbers below ``symbols``, beginning with a 0."""
+        """``text``: 32-bit numbers below ``symbols``, beginning with a 0."""
+        text = text.astype(np.int32, copy=False)
         sa = suffix_order(text)
         self.n = len(text)
         self.bwt = text[sa - 1]         # row 0 of the first position takes the last symbol
@@ -60,15 +61,16 @@ class FMIndex:
         for shift in range(max(1, int(symbols - 1).bit_length()) - 1, -1, -1):
             bit = (level >> shift) & 1
             ones = np.zeros(self.n + 1, np.int32)
-            np.cumsum(bit, out=ones[1:])
+            np.cumsum(bit, out=ones[1:], dtype=np.int32)
             self.levels.append((shift, ones, self.n - int(ones[-1])))
             level = np.concatenate([level[bit == 0], level[bit == 1]])
         is_start = np.zeros(self.n, bool)
         is_start[1:] = text[:-1] == 0
-        from_start = np.arange(self.n) - np.maximum.accumulate(np.where(is_start, np.arange(self.n), 0))
+        places = np.arange(self.n, dtype=np.int32)
+        from_start = places - np.maximum.accumulate(np.where(is_start, places, 0))
         sampled = (from_start % SAMPLE == 0) & (text != 0)
         self.has_sample = sampled[sa]
-        self.sample_at = np.cumsum(self.has_sample) - 1
+        self.sample_at = np.cumsum(self.has_sample, dtype=np.int32) - 1
         self.samples = sa[self.has_sample]
 
     def rank(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .packed import by_target, pack, unpack_all
-from .spans import SPACED, Words, column_bytes, gram_hashes, inside, mix, pieces, sliding_min
+from .spans import SPACED, Words, column_bytes, gram_hashes, inside, mix, pieces, sliding_min, tidy
 from .store import shard_count
 
 WINDOW, GRAM = 13, 6
@@ -195,6 +195,7 @@ def _remove(window: int, joined: bool, cleaned: bool):
         cols |= {"n_words": pa.array(n, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([(c, pa.int32()) for c in ("first", "last", "from", "to")])))}
         if joined or cleaned:
             cols["kept" if joined else "cleaned"] = pa.array(out, pa.binary()).cast(pa.string())
+        tidy()
         return pa.table(cols)
     return run
 

@@ -10,6 +10,7 @@ whatever the batch size is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,16 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: a worker that Spark keeps for later tasks
+    would hold on to the largest that it ever used."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # not glibc
+        pass
+
+
 class Words:
     """Words of documents i..j of a column.
 

@@ -230,7 +230,9 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, label: str = "toxic
         .withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)).cast("long"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .join(F.broadcast(chosen), "doc_id").select("text", "toxic", "half")
-    rows = settle(rows.repartition(PARTS))  # a bounded table
+    # A bounded table, dealt and ordered by its rows, so that nothing depends on files and arrival.
+    key = F.xxhash64("text")
+    rows = settle(rows.repartitionById(PARTS, F.pmod(key, F.lit(PARTS)).cast("int")).sortWithinPartitions(key, "half", "toxic"))
     # Quarters 0 and 1: lexicon and trees crosswise; 2: both with the lexicon of 0 and 1; 3: calibration.
     sizes = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
     total = lambda halves, t=(0, 1): sum(sizes.get((h, y), 0) for h in halves for y in t)

@@ -42,3 +42,12 @@ def test_without_labels_or_with_one_class(spark):
     assert {r["score"] for r in t.fit(docs, none, F.lit(True)).score(docs).collect()} == {0.0}
     ones = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, toxic int")
     assert {r["predicted"] for r in t.fit(docs, ones, F.lit(True)).score(docs).collect()} == {1}
+
+
+def test_scores_do_not_depend_on_the_file_layout(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet").select("doc_id", "toxic")
+    docs.repartition(6).write.parquet(str(tmp_path / "six"))
+    six = spark.read.parquet(str(tmp_path / "six"))
+    one, other = ({r["doc_id"]: round(r["score"], 9) for r in t.fit(d, labels, F.lit(True)).score(d).collect()} for d in (docs, six))
+    assert one == other and len(set(one.values())) > 2
