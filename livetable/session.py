@@ -9,8 +9,10 @@ setting is absent.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -93,3 +95,21 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """
     names = list(parts) + ([uuid.uuid4().hex[:12]] if unique else [])
     return "/".join([_checkpoint_root(spark), "livetable", *names])
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package's code (once per session), for clusters and
+    drivers whose PYTHONPATH they do not share."""
+    sc = spark.sparkContext
+    if getattr(sc, "_livetable_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # not when it runs from an archive already
+        path = os.path.join(tempfile.mkdtemp(prefix="livetable-code-"), "livetable_code.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+        sc.addPyFile(path)
+    sc._livetable_shipped = True
