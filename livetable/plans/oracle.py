@@ -215,7 +215,28 @@ ORACLE: dict[str, str] = {
         a AS (SELECT CAST(split_part(student_id, '_', 2) AS BIGINT) AS student_id, CAST(ts AS DATE) AS day FROM ({_ANSWERS}))
         SELECT DISTINCT student_id, least(10, questions) AS n, TRUE AS descending, TRUE AS distinct_items
         FROM a, q WHERE day = (SELECT max(day) FROM a) AND student_id IN (SELECT student_id FROM s WHERE bucket < 8)""",
+    "topic_replay": """
+        SELECT CAST(event_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+               concat_ws(',', 'station_' || CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), event_type,
+                         strftime(ts, '%Y-%m-%d %H:%M:%S')) AS value, ts AS timestamp
+        FROM events""",
+    "two_phase_sink": "SELECT event_id, user_id, event_type, value FROM events",
+    "windows_with_late_rows": """
+        WITH e AS (SELECT ts, event_type, date_trunc('hour', ts) AS window_start, event_id % 50 = 7 AS delayed FROM events),
+        marks AS (SELECT max(ts) FILTER (WHERE NOT delayed) - INTERVAL 10 MINUTE AS before_last,
+                         max(ts) - INTERVAL 10 MINUTE AS at_end FROM e),
+        judged AS (SELECT *, delayed AND window_start + INTERVAL 1 HOUR <= before_last AS late,
+                          window_start + INTERVAL 1 HOUR <= at_end AS closed FROM e, marks)
+        SELECT CASE WHEN late THEN 'late' WHEN closed THEN 'final' ELSE 'open' END AS kind, window_start, event_type,
+               count(*) AS "count"
+        FROM judged GROUP BY ALL""",
+    "als_topk_exact": f"""
+        WITH {_SPLIT}, q AS (SELECT count(DISTINCT question_id) AS questions FROM s WHERE bucket < 8)
+        SELECT DISTINCT student_id, least(20, questions) AS n, TRUE AS descending, TRUE AS distinct_items, TRUE AS products_match
+        FROM s, q WHERE bucket < 8""",
 }
+ORACLE["missing_ids_ranges"] = ORACLE["missing_ids_anti"]
+ORACLE["wordcount_state"] = ORACLE["wordcount_dsl"]
 for _live in ("top10_questions", "top10_grades", "top10_questions_with_subject", "lowest_score_students"):
     ORACLE[f"{_live}_stream"] = ORACLE[_live]
 ORACLE["iot_stats_stream"] = ORACLE["iot_stats_dsl"]

@@ -17,11 +17,12 @@ from livetable import session
 from livetable.functions.ids import id_number
 from livetable.functions.json import json_fields, parse_json
 from livetable.functions.text import contains_text, lines_of, nonblank, split_words
-from livetable.functions.timefns import parse_event_line, to_utc_instant
+from livetable.functions.timefns import from_utc_micros, parse_event_line, to_utc_instant
 from livetable.operators import aggregate as agg
 from livetable.operators import recommend as rec
-from livetable.operators.integrity import missing_id_xor, missing_ids
+from livetable.operators.integrity import missing_id_xor, missing_ids, missing_ids_by_range
 from livetable.operators.joins import attach
+from livetable.operators.products import top_products
 from livetable.operators.ranking import lowest_items_per_key
 from livetable.operators.registry import latest_per_key
 from livetable.operators.split import hash_bucket, hash_split
@@ -29,11 +30,15 @@ from livetable.plans import apps
 from livetable.plans import standins as st
 from livetable.sources.files import batch_bytes, read_delimited, read_json_lines, read_table, table_path
 from livetable.sources.kafka import kafka_rows, kafka_value
+from livetable.sources.topic import append_topic, read_topic
+from livetable.streaming.committed import committed_sink, read_committed
 from livetable.streaming.eventtime import (dedup_counts, dedup_within, run_in_time_order,
                                            windowed_count)
+from livetable.streaming.late import final_windows, late_rows, open_windows, start_windows_with_late
+from livetable.streaming.state import counts_in_state
 from livetable.streaming.joins import read_join_output, start_stream_static_join
 from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates, read_snapshot,
-                                       run_available_now, snapshot_path_writer, updates_path_writer,
+                                       run_available_now, snapshot_path_writer, start_query, updates_path_writer,
                                        wait_query)
 from livetable.streaming.sinks import _fs
 
@@ -557,6 +562,96 @@ def q_missing_ids_anti(spark, base):
     return missing_ids(spark, labels, "doc_id", int(b["lo"]), int(b["hi"]))
 
 
+def q_missing_ids_ranges(spark, base):
+    """The same ids through bitmaps of ranges; no id is shuffled."""
+    labels = read_table(spark, base, "labels")
+    b = labels.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    if b["lo"] is None:
+        return spark.range(0).withColumnRenamed("id", "missing_id")
+    return missing_ids_by_range(spark, labels, "doc_id", int(b["lo"]), int(b["hi"]))
+
+
+# --- topics with offsets, committed sinks, state, late rows -----------------------
+
+def q_topic_replay(spark, base, batches: int = 4):
+    """Events as a topic of four partitions, read in micro-batches of bounded offsets;
+    the second half is appended after the first query ended, and a new query goes on at
+    the checkpoint's offsets."""
+    d = _run_dir(spark, "topic_replay")
+    ev = read_table(spark, base, "events")
+    b = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    middle = (b["lo"] + b["hi"]) // 2 if b["lo"] is not None else 0
+    rows = kafka_rows(ev, st.call_log_line(), "stationTopic", F.col("event_id"), to_utc_instant("ts"))
+    size = max(4, ((b["hi"] or 0) - (b["lo"] or 0) + 1) // batches)
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        append_topic(rows.filter(part), f"{d}/topic")
+        q = start_query(read_topic(spark, f"{d}/topic", size, f"{d}/position"), "parquet", f"{d}/checkpoint", path=f"{d}/out")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    return spark.read.parquet(f"{d}/out").select("partition", "offset", F.col("value").cast("string").alias("value"),
+                                                 from_utc_micros("timestamp").alias("timestamp"))
+
+
+def q_two_phase_sink(spark, base):
+    """Events through the sink with a commit for each micro-batch."""
+    d = _run_dir(spark, "two_phase_sink")
+    ev = st._src(spark, base, "events", stream=True).select("event_id", "user_id", "event_type", "value")
+    run_available_now(ev, committed_sink(spark), f"{d}/checkpoint", path=f"{d}/out")
+    return read_committed(spark, f"{d}/out", ev.schema)
+
+
+def q_wordcount_state(spark, base):
+    """The streaming word count, read from its state in the checkpoint."""
+    d = _run_dir(spark, "wordcount_state")
+    counts = agg.count_by(words(spark, base, stream=True), "word", "count")
+    run_available_now(counts, "noop", f"{d}/checkpoint", "update")
+    return counts_in_state(spark, f"{d}/checkpoint", "word")
+
+
+#: Every event whose number leaves this remainder comes last in the late-row feed.
+DELAYED = 50, 7
+
+
+def q_windows_with_late_rows(spark, base):
+    """Hourly windows over a feed in which every fiftieth event comes a month late:
+    final windows, open windows and the late rows, counted by hour."""
+    d = _run_dir(spark, "windows_with_late_rows")
+    ev = read_table(spark, base, "events").select("event_id", "ts", "event_type")
+    delayed = F.col("event_id") % DELAYED[0] == DELAYED[1]
+    day = F.dayofmonth("ts")
+    for part in (~delayed & (day <= 10), ~delayed & (day > 10) & (day <= 20), ~delayed & (day > 20), delayed):
+        ev.filter(part).write.mode("append").parquet(f"{d}/in")
+        stream = spark.readStream.schema(ev.schema).parquet(f"{d}/in")
+        wait_query(start_windows_with_late(stream, "ts", "event_type", WINDOW_LENGTH, WATERMARK, f"{d}/out",
+                                           f"{d}/checkpoint", {"availableNow": True}))
+    late = late_rows(spark, f"{d}/out").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start"), "event_type") \
+        .agg(F.count(F.lit(1)).alias("count"))
+    out = late.select(F.lit("late").alias("kind"), "window_start", "event_type", "count")
+    for kind, rows in (("final", final_windows), ("open", open_windows)):
+        out = out.union(rows(spark, f"{d}/out", "event_type", WINDOW_LENGTH)
+                        .select(F.lit(kind), "window_start", "event_type", "count"))
+    return out
+
+
+def q_als_topk_exact(spark, base):
+    """Every student's top list by norm-pruned products; whether each rating is the
+    product of the two factors."""
+    def result(model, train, test):
+        found = top_products(model.userFactors, model.itemFactors, rec.TOP_ALL)
+        lists = found.select(F.col("id").alias("student_id"), F.transform("best", lambda x: F.struct(
+            x["id"].alias("question_id"), x["score"].alias("rating"))).alias("recommendations"))
+        users = model.userFactors.select(F.col("id").alias("student_id"), F.col("features").alias("u"))
+        items = model.itemFactors.select(F.col("id").alias("question_id"), F.col("features").alias("v"))
+        pairs = lists.select("student_id", F.explode("recommendations").alias("r")).select("student_id", "r.*") \
+            .join(users, "student_id").join(items, "question_id")
+        product = F.aggregate(F.zip_with("u", "v", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+        right = pairs.groupBy("student_id").agg(F.min(F.abs(product - F.col("rating")) < 1e-6).alias("products_match"))
+        return _list_shape(lists).join(right, "student_id")
+    return _als_table(spark, base, "als_topk_exact", result)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wordcount_dsl": q_wordcount_dsl,
     "wordcount_sql": q_wordcount_sql,
@@ -609,4 +704,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recommend_subset": q_als_recommend_subset,
     "missing_id_xor": q_missing_id_xor,
     "missing_ids_anti": q_missing_ids_anti,
+    "missing_ids_ranges": q_missing_ids_ranges,
+    "topic_replay": q_topic_replay,
+    "two_phase_sink": q_two_phase_sink,
+    "wordcount_state": q_wordcount_state,
+    "windows_with_late_rows": q_windows_with_late_rows,
+    "als_topk_exact": q_als_topk_exact,
 }

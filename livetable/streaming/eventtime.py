@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from livetable.functions.timefns import from_utc_micros, to_utc_instant, utc_micros
-from livetable.streaming.sinks import dropped_by_watermark
+from livetable.streaming.sinks import _fs, dropped_by_watermark
 
 
 def with_event_time(df: DataFrame, col: str, name: str = "event_time") -> DataFrame:
@@ -57,30 +57,38 @@ def run_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, folder:
     """Feed the batch ``df`` to a streaming query in event-time order.
 
     Files of a table are in no time order, and a watermark drops rows behind an
-    earlier micro-batch.  The rows are therefore added to ``folder`` in ``slices``
-    consecutive time ranges of about equal size; after each, ``run`` takes the
-    folder's stream through an ``availableNow`` query (one checkpoint for all).
+    earlier micro-batch.  The rows are therefore written once, in ``slices``
+    consecutive time ranges of about equal size, each in a folder of its own; the slices' files
+    then go to ``folder`` one slice after the other (renamed, not copied), and after each ``run`` takes
+    the folder's stream through an ``availableNow`` query (one checkpoint for all).
+    The table is read twice, whatever the number of slices: for the cuts and for the write.
     Rows that a stateful operator still refuses as late are an error.
     """
     at = utc_micros(time_col) if df.schema[time_col].dataType.typeName() == "timestamp_ntz" \
         else F.unix_micros(time_col)
     shares = [k / slices for k in range(1, slices)]
     cuts = sorted(set(df.select(at.alias("t")).approxQuantile("t", shares, 0.001))) if shares else []
+    # Rows without a time go first; no window or delay concerns them.
+    behind = [F.coalesce((at > F.lit(int(c))).cast("int"), F.lit(0)) for c in cuts]
+    number = sum(behind[1:], behind[0]) if behind else F.lit(0)
+    staged = f"{folder}_slices"
+    df.withColumn("_slice", number).write.partitionBy("_slice").parquet(staged)
+    target, fs = _fs(spark, folder)
+    fs.mkdirs(target)
     queries = []
-    for lo, hi in zip([None, *cuts], [*cuts, None]):
-        part = df
-        if lo is not None:
-            part = part.filter(at > F.lit(int(lo)))
-        if hi is not None:
-            part = part.filter(at <= F.lit(int(hi)))
-        if lo is None:  # rows without a time go first; no window or delay concerns them
-            part = part if hi is None else df.filter((at <= F.lit(int(hi))) | at.isNull())
-        part.write.mode("append").parquet(folder)
+    for k in range(len(cuts) + 1):
+        part, _ = _fs(spark, f"{staged}/_slice={k}")
+        if fs.exists(part):
+            for f in fs.listStatus(part):
+                moved, _ = _fs(spark, f"{folder}/slice{k}-{f.getPath().getName()}")
+                if not fs.rename(f.getPath(), moved):
+                    raise RuntimeError(f"could not move {f.getPath()}")
         q = run(spark.readStream.schema(df.schema).parquet(folder))
         late = dropped_by_watermark(q)
         if late:
             raise RuntimeError(f"{late} rows were behind the watermark")
         queries.append(q)
+    fs.delete(_fs(spark, staged)[0], True)
     return queries
 
 

@@ -15,81 +15,79 @@ from livetable.plans import queries as Q
 from livetable.sources.files import read_lines, read_table, stream_table
 from livetable.sources.generators import read_rate
 from livetable.streaming.eventtime import dedup_counts, windowed_count
-from livetable.streaming.sinks import (foreach_batch_outputs, latest_updates, list_versions,
+from livetable.streaming.sinks import (dropped_by_watermark, foreach_batch_outputs, latest_updates, list_versions,
                                        read_snapshot, run_available_now, snapshot_path_writer,
                                        start_query, updates_path_writer)
 
 from conftest import SF0001
 
-# Late-data trace, made for this test: 2023-03-03 09:mm:ss, window 10 s, slide 5 s,
-# watermark 10 s.
-BLOCKS = [["30:06,ash", "30:09,elm"],
-          ["30:12,ash", "30:08,fir"],
-          ["30:17,fir", "30:07,ash", "30:11,elm", "30:22,elm"],
-          ["30:03,oak", "30:16,elm"]]
+# Late data, worked out by hand: windows of 20 s every 10 s, watermark 15 s, all times
+# 2024-05-05 18:mm:ss.  Each step is one micro-batch and the no-data batch after it.
+STEPS = [["40:12,kite", "40:31,sail", "40:18,kite"],    # watermark then 40:16
+         ["40:05,oar", "40:44,kite"],                   # 40:05 is late for one of its windows; 40:29
+         ["40:09,oar", "40:52,sail"],                   # 40:09 is too late for both; 40:37
+         ["41:10,oar"],                                 # 40:55
+         ["40:40,sail"]]                                # late for the window that ends 40:50
 
 
-def _line(s):
-    t, w = s.split(",")
-    return f"2023-03-03 09:{t},{w}"
+def _clock(seconds):
+    return f"{seconds // 60:02d}:{seconds % 60:02d}"
 
 
-def _trace_query(spark, src):
-    ts, word = parse_event_line("value")
-    ev = read_lines(spark, src, stream=True).select(ts.alias("timestamp"), word.alias("word"))
-    return windowed_count(ev, "timestamp", "word", "10 seconds", "5 seconds", "10 seconds")
+def _counts(*rows):
+    """(start, word, count) with the start in seconds after 18:40:00."""
+    return sorted((_clock(2400 + start), _clock(2420 + start), word, n) for start, word, n in rows)
 
 
-def _run_trace(spark, tmp, mode):
-    src = os.path.join(tmp, "in")
+@pytest.fixture(autouse=True)
+def fresh_streams(spark):
+    """Queries of other tests that ended, failed ones too, are not waited for here."""
+    spark.streams.resetTerminated()
+
+
+def _run_steps(spark, tmp, mode):
+    src, seen, out = os.path.join(tmp, "lines"), [], []
     os.makedirs(src)
-    seen = []
+    at, word = parse_event_line("value")
+    rows = read_lines(spark, src, stream=True).select(at.alias("at"), word.alias("word"))
 
-    def collect(batch, batch_id):
-        for r in batch.collect():
-            seen.append((batch_id, r["window_start"].strftime("%M:%S"),
-                         r["window_end"].strftime("%M:%S"), r["word"], r["count"]))
+    def note(batch, _):
+        seen.extend((r["window_start"].strftime("%M:%S"), r["window_end"].strftime("%M:%S"), r["word"], r["count"])
+                    for r in batch.collect())
 
-    q = start_query(_trace_query(spark, src), "foreach_batch", os.path.join(tmp, "ck"),
-                    mode, batch_fn=collect)
-    out = []
+    q = start_query(windowed_count(rows, "at", "word", "20 seconds", "10 seconds", "15 seconds"), "foreach_batch",
+                    os.path.join(tmp, "ck"), mode, batch_fn=note)
     try:
-        for i, block in enumerate(BLOCKS):
-            with open(os.path.join(src, f".b{i}.txt"), "w") as f:
-                f.write("\n".join(_line(s) for s in block) + "\n")
-            os.rename(os.path.join(src, f".b{i}.txt"), os.path.join(src, f"b{i}.txt"))
+        for k, step in enumerate(STEPS):
+            draft = os.path.join(tmp, f"{k}.txt")
+            with open(draft, "w") as f:
+                f.writelines(f"2024-05-05 18:{line}\n" for line in step)
+            os.rename(draft, os.path.join(src, f"{k}.txt"))
             q.processAllAvailable()
-            time.sleep(1.5)  # let the no-data batch apply the new watermark
+            time.sleep(1.5)  # the no-data batch applies the new watermark
             q.processAllAvailable()
-            out.append(sorted(r[1:] for r in seen))
+            out.append(sorted(seen))
             seen.clear()
-        dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0)
-                      for p in q.recentProgress if p["stateOperators"])
+        return out, dropped_by_watermark(q)
     finally:
         q.stop()
-    return out, dropped
 
 
 def test_late_data_update_mode(spark, tmp):
-    out, dropped = _run_trace(spark, tmp, "update")
-    w = {0: ("30:00", "30:10"), 5: ("30:05", "30:15"), 10: ("30:10", "30:20"), 15: ("30:15", "30:25"), 20: ("30:20", "30:30")}
-    rows = lambda *x: sorted((*w[s], word, n) for s, word, n in x)
-    assert out[0] == rows((0, "ash", 1), (0, "elm", 1), (5, "ash", 1), (5, "elm", 1))
-    # ash 30:12 is in 5 and 10, fir 30:08 in 0 and 5.
-    assert out[1] == rows((5, "ash", 2), (10, "ash", 1), (0, "fir", 1), (5, "fir", 1))
-    # Watermark 30:02: ash 30:07 is late and still counts.
-    assert out[2] == rows((10, "fir", 1), (15, "fir", 1), (0, "ash", 2), (5, "ash", 3), (5, "elm", 2),
-                          (10, "elm", 1), (15, "elm", 1), (20, "elm", 1))
-    # Watermark 30:12: oak's windows (ends 30:05 and 30:10) are gone.
-    assert out[3] == rows((10, "elm", 2), (15, "elm", 2))
-    assert dropped == 2
+    out, dropped = _run_steps(spark, tmp, "update")
+    assert out == [_counts((0, "kite", 2), (10, "kite", 2), (20, "sail", 1), (30, "sail", 1)),
+                   _counts((0, "oar", 1), (30, "kite", 1), (40, "kite", 1)),
+                   _counts((40, "sail", 1), (50, "sail", 1)),
+                   _counts((60, "oar", 1), (70, "oar", 1)),
+                   _counts((40, "sail", 2))]
+    assert dropped == 4     # (row, window) pairs
 
 
 def test_late_data_append_mode(spark, tmp):
-    out, _ = _run_trace(spark, tmp, "append")
-    assert out[0] == [] and out[1] == []
-    assert out[2] == sorted([("30:00", "30:10", "ash", 2), ("30:00", "30:10", "elm", 1), ("30:00", "30:10", "fir", 1)])
-    assert out[3] == []
+    out, dropped = _run_steps(spark, tmp, "append")
+    assert out == [[], _counts((0, "kite", 2), (0, "oar", 1)), _counts((10, "kite", 2)),
+                   _counts((20, "sail", 1), (30, "sail", 1), (30, "kite", 1)), []]
+    assert dropped == 4
 
 
 def test_output_mode_refusals(spark, tmp):
@@ -272,7 +270,6 @@ def test_small_static_side_does_not_shuffle_the_stream(spark, tmp):
 def test_late_rows_of_an_ordered_replay_are_an_error(spark, tmp):
     """A replay that is not in time order is refused, not cut."""
     from livetable.streaming.eventtime import run_in_time_order
-    from livetable.streaming.sinks import dropped_by_watermark
     rows = [(f"2023-01-{d:02d} 00:00:00", "x") for d in (20, 1)]
     df = spark.createDataFrame(rows, "t string, word string").selectExpr("cast(t as timestamp_ntz) ts", "word")
 
