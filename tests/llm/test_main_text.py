@@ -1,8 +1,11 @@
 """Main text: against the article of the table's pages, and made pages."""
 
 import html
+import random
 import re
 
+import pytest
+
 from livetable.llm import main_text as m
 from livetable.llm.queries import QUERIES
 
@@ -43,6 +46,70 @@ def test_boilerplate_is_left_out():
     assert m.main_text(PAGE, weights) == text
 
 
+BLOCKS = [f"Block {k} tells a part of the story in a dozen plain words or so." for k in range(9)]
+NINE = "".join(f"<p>{b}</p>" for b in BLOCKS)
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "post no-comments", "story ad-free", "page-nav-top", "layout-search-results",
+                                  "main-side-bar-left", "widget"])
+@pytest.mark.parametrize("weights", [{}, None])
+def test_a_name_does_not_take_an_article_away(spark, name, weights):
+    weights = LEARNED(spark) if weights is None else weights
+    page = f"<html><body><nav><a href=/>Home</a> <a href=/x>News</a></nav><div class='{name}'>{NINE}</div><footer>By us</footer></body></html>"
+    assert m.main_text(page, weights) == "\n".join(BLOCKS)
+
+
+def LEARNED(spark, cache={}):
+    if not cache:
+        cache.update(m.learn_weights(spark.read.parquet(f"{SF001}/pages.parquet")))
+    return cache
+
+
+@pytest.mark.parametrize("weights", [{}, None])
+def test_what_is_left_out_does_not_cut_the_run(spark, weights):
+    weights = LEARNED(spark) if weights is None else weights
+    links = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(60))
+    page = f"<body><article><p>one two three four five six</p><nav><ul>{links}</ul></nav><p>after the menu it goes on</p></article></body>"
+    assert m.main_text(page, weights) == "one two three four five six\nafter the menu it goes on"
+    cells = "".join(f"<tr><td>{k}</td><td>mean</td><td>{k * 3}</td></tr>" for k in range(12))
+    page = f"<body><div><p>The table shows it all.</p><table>{cells}</table></div></body>"
+    got = m.main_text(page, weights).split("\n")
+    assert got[0] == "The table shows it all." and len(got) == 37
+    page = f"<body><form id='aspnetForm'><div>{NINE}</div></form></body>"
+    assert m.main_text(page, weights) == "\n".join(BLOCKS)
+
+
+def test_comments_longer_than_the_article_stay_out():
+    said = "".join(f"<p>Reader {k} says that this is all wrong and then some more.</p>" for k in range(15))
+    page = f"<body><div id='story'>{NINE}</div><section class='comments'>{said}</section></body>"
+    assert m.main_text(page, {}) == "\n".join(BLOCKS)
+
+
+def test_best_run_against_all_runs():
+    rng = random.Random(7)
+    for _ in range(400):
+        x = [rng.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(rng.randint(0, 14))]
+        runs = [(sum(x[a:b]), a, b) for a in range(len(x)) for b in range(a + 1, len(x) + 1)]
+        top = max((r[0] for r in runs), default=0.0)
+        a, b = m.best_run(x)
+        assert sum(x[a:b]) == max(top, 0.0) and (b == 0 or sum(x[a:b]) > 0)
+
+
+def test_pages_against_all_runs():
+    """The text is that of a run that no other run of tokens beats."""
+    rng = random.Random(8)
+    parts = ["<p>", "</p>", "<div>", "</div>", "<nav>", "</nav>", "<a href=x>", "</a>", "<li>", "some words here ", "more ", "<br>", "<div class=ad>", " "]
+    for _ in range(200):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+        p = m._Page(page)
+        w = m.scores(p, {})
+        top = max([sum(w[a:b]) for a in range(len(w)) for b in range(a + 1, len(w) + 1)] or [0])
+        a, b = m.best_run(w)
+        assert abs(sum(w[a:b]) - max(top, 0)) < 1e-9
+        words = " ".join(x for x, o in zip(p.text[a:b], p.out[a:b]) if not o).split()
+        assert m.main_text(page, {}).split() == words
+
+
 def test_odd_pages():
     for page in (None, "", "   ", "<p></p>", "<html", "<!-- never closed", "<script>never closed", "<nav>a b c</nav>"):
         assert m.main_text(page, {}) == ""
