@@ -7,7 +7,7 @@ occur l and r times, it scores floor(10^6 a^2 / (l r)); its lowest-scoring cut c
 
 1. Summaries.  Documents are dealt to shards.  A shard counts its n-grams of 1 to the
    largest size and sends each hash partition the hashes and counts that fall there, sorted,
-   as one packed cell; the cells are written to the shared folder.  A partition streams its
+   as one packed cell of two or three bytes an n-gram; the cells are written to the shared folder.  A partition streams its
    cells and merges them into one Misra-Gries summary: where more than C counters are left,
    the (C + 1)-th largest count is taken off all.  With mass M, C > ``SLACK`` M / min_count, so
    what was taken off (E) is below min_count / SLACK and an n-gram of min_count occurrences
@@ -29,7 +29,7 @@ Within a shard n-grams are told apart by 64-bit hashes.  Counts up to 10^15 are
 A null text is empty; empty texts have no words.  A null language is ``und``, together with
 rows that say so.  Each row is a document; repeated rows count again.  Equal scores and counts
 are ranked by the phrase's bytes, and no two phrases of a language are equal.  A document is
-the smallest unit of a shard, read whole in pieces of 4 MB or, if longer, by itself.  Empty
+the smallest unit of a shard, read whole in pieces of 1 MB or, if longer, by itself.  Empty
 tables give no rows.  Other columns are ignored, whatever they are called.
 """
 
@@ -43,13 +43,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from livetable.session import shared_dir
 
-from .packed import by_target, pack, unpack
-from .spans import LOWER, Words, column_bytes, gram_hashes, inside, mix, pieces
+from .packed import by_target
+from .spans import LOWER, Words, column_bytes, gram_hashes, inside, mix, pieces, tidy
 from .store import shard_count
 
-SHARD_BYTES, WIDE_SHARD_BYTES, MANY_SHARDS = 8 << 20, 64 << 20, 4096
+SHARD_BYTES, WIDE_SHARD_BYTES, MANY_SHARDS = 16 << 20, 64 << 20, 4096
+PIECE_BYTES = 1 << 20
 COUNTERS = 8 << 20
 SLACK = 2
+SPARSE = 4          # hash values of a partition for each n-gram it may get
 SALT = 64
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -57,8 +59,8 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
 
-_CELL = pa.schema([("target", pa.int32()), ("shard", pa.int32()), ("mass", pa.int64()), ("cell", pa.binary())])
-_CELL_SQL = "target int, shard int, mass long, cell binary"
+_CELL = pa.schema([("target", pa.int32()), ("shard", pa.int32()), ("mass", pa.int64()), ("cell", pa.binary()), ("times", pa.binary())])
+_CELL_SQL = "target int, shard int, mass long, cell binary, times binary"
 _COUNT = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 _COUNT_SQL = "lang string, size int, phrase string, n long"
 
@@ -105,7 +107,7 @@ def _each(table: pa.Table, largest: int) -> Iterator[tuple[list[str], _Grams]]:
     salts = mix(np.frombuffer(b"".join(np.uint64(_name_hash(x)).tobytes() for x in names), np.uint64)) if names else np.zeros(0, np.uint64)
     lang = langs.indices.to_numpy(zero_copy_only=False)
     data, offsets = column_bytes(table["text"])
-    for i, j in pieces(offsets):
+    for i, j in pieces(offsets, PIECE_BYTES):
         yield names, _Grams(data, offsets, i, j, lang, salts, largest)
 
 
@@ -116,9 +118,10 @@ def _name_hash(name: str) -> int:
     return out
 
 
-def _place(key: np.ndarray, targets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash partition of a key, and the key within it (its low half)."""
-    return ((key >> np.uint64(32)) % np.uint64(targets)).astype(np.int64), key.astype(np.uint32)
+def _place(key: np.ndarray, targets: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash partition of a key, and the key within it (its lowest bits: few, so that the
+    steps between sorted keys of a cell are small numbers)."""
+    return ((key >> np.uint64(32)) % np.uint64(targets)).astype(np.int64), (key & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,25 +131,54 @@ def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key[cut], np.add.reduceat(count, cut) if len(cut) else count
 
 
-def _send(targets: int, largest: int):
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers in 7 bits a byte, lowest first; the high bit says that more follow."""
+    x = x.astype(np.uint64)
+    n = 1 + sum((x >= np.uint64(1 << 7 * k)).astype(np.int64) for k in range(1, 5))
+    at = np.cumsum(n) - n
+    out = np.zeros(int(n.sum()), np.uint8)
+    for k in range(5):
+        live = n > k
+        out[at[live] + k] = (x[live] >> np.uint64(7 * k) & np.uint64(127)) | np.where(n[live] > k + 1, 128, 0).astype(np.uint64)
+    return out.tobytes()
+
+
+def expand(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8)
+    last = np.flatnonzero(b < 128)
+    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    place = np.arange(len(b)) - np.repeat(first, last - first + 1)
+    part = (b & 127).astype(np.uint64) << (7 * place).astype(np.uint64)
+    return np.add.reduceat(part, first) if len(first) else part
+
+
+def _steps(key: np.ndarray) -> bytes:
+    return squeeze(np.diff(key, prepend=np.uint32(0)))
+
+
+def _keys(raw: bytes) -> np.ndarray:
+    """What ``_steps`` packed."""
+    return np.cumsum(expand(raw)).astype(np.uint32)
+
+
+def _send(targets: int, bits: int, largest: int):
     def run(table: pa.Table) -> pa.Table:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for _, g in _each(table, largest):
             k, c = np.unique(np.concatenate(list(g.key.values())), return_counts=True)
             keys, counts = _summed(np.r_[keys, k], np.r_[counts, c])
-        target, low = _place(keys, targets)
+        target, low = _place(keys, targets, bits)
         order = np.lexsort((low, target))
-        rows = [(t, int(c.sum()), pack(np.diff(x, prepend=np.uint32(0)), c.astype(np.uint32)))
-                for t, (x, c) in by_target(target[order], low[order], counts[order])]
         shard = table["shard"][0].as_py()
-        return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([shard] * len(rows), pa.int32()),
-                                     pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], schema=_CELL)
+        rows = [(t, shard, int(c.sum()), _steps(x), squeeze(c)) for t, (x, c) in by_target(target[order], low[order], counts[order])]
+        del keys, counts, target, low, order
+        tidy()
+        return pa.Table.from_batches([_batch(rows)], schema=_CELL)
     return run
 
 
-def _entries(cell: bytes) -> tuple[np.ndarray, np.ndarray]:
-    step, count = unpack(cell)
-    return np.cumsum(step, dtype=np.uint32), count
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_CELL.types)], schema=_CELL)
 
 
 class Summary:
@@ -187,21 +219,20 @@ class Summary:
 def _summaries(min_count: int):
     """Cells in order of the target, each with its target's ``total`` mass -> survivors."""
     def done(target: int, summary: Summary) -> pa.RecordBatch:
-        key = summary.survivors(min_count)
-        return pa.RecordBatch.from_arrays([pa.array([target], pa.int32()), pa.array([-1], pa.int32()), pa.array([0], pa.int64()),
-                                           pa.array([pack(np.diff(key, prepend=np.uint32(0)))], pa.binary())], schema=_CELL)
+        return _batch([(target, -1, 0, _steps(summary.survivors(min_count)), None)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, summary = None, None
         for b in batches:
-            for target, total, cell in zip(b.column("target").to_pylist(), b.column("total").to_pylist(), b.column("cell")):
+            for target, total, cell, times in zip(b.column("target").to_pylist(), b.column("total").to_pylist(), b.column("cell"), b.column("times")):
                 if target != at:
                     if summary is not None:
                         yield done(at, summary)
                     at, summary = target, Summary(SLACK * total // min_count + 1)
-                summary.add(*_entries(cell.as_py()))
+                summary.add(_keys(cell.as_py()), expand(times.as_py()))
         if summary is not None:
             yield done(at, summary)
+        tidy()
     return run
 
 
@@ -212,15 +243,16 @@ def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for target, shard, cell in zip(b.column("target").to_pylist(), b.column("shard").to_pylist(), b.column("cell")):
             if shard == -1:
-                at, known = target, np.cumsum(unpack(cell.as_py())[0], dtype=np.uint32)
+                at, known = target, _keys(cell.as_py())
                 continue
             if target != at:
                 raise RuntimeError(f"no summary before the cells of hash partition {target}")
-            key = _entries(cell.as_py())[0]
+            key = _keys(cell.as_py())
             key = np.unique(key[_isin(key, known)])
             if len(key):
-                rows.append((target, shard, 0, pack(np.diff(key, prepend=np.uint32(0)))))
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_CELL.types)], schema=_CELL)
+                rows.append((target, shard, 0, _steps(key), None))
+        yield _batch(rows)
+    tidy()
 
 
 def _isin(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -229,11 +261,11 @@ def _isin(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def _count(targets: int, largest: int):
+def _count(targets: int, bits: int, largest: int):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         known = [np.zeros(0, np.uint64)]
         for target, cell in zip(replies["target"].to_pylist(), replies["cell"]):
-            known.append(np.cumsum(unpack(cell.as_py())[0], dtype=np.uint32).astype(np.uint64) | np.uint64(target) << np.uint64(32))
+            known.append(_keys(cell.as_py()).astype(np.uint64) | np.uint64(target) << np.uint64(32))
         known, out = np.unique(np.concatenate(known)), []
         if not len(docs):
             return _COUNT.empty_table()
@@ -241,13 +273,14 @@ def _count(targets: int, largest: int):
             total = np.bincount(g.lang, minlength=len(names))
             out.append(pa.table([names, [0] * len(names), [""] * len(names), total.tolist()], schema=_COUNT))
             for n in range(1, largest + 1):
-                target, low = _place(g.key[n], targets)
+                target, low = _place(g.key[n], targets, bits)
                 kept = np.flatnonzero(_isin(low.astype(np.uint64) | target.astype(np.uint64) << np.uint64(32), known))
                 _, first, count = np.unique(g.key[n][kept], return_index=True, return_counts=True)
                 first = g.start[n][kept[first]]
                 lang = pa.DictionaryArray.from_arrays(pa.array(g.lang[first], pa.int32()), pa.array(names, pa.string())).cast(pa.string())
                 out.append(pa.table([lang, pa.array(np.full(len(first), n), pa.int32()),
                                      g.phrases(first, np.full(len(first), n)), pa.array(count, pa.int64())], schema=_COUNT))
+        tidy()
         return pa.concat_tables(out)
     return run
 
@@ -265,15 +298,19 @@ def frequent_phrases(docs: DataFrame, largest: int, min_count: int, lang: str =
     # A text of b bytes has at most (b + 1) / 2 words: a bound of the mass, which is only counted later.
     mass = small * SHARD_BYTES // 2 * largest
     targets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass * SLACK // (min_count * COUNTERS)))
+    bits = min(32, max(16, (mass * SPARSE // targets).bit_length()))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64(*rows.columns), F.lit(shards)).cast("int")) \
         .select("lang", "text", "shard").repartition(shards, "shard")
     root = shared_dir(spark, "collocations", unique=True)
-    rows.groupBy("shard").applyInArrow(_send(targets, largest), _CELL_SQL).write.parquet(f"{root}/cells")
+    rows.groupBy("shard").applyInArrow(_send(targets, bits, largest), _CELL_SQL).write.parquet(f"{root}/cells")
     cells = spark.read.parquet(f"{root}/cells")
     total = F.sum("mass").over(Window.partitionBy("target"))
-    survivors = cells.select("target", "cell", total.alias("total")).mapInArrow(_summaries(min_count), _CELL_SQL)
-    replies = survivors.union(cells).repartition("target").sortWithinPartitions("target", "shard").mapInArrow(_replies, _CELL_SQL)
-    counts = rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(_count(targets, largest), _COUNT_SQL)
+    survivors = cells.repartitionById(targets, F.col("target")).select("target", "cell", "times", total.alias("total")) \
+        .mapInArrow(_summaries(min_count), _CELL_SQL)
+    sent = cells.select("target", "shard", "mass", "cell", F.lit(None).cast("binary").alias("times"))
+    replies = survivors.union(sent).repartitionById(targets, F.col("target")).sortWithinPartitions("target", "shard") \
+        .mapInArrow(_replies, _CELL_SQL)
+    counts = rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(_count(targets, bits, largest), _COUNT_SQL)
     counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")) \
         .filter((F.col("n") >= min_count) | (F.col("size") == 0)).write.parquet(f"{root}/frequent")
     return spark.read.parquet(f"{root}/frequent")

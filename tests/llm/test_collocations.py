@@ -82,6 +82,12 @@ def test_summary_keeps_every_frequent_key():
         assert all(x <= true[k] <= x + s.taken for k, x in zip(s.key.tolist(), s.count.tolist()))
 
 
+def test_packed_numbers_come_back():
+    x = np.array([0, 1, 127, 128, 16383, 16384, (1 << 21) - 1, 1 << 21, 1 << 28, (1 << 32) - 1, 5], np.uint32)
+    assert c.expand(c.squeeze(x)).tolist() == x.tolist() and c.expand(c.squeeze(x[:0])).tolist() == []
+    assert c._keys(c._steps(np.sort(x))).tolist() == sorted(x.tolist())
+
+
 def test_counters_do_not_change_the_result(spark, monkeypatch):
     """With a capacity just above mass / threshold the summaries lose counts, not phrases."""
     rows = odd_rows()
