@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 from .spans import _MASK, column_bytes, hash_spans, load8, pieces, tidy
 
 LEAF = 8                # bytes merged by rank directly
-CACHE_BYTES = 12 << 20  # encoded parts kept in each of two generations, as ``_cost`` counts them
-PAIRS = 50_000          # tested token pairs kept
+CACHE_BYTES = 20 << 20  # encoded parts kept in each of two generations, as ``_cost`` counts them
+PAIRS = 100_000         # tested token pairs kept
 BATCH_BYTES = 2 << 20
 MAX_VOCABULARY_BYTES = 64 << 20  # the broadcast's bound
 
@@ -111,8 +111,8 @@ def part_starts(points: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
 
 
 def _cost(part: bytes, ids: tuple) -> int:
-    """Bytes that a cached part takes: two objects, their ids' numbers and a dictionary slot."""
-    return 200 + len(part) + 36 * len(ids)
+    """Bytes that a cached part takes: two objects and a dictionary slot (the numbers are the vocabulary's)."""
+    return 150 + len(part) + 8 * len(ids)
 
 
 class Encoder:
