@@ -15,7 +15,10 @@ batches, so no regular expression runs over the text, and a part that occurs man
 times in a batch is encoded once.  Decoding concatenates token bytes: token lengths
 are summed up (a scan), then all bytes are gathered at once.
 
-Null and empty texts have no tokens.  Bytes that are not UTF-8 are read as U+FFFD.
+Null and empty texts have no tokens.  Bytes that are not UTF-8 are read as U+FFFD.  Ties
+of rank cannot arise.  Every row is encoded by itself, repeated rows too; an empty table gives
+no rows.  A long text is a piece of its own.  Carried columns keep their values, whatever
+their names; others are ignored.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ conversation of any length therefore needs the memory of one message.  The reade
 Order within a conversation: turn, then role, then text (repeated turns stay).  Nulls:
 a null text or role is empty; a null turn comes first; rows with a null conv_id are one
 conversation.  ``escape`` puts a backslash before ``\\``, ``[`` and ``<``, so no control
-string can stand in a text, and ``unescape`` takes it off again.
+string can stand in a text, and ``unescape`` takes it off again.  Empty texts are turns without
+text; long ones are one message each.  An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ Words are compared by 64-bit hash.
 
 Null and empty texts have no words, no spans and no items.  Items without words have
 no phrase.  The spans of an item whose id is null count, but it is not listed.
-Repeated items count once.
+Repeated items count once.  Repeated documents are judged one by one.  Without documents there
+are no rows, without items no hits.  A long document is a shard of its own.  Carried columns keep
+their values, whatever their names; others are ignored.
 """
 
 from __future__ import annotations

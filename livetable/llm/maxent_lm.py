@@ -24,7 +24,11 @@ batches forward, shard by shard.
 
 The base score is the unigram model with add-one smoothing.  Words are told apart by a
 64-bit hash.  Null and empty texts are the end token alone.  A null doc_id is neither
-held out nor left out of training.
+held out nor left out of training.  Repeated rows are learned and scored one by one; equal counts
+are ordered by the word's hash.  An empty table gives no rows.  A document of any length is the
+smallest unit of a shard.  Other columns are ignored.
+
+Open: training tasks are the table's splits, so scores depend on the file layout.
 """
 
 from __future__ import annotations

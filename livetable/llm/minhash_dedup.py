@@ -22,7 +22,8 @@ form groups.
 
 Rows: a null doc_id is in no group (component null, kept).  Null, empty and blank
 texts have the empty set: linked with nothing.  Rows that share a doc_id count as
-one document.
+one document.  Ties do not arise: a component's name is its smallest doc_id.  An empty table gives
+no rows.  A long text is one row of its own, hashed whole.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ all else is packed arrays.  Every shard is bounded in bytes, whatever copies it
 Windows are told apart by anchor and a 64-bit hash of the words.
 
 Null, empty and short texts lose nothing.  A null doc_id is smaller than none and none
-is smaller than it.  Rows that share a doc_id do not remove each other's words.
+is smaller than it.  Rows that share a doc_id do not remove each other's words.  An
+empty table gives no rows.  A document is the smallest unit of a shard, however long.  Carried
+columns keep their values, whatever their names; others are ignored.
 """
 
 from __future__ import annotations

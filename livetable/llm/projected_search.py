@@ -18,7 +18,7 @@ Distances are Euclidean, in double precision, on the original vectors; ties go t
 smaller vec_id.  Vectors that are null, empty, zero or hold null or non-finite numbers
 take no part, nor do rows with a null vec_id; a query meets vectors of its own length
 only, and not those of its own vec_id.  Rows that share a vec_id count once, with the
-nearest of them.
+nearest of them.  An empty table, and one without queries, gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,10 @@ many more toxic than other documents hold.
 Scoring is one pass over the documents.  Null and empty texts have all features 0 and
 are scored like any other.  Labels that are null are left out; of several labels of one
 doc_id the largest counts.  Without both classes among the labels every score is the
-share of label 1.
+share of label 1.  Repeated rows are scored one by one.  An empty table gives no rows.  Long texts
+are read whole, in pieces of whole documents.  Ties of the hash are broken by doc_id.  Training
+rows are dealt and ordered by their content, so scores do not depend on files.  Carried columns
+keep their values, whatever their names; others are ignored.
 """
 
 from __future__ import annotations

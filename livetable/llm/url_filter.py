@@ -15,6 +15,8 @@ shard after shard in one stage and keep the longest rule.
 Url parts: host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 with A-Z lower-cased; path is what follows up to ``?``, ``#`` or the end.  A null url and
 one without ``://`` have neither and no rule fits.  Null rules or actions are no rules.
+Repeated urls are judged one by one, repeated rules count once; an empty table gives no rows, no
+rules judge nothing.  A url of any length is one row.  Other columns are ignored.
 """
 
 from __future__ import annotations
