@@ -7,7 +7,9 @@ reading it again, so a lost executor never reaches back beyond one stage.
 
 Rows with null or empty texts pass every stage as they are; a null doc_id is a
 document of its own.  A document that a stage cuts keeps its row, also where nothing is
-left of its text.
+left of its text.  Repeated rows leave as one at near_dedup.  An empty table passes every
+stage as an empty table.  A long text is one row in every stage, read whole.  Columns beside
+those of ``documents`` are dropped by the first stage.
 """
 
 from __future__ import annotations
