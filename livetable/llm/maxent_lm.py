@@ -1,12 +1,12 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
 A text is its words (A-Z lower-cased) and one end token.  Every word has a slot: the
-end token and the ``HEADS`` most frequent training words have their own, all others share
-``TAILS`` slots by hash; ``WIDTH`` neighbouring slots are a class.  The model is
+end token and the most frequent training words (heads) have their own, all others share
+the remaining slots by hash; ``width`` neighbouring slots are a class.  The model is
 
     P(word | history) = P(class | history) P(slot | class, history) P(word | slot)
 
-with two softmaxes of ``WIDTH`` outcomes whose scores sum the weight rows of hashed
+with two softmaxes of ``width`` outcomes whose scores sum the weight rows of hashed
 features of the history: the word before, the two before (bigram), the second word back
 alone (skip) and the third alone (skip).  P(word | slot) is (c + 1) / (sum of c + 1 over the
 slot's known words, plus 1 in a shared slot, for unknown words); so the probabilities of
@@ -16,48 +16,80 @@ Counting covers all training documents: shards send their distinct words with co
 packed, to word buckets; these answer each shard with the counts of its words.  The
 words' counts thus never stand in one place, and each shard holds its own words only.
 
-Training covers all training documents once, in ``ROUNDS`` disjoint parts.  In each
-round every task starts from the broadcast weights (a fixed size), makes row-wise Adagrad
-steps over its share in sparse numpy batches and returns its change of the weights;
-the changes are averaged by tokens, block by block, in Spark.  Scoring runs the same
-batches forward, shard by shard.
+The model's size follows V, the number of distinct training words (:func:`sizes_for`):
+weight rows grow as the cube root of V above 2^20 words, classes and slots of a class as
+the sixth root, so all weights grow as the square root of V, from 4.2 MB.  They are
+broadcast, so growth ends at ``MOST_BYTES`` (about 4 * 10^9 words).
+
+Training covers all training documents once, in ``ROUNDS`` disjoint parts.  A round's
+documents are dealt by hash of (doc_id, text) to training shards of about ``TRAIN_BYTES`` and
+sorted there by that hash, so neither files nor their order change what is learned.  Every
+shard starts from the broadcast weights, makes row-wise Adagrad steps in sparse numpy
+batches and returns its change of the weights; the changes are averaged by tokens, block
+by block and in the order of the shards.  A shard's size does not depend on the input, so
+neither does what one round learns.  Scoring runs the same batches forward, shard by shard.
 
 The base score is the unigram model with add-one smoothing.  Words are told apart by a
 64-bit hash.  Null and empty texts are the end token alone.  A null doc_id is neither
 held out nor left out of training.  Repeated rows are learned and scored one by one; equal counts
 are ordered by the word's hash.  An empty table gives no rows.  A document of any length is the
 smallest unit of a shard.  Other columns are ignored.
-
-Open: training tasks are the table's splits, so scores depend on the file layout.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .packed import by_target, pack, unpack_all
+from .packed import by_target, pack, unpack, unpack_all
 from .spans import LOWER, SPACED, Words, column_bytes, mix, pieces
 from .store import settle, shard_count
 
-WIDTH = 32                      # classes, and slots of a class
-SLOTS = WIDTH * WIDTH
-HEADS = 767                     # words with a slot of their own; slot 0 is the end token
-TAILS = SLOTS - HEADS - 1       # shared slots
 FEATURES = 4
-CLASS_ROWS, SLOT_ROWS = WIDTH + FEATURES * 2720, WIDTH + FEATURES * 5450    # weight rows; the first WIDTH are biases
 SAFE = 60.0                     # scores within it need no shift before exp
 BATCH = 8192                    # tokens of a gradient step
 RATE = 0.5
 ROUNDS = 3
 BLOCKS = 16                     # the weights' change is summed in so many blocks
 SHARD_BYTES = 8 << 20
+TRAIN_BYTES = 32 << 20          # text of a training shard
+MOST_BYTES = 256 << 20          # of all weights
 
 END = np.uint64(0x9E3779B97F4A7C15)     # the end token's key
 START = np.uint64(0xD1B54A32D192ED03)   # before the first word
 
 
+class Sizes(NamedTuple):
+    width: int                  # classes, and slots of a class
+    class_rows: int             # weight rows; the first ``width`` are biases
+    slot_rows: int
+
+    @property
+    def slots(self) -> int:
+        return self.width * self.width
+
+    @property
+    def heads(self) -> int:
+        """Words with a slot of their own; slot 0 is the end token."""
+        return self.slots * 3 // 4 - 1
+
+    @property
+    def tails(self) -> int:
+        """Shared slots."""
+        return self.slots - self.heads - 1
+
+
+def sizes_for(words: int) -> Sizes:
+    """The model's size for so many distinct training words."""
+    most = (MOST_BYTES / (4 * 32 * FEATURES * 256 * 32)) ** (2 / 3)
+    grow = min(max(1.0, (words / 2 ** 20) ** (1 / 3)), most)
+    width = 8 * int(4 * grow ** 0.5)
+    return Sizes(width, width + FEATURES * int(2720 * grow), width + FEATURES * int(5450 * grow))
+
+
 def tokens(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, first token of each document, then the total) of documents i..j."""
     w = Words(data, offsets, i, j, LOWER, SPACED)
@@ -65,9 +97,9 @@ def tokens(data: np.ndarray, offsets: np.ndarray, i: int, j: int) -> tuple[np.nd
     return keys, w.first + np.arange(len(w.first))
 
 
-def slots_of(keys: np.ndarray, heads: np.ndarray, order: np.ndarray) -> np.ndarray:
+def slots_of(keys: np.ndarray, heads: np.ndarray, order: np.ndarray, sizes: Sizes) -> np.ndarray:
     """Slot of each key; ``heads``: the head words' keys, sorted, ``order``: their ranks."""
-    out = 1 + HEADS + (mix(keys ^ np.uint64(77)) % np.uint64(TAILS)).astype(np.int64)
+    out = 1 + sizes.heads + (mix(keys ^ np.uint64(77)) % np.uint64(sizes.tails)).astype(np.int64)
     if len(heads):
         at = np.minimum(np.searchsorted(heads, keys), len(heads) - 1)
         out = np.where(heads[at] == keys, 1 + order[at], out)
@@ -88,20 +120,26 @@ def history(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([mix(one ^ np.uint64(1)), mix(one * START ^ two), mix(two ^ np.uint64(3)), mix(three ^ np.uint64(4))])
 
 
-def _spread(h: np.ndarray, n: int) -> np.ndarray:
-    """(FEATURES, tokens) hashes -> rows, each feature in a part of WIDTH..n-1 of its
-    own; as 16-bit numbers (numpy sorts these by radix)."""
-    span = (n - WIDTH) // FEATURES
-    begin = WIDTH + span * np.arange(FEATURES, dtype=np.uint64)[:, None]
-    return (begin + (((h >> np.uint64(32)) * np.uint64(span)) >> np.uint64(32))).astype(np.uint16)
+def _spread(h: np.ndarray, rows: int, width: int) -> np.ndarray:
+    """(FEATURES, tokens) hashes -> rows, each feature in a part of width..rows-1 of its
+    own; as 16-bit numbers if they suffice (numpy sorts these by radix)."""
+    span = (rows - width) // FEATURES
+    begin = width + span * np.arange(FEATURES, dtype=np.uint64)[:, None]
+    return (begin + (((h >> np.uint64(32)) * np.uint64(span)) >> np.uint64(32))).astype(_row_type(rows))
+
 
+def _row_type(rows: int) -> type:
+    return np.uint16 if rows <= 1 << 16 else np.uint32
 
-def rows_of(hist: np.ndarray, classes: np.ndarray | None) -> np.ndarray:
+
+def rows_of(hist: np.ndarray, classes: np.ndarray | None, sizes: Sizes) -> np.ndarray:
     """Weight rows (FEATURES + 1, tokens): the bias row, then the features' rows."""
     if classes is None:
-        return np.concatenate([np.zeros((1, hist.shape[1]), np.uint16), _spread(hist, CLASS_ROWS)])
+        rows = _spread(hist, sizes.class_rows, sizes.width)
+        return np.concatenate([np.zeros((1, hist.shape[1]), rows.dtype), rows])
     turned = (hist ^ (classes.astype(np.uint64) * END)) * START
-    return np.concatenate([classes.astype(np.uint16)[None], _spread(turned ^ (turned << np.uint64(29)), SLOT_ROWS)])
+    rows = _spread(turned ^ (turned << np.uint64(29)), sizes.slot_rows, sizes.width)
+    return np.concatenate([classes.astype(rows.dtype)[None], rows])
 
 
 def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -134,15 +172,15 @@ def _step(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, target: np.nd
         weights[row] += total * (RATE / np.sqrt(seen[row] + 1))[:, None]
 
 
-def log_probability(weights: tuple[np.ndarray, np.ndarray], slot: np.ndarray, hist: np.ndarray) -> np.ndarray:
+def log_probability(weights: tuple[np.ndarray, np.ndarray], slot: np.ndarray, hist: np.ndarray, sizes: Sizes) -> np.ndarray:
     """Natural log of P(class) P(slot | class) of each token."""
     out = np.empty(len(slot))
     for a in range(0, len(slot), BATCH):
         s, h = slot[a:a + BATCH], hist[:, a:a + BATCH]
-        c = s // WIDTH
+        c = s // sizes.width
         k = np.arange(len(s))
-        out[a:a + BATCH] = log_softmax(weights[0], rows_of(h, None))[k, c]
-        out[a:a + BATCH] += log_softmax(weights[1], rows_of(h, c))[k, s % WIDTH]
+        out[a:a + BATCH] = log_softmax(weights[0], rows_of(h, None, sizes))[k, c]
+        out[a:a + BATCH] += log_softmax(weights[1], rows_of(h, c, sizes))[k, s % sizes.width]
     return out
 
 
@@ -172,52 +210,72 @@ def _send_counts(targets: int):
     return run
 
 
-HEAD, SHARED, TOTAL, REPLY = 1, 2, 3, 4
+WORDS, TOTAL, REPLY = 1, 2, 3
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """A bucket's part of the statistics, and for each shard the counts of its words."""
+    """A bucket's totals and known words, and for each shard the counts of its words."""
     (keys, counts), row = unpack_all(table["cell"])
     shard = table["shard"].to_numpy()[row]
     word, inv = np.unique(keys, return_inverse=True)
     c = np.bincount(inv, weights=counts, minlength=len(word)).astype(np.int64)
     known = c > 0
-    out = [(TOTAL, None, None, int(known.sum()), int(c.sum()), None)]
     plain = known & (word != END)
-    best = np.flatnonzero(plain)
-    best = best[np.lexsort((word[best], -c[best]))][:HEADS]
-    out += [(HEAD, None, None, int(w), int(n), None) for w, n in zip(word[best].view(np.int64).tolist(), c[best].tolist())]
-    tail = slots_of(word[plain], np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    sums = np.bincount(tail, weights=c[plain] + 1, minlength=SLOTS).astype(np.int64)
-    out += [(SHARED, None, None, s, int(sums[s]), None) for s in np.flatnonzero(sums).tolist()]
+    out = [(TOTAL, None, None, int(known.sum()), int(c.sum()), None), (WORDS, None, None, None, None, pack(word[plain], c[plain]))]
     again = known[inv]
     out += [(REPLY, None, s, None, None, pack(k, n)) for s, (k, n) in by_target(shard[again], keys[again], c[inv][again])]
     return _cells(out)
 
 
+def _heads_of(sizes: Sizes):
+    """The most frequent words of each bucket: (word, n)."""
+    def run(batches):
+        for batch in batches:
+            for cell in batch.column("cell").to_pylist():
+                word, n = unpack(cell)
+                best = np.lexsort((word, -n))[:sizes.heads]
+                yield pa.RecordBatch.from_arrays([pa.array(word[best].view(np.int64)), pa.array(n[best])], names=["word", "n"])
+    return run
+
+
+def _shared_of(sizes: Sizes):
+    """For each shared slot, the sum of c + 1 of a bucket's words: (word: the slot, n)."""
+    def run(batches):
+        for batch in batches:
+            sums = np.zeros(sizes.slots, np.int64)
+            for cell in batch.column("cell").to_pylist():
+                word, n = unpack(cell)
+                np.add.at(sums, slots_of(word, np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes), n + 1)
+            slot = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(sums[slot])], names=["word", "n"])
+    return run
+
+
 def _train(source):
     def run(batches):
-        weights, heads, order = source.value
+        weights, heads, order, sizes = source.value
         now = [w.copy() for w in weights]
         seen = [np.zeros(len(w), np.float32) for w in weights]
-        n = 0
+        n, shard = 0, None
         for batch in batches:
+            shard = batch.column("part")[0].as_py() if len(batch) else shard
             data, offsets = column_bytes(batch.column("text"))
             for i, j in pieces(offsets):
                 keys, first = tokens(data, offsets, i, j)
-                slot, hist = slots_of(keys, heads, order), history(keys, first)
+                slot, hist = slots_of(keys, heads, order, sizes), history(keys, first)
                 for a in range(0, len(slot), BATCH):
                     s, h = slot[a:a + BATCH], hist[:, a:a + BATCH]
-                    _step(now[0], seen[0], rows_of(h, None), s // WIDTH)
-                    _step(now[1], seen[1], rows_of(h, s // WIDTH), s % WIDTH)
+                    c = s // sizes.width
+                    _step(now[0], seen[0], rows_of(h, None, sizes), c)
+                    _step(now[1], seen[1], rows_of(h, c, sizes), s % sizes.width)
                 n += len(slot)
         if n:
             change = np.concatenate([b - a for a, b in zip(weights, now)])
             size = -(-len(change) // BLOCKS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(BLOCKS), pa.int32()), pa.array([n] * BLOCKS, pa.int64()),
+                [pa.array(range(BLOCKS), pa.int32()), pa.array([shard] * BLOCKS, pa.int32()), pa.array([n] * BLOCKS, pa.int64()),
                  pa.array([(change[b * size:(b + 1) * size] * n).astype(np.float32).tobytes() for b in range(BLOCKS)], pa.binary())],
-                names=["block", "n", "change"])
+                names=["block", "part", "n", "change"])
     return run
 
 
@@ -237,7 +295,7 @@ def _sum_changes(batches):
 
 def _score(source):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        weights, heads, order, inside, n_all, v_all = source.value
+        weights, heads, order, inside, n_all, v_all, sizes = source.value
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
         if len(docs):
             word, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -252,10 +310,10 @@ def _score(source):
                 if len(word):
                     at = np.minimum(np.searchsorted(word, keys), len(word) - 1)
                     c = np.where(word[at] == keys, count[at], 0).astype(float)
-                slot = slots_of(keys, heads, order)
-                own = slot <= HEADS
+                slot = slots_of(keys, heads, order, sizes)
+                own = slot <= sizes.heads
                 within = np.where(own, 0.0, np.log(c + 1) - np.log(inside[slot]))
-                p = (log_probability(weights, slot, history(keys, first)) + within) / np.log(10)
+                p = (log_probability(weights, slot, history(keys, first), sizes) + within) / np.log(10)
                 base = np.log10((c + 1) / (n_all + (v_all + 1)))
                 cut = first[:-1]
                 out["n_tokens"].append(np.diff(first))
@@ -268,16 +326,16 @@ def _score(source):
     return run
 
 
-def start_weights(slot_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def start_weights(slot_counts: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the model without history: the log frequencies as biases."""
-    c = (slot_counts + 0.5).reshape(WIDTH, WIDTH)
-    classes, slots = np.zeros((CLASS_ROWS, WIDTH), np.float32), np.zeros((SLOT_ROWS, WIDTH), np.float32)
+    c = (slot_counts + 0.5).reshape(sizes.width, sizes.width)
+    classes, slots = (np.zeros((n, sizes.width), np.float32) for n in (sizes.class_rows, sizes.slot_rows))
     classes[0] = np.log(c.sum(axis=1) / c.sum())
-    slots[:WIDTH] = np.log(c / c.sum(axis=1, keepdims=True))
+    slots[:sizes.width] = np.log(c / c.sum(axis=1, keepdims=True))
     return classes, slots
 
 
-def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", train_bytes: int = TRAIN_BYTES) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row;
     rows with ``held_out`` (over the input's columns) are not learned from."""
     spark = docs.sparkSession
@@ -291,32 +349,39 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     totals = counted.filter(F.col("kind") == TOTAL).agg(F.sum("word").alias("v"), F.sum("n").alias("n")).first()
     v_all, n_all = int(totals["v"] or 0), int(totals["n"] or 0)
-    best = counted.filter(F.col("kind") == HEAD).select("word", "n").orderBy(F.desc("n"), "word").limit(HEADS).collect()
+    sizes = sizes_for(v_all)
+    words = counted.filter(F.col("kind") == WORDS).select("cell")
+    best = words.mapInArrow(_heads_of(sizes), "word long, n long").orderBy(F.desc("n"), "word").limit(sizes.heads).collect()
     heads = np.array([r["word"] for r in best], np.int64).view(np.uint64)
     counts = np.array([r["n"] for r in best], np.int64)
-    shared = np.zeros(SLOTS, np.int64)
-    for r in counted.filter(F.col("kind") == SHARED).groupBy("word").agg(F.sum("n").alias("n")).collect():
+    shared = np.zeros(sizes.slots, np.int64)
+    for r in words.mapInArrow(_shared_of(sizes), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
         shared[r["word"]] = r["n"]
     # Head words leave the shared slot that their hash names.
-    np.subtract.at(shared, slots_of(heads, np.zeros(0, np.uint64), np.zeros(0, np.int64)), counts + 1)
+    np.subtract.at(shared, slots_of(heads, np.zeros(0, np.uint64), np.zeros(0, np.int64), sizes), counts + 1)
     slot_counts = shared.astype(float)
     slot_counts[1:1 + len(heads)] = counts
     slot_counts[0] = max(0, n_all - counts.sum() - shared.sum() + (v_all - len(heads) - 1))
     order = np.argsort(heads)
     heads_sorted = heads[order]
-    weights = start_weights(slot_counts)
+    weights = start_weights(slot_counts, sizes)
 
-    learned = rows.filter(~F.col("held_out"))
+    parts = max(1, -(-shards * SHARD_BYTES // (ROUNDS * train_bytes)))
+    learned = rows.filter(~F.col("held_out")).withColumn("h", F.xxhash64("doc_id", "text", F.lit(3)))
     for r in range(ROUNDS):
-        source = spark.sparkContext.broadcast((weights, heads_sorted, order))
-        part = learned.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(ROUNDS)) == r).select("text")
-        kind = "block int, n long, change binary"
-        got = part.mapInArrow(_train(source), kind).repartition(BLOCKS, "block").mapInArrow(_sum_changes, kind).collect()  # a fixed size
+        source = spark.sparkContext.broadcast((weights, heads_sorted, order, sizes))
+        part = learned.filter(F.pmod("h", F.lit(ROUNDS)) == r) \
+            .withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")) \
+            .repartitionById(parts, "part").sortWithinPartitions("h", "doc_id").select("part", "text")
+        kind = "block int, part int, n long, change binary"
+        got = part.mapInArrow(_train(source), kind).repartitionById(BLOCKS, "block").sortWithinPartitions("block", "part") \
+            .mapInArrow(_sum_changes, "block int, n long, change binary").collect()     # as large as the weights
         if got:
             blocks = {g["block"]: np.frombuffer(g["change"], np.float32) / g["n"] for g in got}
-            change = np.concatenate([blocks[b] for b in sorted(blocks)]).reshape(-1, WIDTH)
-            weights = (weights[0] + change[:CLASS_ROWS], weights[1] + change[CLASS_ROWS:])
-    source = spark.sparkContext.broadcast((weights, heads_sorted, order, shared.astype(float) + 1, n_all, v_all))
+            change = np.concatenate([blocks[b] for b in sorted(blocks)]).reshape(-1, sizes.width)
+            weights = (weights[0] + change[:sizes.class_rows], weights[1] + change[sizes.class_rows:])
+        source.unpersist()
+    source = spark.sparkContext.broadcast((weights, heads_sorted, order, shared.astype(float) + 1, n_all, v_all, sizes))
     replies = counted.filter(F.col("kind") == REPLY).select("shard", "cell")
     out = dealt.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(
         _score(source), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -59,10 +59,39 @@ def test_nothing_to_learn_from(spark):
 
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(3)
-    weights = tuple(rng.normal(size=(n, m.WIDTH)).astype(np.float32) for n in (m.CLASS_ROWS, m.SLOT_ROWS))
-    hist = np.repeat(rng.integers(0, 2**63, (m.FEATURES, 1), dtype=np.uint64), m.SLOTS, axis=1)
-    p = np.exp(m.log_probability(weights, np.arange(m.SLOTS), hist))
-    assert abs(p.sum() - 1) < 1e-4
+    for sizes in (m.sizes_for(10), m.sizes_for(40 << 20)):
+        weights = tuple(rng.normal(size=(n, sizes.width)).astype(np.float32) for n in (sizes.class_rows, sizes.slot_rows))
+        hist = np.repeat(rng.integers(0, 2**63, (m.FEATURES, 1), dtype=np.uint64), sizes.slots, axis=1)
+        p = np.exp(m.log_probability(weights, np.arange(sizes.slots), hist, sizes))
+        assert abs(p.sum() - 1) < 1e-4
+
+
+def test_model_grows_with_the_vocabulary():
+    sizes = [m.sizes_for(v) for v in (0, 2**20, 2**22, 2**25, 2**28, 2**31, 2**45)]
+    weights = [4 * s.width * (s.class_rows + s.slot_rows) for s in sizes]
+    assert weights[0] == weights[1] and all(a < b for a, b in zip(weights[1:], weights[2:]))
+    assert weights[-1] <= m.MOST_BYTES * 1.05
+    assert all(s.heads + s.tails + 1 == s.slots for s in sizes)
+
+
+def score_in_files(spark, tmp_path, files, train_bytes):
+    path = f"{tmp_path}/{files}_{train_bytes}"
+    spark.read.parquet(f"{SF001}/documents.parquet").repartition(files, F.xxhash64("doc_id", F.lit(files))).write.parquet(path)
+    got = m.score(spark.read.parquet(path), F.crc32(F.col("doc_id").cast("string")) % 7 == 2, train_bytes=train_bytes)
+    return {r["doc_id"]: (r["held_out"], r["n_tokens"], r["base_score"], r["score"]) for r in got.collect()}
+
+
+def test_files_change_nothing(spark, tmp_path):
+    """One, 6 and 40 files, and one or several training shards a round."""
+    gain = {}
+    for train_bytes in (m.TRAIN_BYTES, 1 << 20):
+        one, *others = (score_in_files(spark, tmp_path, files, train_bytes) for files in (1, 6, 40))
+        for other in others:
+            assert max(abs(a[3] - other[i][3]) / -a[3] for i, a in one.items()) < 1e-6
+        kept = [x for x in one.values() if x[0]]
+        gain[train_bytes] = sum(x[3] - x[2] for x in kept) / sum(x[1] for x in kept)
+    print(gain)
+    assert min(gain.values()) > 0.05
 
 
 def test_history_stays_inside_documents():
@@ -82,4 +111,4 @@ def test_word_three_back_is_seen():
     a, b = (m.history(np.array([first, 20, 21, 22], np.uint64), np.array([0, 4])) for first in (10, 11))
     differs = (a[:, 3] != b[:, 3])
     assert differs.sum() == 1 and len(a) == m.FEATURES == 4
-    assert len({tuple(m.rows_of(h, None)[:, 3]) for h in (a, b)}) == 2
+    assert len({tuple(m.rows_of(h, None, m.sizes_for(0))[:, 3]) for h in (a, b)}) == 2
