@@ -142,20 +142,38 @@ def rows_of(hist: np.ndarray, classes: np.ndarray | None, sizes: Sizes) -> np.nd
     return np.concatenate([classes.astype(rows.dtype)[None], rows])
 
 
-def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def _scores(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each token's scores, their exponentials and the sums of these."""
     scores = weights.take(rows[0], axis=0)
     for r in rows[1:]:
         scores += weights.take(r, axis=0)
     if not -SAFE < scores.min() <= scores.max() < SAFE:
         scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-    return scores
+    e = np.exp(scores)
+    return scores, e, e @ np.ones(e.shape[1], e.dtype)
+
+
+def segment_sums(x: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows of ``x`` that begin at ``cut``; ``x`` is overwritten.
+    Each pass adds the second half of every run to its first, so a run of any length
+    takes few passes over whole arrays."""
+    length = np.diff(np.append(cut, len(x)))
+    begin = cut
+    while True:
+        longer = length > 1
+        if not longer.any():
+            return x[cut]
+        begin, length = begin[longer], length[longer]
+        half = length >> 1
+        place = np.arange(int(half.sum())) + np.repeat(begin - (np.cumsum(half) - half), half)
+        length = length - half
+        x[place] += x.take(place + np.repeat(length, half), axis=0)
 
 
 def _step(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One row-wise Adagrad step on a batch, in place."""
-    g = np.exp(log_softmax(weights, rows))
-    np.negative(g, out=g)
+    _, g, total = _scores(weights, rows)
+    g *= (-1 / total)[:, None]
     g[np.arange(len(target)), target] += 1
     for r in rows:
         if r[0] == r[-1] and (r == r[0]).all():     # the one bias row of the class model
@@ -167,20 +185,21 @@ def _step(weights: np.ndarray, seen: np.ndarray, rows: np.ndarray, target: np.nd
         at = r[order]
         cut = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         row = at[cut]
-        total = np.add.reduceat(g.take(order, axis=0), cut, axis=0)
+        total = segment_sums(g.take(order, axis=0), cut)
         seen[row] += np.einsum("ij,ij->i", total, total)
         weights[row] += total * (RATE / np.sqrt(seen[row] + 1))[:, None]
 
 
 def log_probability(weights: tuple[np.ndarray, np.ndarray], slot: np.ndarray, hist: np.ndarray, sizes: Sizes) -> np.ndarray:
     """Natural log of P(class) P(slot | class) of each token."""
-    out = np.empty(len(slot))
+    out = np.zeros(len(slot))
     for a in range(0, len(slot), BATCH):
         s, h = slot[a:a + BATCH], hist[:, a:a + BATCH]
         c = s // sizes.width
         k = np.arange(len(s))
-        out[a:a + BATCH] = log_softmax(weights[0], rows_of(h, None, sizes))[k, c]
-        out[a:a + BATCH] += log_softmax(weights[1], rows_of(h, c, sizes))[k, s % sizes.width]
+        for w, rows, target in ((weights[0], rows_of(h, None, sizes), c), (weights[1], rows_of(h, c, sizes), s % sizes.width)):
+            scores, _, total = _scores(w, rows)
+            out[a:a + BATCH] += scores[k, target] - np.log(total)
     return out
 
 

@@ -66,6 +66,14 @@ def test_probabilities_sum_to_one():
         assert abs(p.sum() - 1) < 1e-4
 
 
+def test_segment_sums():
+    rng = np.random.default_rng(5)
+    for lengths in ([1], [7], [1, 1, 1], [3, 1, 900, 2, 1], rng.integers(1, 40, 300).tolist()):
+        cut = np.cumsum([0, *lengths[:-1]])
+        x = rng.normal(size=(sum(lengths), 4))
+        assert np.allclose(m.segment_sums(x.copy(), cut), np.add.reduceat(x, cut, axis=0))
+
+
 def test_model_grows_with_the_vocabulary():
     sizes = [m.sizes_for(v) for v in (0, 2**20, 2**22, 2**25, 2**28, 2**31, 2**45)]
     weights = [4 * s.width * (s.class_rows + s.slot_rows) for s in sizes]
