@@ -9,13 +9,16 @@ whose word sequence also starts in a document with a smaller doc_id is removed.
    and largest doc_id) once per anchor: a passage that a third of the documents share
    is one entry per shard.  Anchors of two documents or more go back to their shards.
 2. Confirmation.  Only windows with such an anchor are hashed in full and sent, again
-   pre-aggregated per shard; windows that a smaller doc_id also has go back.
-3. Automata.  Each shard compiles the confirmed phrases into Aho-Corasick automata
-   over words (at most ``PHRASES`` phrases each) and streams its documents through
-   them; every occurrence marks its words in documents above the phrase's smallest.
-
-The documents cross the cluster once, by shard (the exchange is used three times);
-all else is packed arrays.  Every shard is bounded in bytes, whatever copies it holds.
+   pre-aggregated per shard, with one place of the shard where the window stands.  For
+   windows that a smaller doc_id also has, that place and the smallest doc_id go back.
+3. Automata.  The words at these places are the shard's confirmed phrases.  They are
+   compiled into Aho-Corasick automata over words (at most ``PHRASES`` phrases each), and
+   all documents of the shard are streamed through them.  Only the automata locate the
+   occurrences; each marks its words in documents above the phrase's smallest.
+
+The documents cross the cluster once, by shard (the exchange is used three times); a
+shard is sorted by doc_id and text, so places stay valid when it is computed again.
+All else is packed arrays.  Every shard is bounded in bytes, whatever copies it holds.
 Windows are told apart by anchor and a 64-bit hash of the words.
 
 Null, empty and short texts lose nothing.  A null doc_id is smaller than none and none
@@ -66,6 +69,11 @@ class _Windows:
         return h
 
 
+def _sorted(table: pa.Table) -> pa.Table:
+    """The shard's rows in an order of their own, however they arrived."""
+    return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if len(table) else table
+
+
 def _each(table: pa.Table, window: int):
     data, offsets = column_bytes(table["text"])
     ids = table["doc_id"].combine_chunks()
@@ -124,14 +132,16 @@ def _send_windows(targets: int, window: int):
         if not len(docs) or not len(anchors):
             return _cells([])
         known = np.unique(unpack_all(anchors["cell"])[0][0])
-        found = []
-        for _, _, w in _each(docs, window):
+        shard, found, before = docs["shard"][0].as_py(), [], 0
+        for _, _, w in _each(_sorted(docs), window):
             w.only(_isin(w.anchor, known))
-            found.append((w.anchor, w.full(window), w.doc))
-        anchor, full, doc = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            found.append((w.anchor, w.full(window), w.doc, w.start + before))
+            before += len(w.words)
+        anchor, full, doc, place = (np.concatenate(x) for x in zip(*found))
         first, _, low, high = _lowest((full, anchor), doc, doc)
-        anchor, full, shard = anchor[first], full[first], docs["shard"][0].as_py()
-        return _cells([(t, shard, _pack_runs(*x)) for t, x in by_target((mix(anchor) % np.uint64(targets)).astype(np.int64), anchor, full, low, high - low)])
+        anchor, full, place = anchor[first], full[first], place[first]
+        place = place.astype(np.int32 if before < 1 << 31 else np.int64)
+        return _cells([(t, shard, _pack_runs(*x)) for t, x in by_target((mix(anchor) % np.uint64(targets)).astype(np.int64), anchor, full, low, high - low, place)])
     return run
 
 
@@ -148,14 +158,14 @@ def _unpack_runs(column: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]
 
 
 def _repeated_windows(table: pa.Table) -> pa.Table:
-    (anchor, full, low, more), row = _unpack_runs(table["cell"])
+    (anchor, full, low, more, place), row = _unpack_runs(table["cell"])
     shard = table["shard"].to_numpy()[row]
     _, group, lowest, _ = _lowest((full, anchor), low, low + more)
     lowest = lowest[group]
     wanted = low + more > lowest
-    anchor, full, lowest, shard = anchor[wanted], full[wanted], lowest[wanted], shard[wanted]
-    order = np.lexsort((full, anchor))
-    return _cells([(0, s, _pack_runs(*x)) for s, x in by_target(shard[order], anchor[order], full[order], lowest[order])])
+    lowest, place, shard = lowest[wanted], place[wanted], shard[wanted]
+    order = np.argsort(place, kind="stable")
+    return _cells([(0, s, pack(*x)) for s, x in by_target(shard[order], place[order], lowest[order])])
 
 
 def _isin(x: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
@@ -166,31 +176,33 @@ def _isin(x: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
 
 def _remove(window: int, joined: bool, cleaned: bool):
     def run(docs: pa.Table, confirmed: pa.Table) -> pa.Table:
-        phrases = None
-        if len(confirmed):
-            (anchor, full, lowest), _ = _unpack_runs(confirmed["cell"])
-            order = np.lexsort((full, anchor))
-            phrases = anchor[order], full[order], lowest[order]
+        docs = _sorted(docs)
         data, offsets = column_bytes(docs["text"])
+        cover = None
+        if len(docs) and len(confirmed):
+            (place, lowest), _ = unpack_all(confirmed["cell"])
+            cover = _occurrences(data, offsets, docs["doc_id"].to_pylist(), place, lowest, window)
         null = docs["text"].combine_chunks().is_null().to_pylist() if cleaned else []
-        n, spans, out = [], [], []
-        for i, j, w in _each(docs, window):
-            hit = _occurrences(w, phrases, docs["doc_id"].slice(i, j - i).to_pylist(), window) if phrases else None
-            first = w.words.first.tolist()
+        n, spans, out, before = [], [], [], 0
+        for i, j in pieces(offsets):
+            words = Words(data, offsets, i, j, admit=SPACED)
+            hit = cover[before:before + len(words)] if cover is not None else None
+            before += len(words)
+            first = words.first.tolist()
             for d in range(j - i):
                 a, b = first[d], first[d + 1]
                 n.append(b - a)
-                base = int(w.words.bounds[d])
+                base = int(words.bounds[d])
                 gone = hit[a:b] if hit is not None and hit[a:b].any() else None
                 here = []
                 if gone is not None:
                     edge = np.diff(np.r_[False, gone, False].astype(np.int8))
-                    here = [{"first": x, "last": y, "from": int(w.words.starts[a + x]) - base, "to": int(w.words.ends[a + y - 1]) - base}
+                    here = [{"first": x, "last": y, "from": int(words.starts[a + x]) - base, "to": int(words.ends[a + y - 1]) - base}
                             for x, y in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
                 spans.append(here)
                 if joined:
-                    words = data[offsets[i + d]:offsets[i + d + 1]].tobytes().split()
-                    out.append(b" ".join(words if gone is None else [x for x, g in zip(words, gone.tolist()) if not g]))
+                    texts = data[offsets[i + d]:offsets[i + d + 1]].tobytes().split()
+                    out.append(b" ".join(texts if gone is None else [x for x, g in zip(texts, gone.tolist()) if not g]))
                 elif cleaned:
                     out.append(None if null[i + d] else _cut(data[offsets[i + d]:offsets[i + d + 1]].tobytes(), here))
         cols = {c: docs[c] for c in docs.column_names if c not in ("shard", "text")}
@@ -212,40 +224,33 @@ def _cut(raw: bytes, spans: list[dict]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def _occurrences(w: _Windows, phrases: tuple, doc_ids: list, window: int) -> np.ndarray:
-    """Which words an occurrence of a phrase with a smaller doc_id covers."""
-    anchor, full, lowest = phrases
-    w.only(_isin(w.anchor, anchor))
-    cover = np.zeros(len(w.words) + 1, np.int32)
-    # The confirmed phrase of each window, by (anchor, hash).
-    seen = w.full(window)
-    both = np.lexsort((np.r_[full, seen], np.r_[anchor, w.anchor]))
-    a, f = np.r_[anchor, w.anchor][both], np.r_[full, seen][both]
-    new = np.r_[True, (a[1:] != a[:-1]) | (f[1:] != f[:-1])]
-    group = np.empty(len(both), np.int64)
-    group[both] = np.cumsum(new) - 1
-    phrase_of = np.full(int(new.sum()), -1)
-    phrase_of[group[:len(anchor)]] = np.arange(len(anchor))
-    which = phrase_of[group[len(anchor):]]
-    start, which = w.start[which >= 0], which[which >= 0]
-    which, pick = np.unique(which, return_index=True)
-    start = start[pick]
-    if not len(start):
-        return cover[:-1] > 0
-    text, at = _spelled(w.hash, np.unique(w.hash[(start[:, None] + np.arange(window)).ravel()]))
-    first, places, low = w.words.first.tolist(), at.tolist(), lowest[which].tolist()
-    for k in range(0, len(start), PHRASES):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for s, p in zip(start[k:k + PHRASES].tolist(), range(k, len(start))):
-            automaton.add_word(text[places[s]:places[s + window]], p)
+def _occurrences(data: np.ndarray, offsets: np.ndarray, doc_ids: list, place: np.ndarray, lowest: np.ndarray, window: int) -> np.ndarray:
+    """Which of the shard's words an occurrence of a phrase with a smaller doc_id covers.
+    ``place``: for each phrase, the number of a word where it begins."""
+    hashes, first = [], [np.zeros(1, np.int64)]
+    for i, j in pieces(offsets):
+        words = Words(data, offsets, i, j, admit=SPACED)
+        hashes.append(words.hashes())
+        first.append(words.first[1:] + first[-1][-1])
+    words, first = np.concatenate(hashes), np.concatenate(first)
+    of_phrase = np.zeros(len(words) + 1, np.int32)
+    np.add.at(of_phrase, place, 1)
+    np.add.at(of_phrase, place + window, -1)
+    text, at = _spelled(words, np.unique(words[np.cumsum(of_phrase)[:-1] > 0]))
+    cover = np.zeros(len(words) + 1, np.int32)
+    edges, begin = first.tolist(), at[first].tolist()
+    for k in range(0, len(place), PHRASES):
+        automaton, low = ahocorasick.Automaton(ahocorasick.STORE_INTS), lowest[k:k + PHRASES].tolist()
+        here = place[k:k + PHRASES]
+        for p, (x, y) in enumerate(zip(at[here].tolist(), at[here + window].tolist())):
+            automaton.add_word(text[x:y], p)
         automaton.make_automaton()
         for d, doc in enumerate(doc_ids):
-            a, b = first[d], first[d + 1]
-            if doc is None or b - a < window:
+            if doc is None or edges[d + 1] - edges[d] < window:
                 continue
-            ends = [e for e, p in automaton.iter(text[places[a]:places[b]]) if low[p] < doc]
+            ends = [e for e, p in automaton.iter(text[begin[d]:begin[d + 1]]) if low[p] < doc]
             if ends:
-                e = np.searchsorted(at[a:b], np.array(ends) + places[a], side="right") - 1 + a
+                e = np.searchsorted(at[edges[d]:edges[d + 1]], np.array(ends) + begin[d], side="right") - 1 + edges[d]
                 cover[e - window + 1] += 1
                 cover[e + 1] -= 1
     return np.cumsum(cover)[:-1] > 0
