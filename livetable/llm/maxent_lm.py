@@ -110,14 +110,29 @@ def history(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(FEATURES, tokens) hashes of what stands before each token in its document."""
     n = len(keys)
     place = np.arange(n) - np.repeat(first[:-1], np.diff(first))
-    back = []
-    for d in (1, 2, 3):
-        x = np.empty(n, np.uint64)
-        x[:d], x[d:] = START, keys[:max(0, n - d)]
-        x[place < d] = START
-        back.append(x)
-    one, two, three = back
-    return np.stack([mix(one ^ np.uint64(1)), mix(one * START ^ two), mix(two ^ np.uint64(3)), mix(three ^ np.uint64(4))])
+    before = np.concatenate([np.full(3, START), keys])
+    out = np.empty((FEATURES, n), np.uint64)
+    for a in range(0, n, BATCH):            # so much stays in the processor's cache
+        b = min(a + BATCH, n)
+        one, two, three = (np.where(place[a:b] < d, START, before[3 - d + a:3 - d + b]) for d in (1, 2, 3))
+        for row, h in zip(out, (one ^ np.uint64(1), one * START ^ two, two ^ np.uint64(3), three ^ np.uint64(4))):
+            row[a:b] = mix(h)
+    return out
+
+
+def counts_of(keys: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The count of each key; ``word``: hashes in order, ``count``: theirs, 0 for others.
+    Hashes are spread evenly, so a key's first bits lead to its place within a few steps."""
+    bits = len(word).bit_length() + 1
+    shift = np.uint64(64 - bits)
+    begin = np.searchsorted(word, np.arange(1 << bits, dtype=np.uint64) << shift)
+    word, count = np.append(word, np.uint64(2**64 - 1)), np.append(count, 0)
+    at = begin[keys >> shift]
+    todo = np.flatnonzero(word[at] < keys)
+    while len(todo):
+        at[todo] += 1
+        todo = todo[word[at[todo]] < keys[todo]]
+    return np.where(word[at] == keys, count[at], 0)
 
 
 def _spread(h: np.ndarray, rows: int, width: int) -> np.ndarray:
@@ -145,8 +160,9 @@ def rows_of(hist: np.ndarray, classes: np.ndarray | None, sizes: Sizes) -> np.nd
 def _scores(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each token's scores, their exponentials and the sums of these."""
     scores = weights.take(rows[0], axis=0)
+    more = np.empty_like(scores)
     for r in rows[1:]:
-        scores += weights.take(r, axis=0)
+        scores += weights.take(r, axis=0, out=more, mode="clip")    # "raise" would go through a buffer
     if not -SAFE < scores.min() <= scores.max() < SAFE:
         scores -= scores.max(axis=1, keepdims=True)
     e = np.exp(scores)
@@ -325,10 +341,7 @@ def _score(source):
             data, offsets = column_bytes(docs["text"])
             for i, j in pieces(offsets):
                 keys, first = tokens(data, offsets, i, j)
-                c = np.zeros(len(keys))
-                if len(word):
-                    at = np.minimum(np.searchsorted(word, keys), len(word) - 1)
-                    c = np.where(word[at] == keys, count[at], 0).astype(float)
+                c = counts_of(keys, word, count).astype(float)
                 slot = slots_of(keys, heads, order, sizes)
                 own = slot <= sizes.heads
                 within = np.where(own, 0.0, np.log(c + 1) - np.log(inside[slot]))

@@ -120,3 +120,15 @@ def test_word_three_back_is_seen():
     differs = (a[:, 3] != b[:, 3])
     assert differs.sum() == 1 and len(a) == m.FEATURES == 4
     assert len({tuple(m.rows_of(h, None, m.sizes_for(0))[:, 3]) for h in (a, b)}) == 2
+
+
+def test_counts_of_keys():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        word = np.unique(np.r_[rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2), np.arange(min(n, 40), dtype=np.uint64)])
+        if n == 500:
+            word = np.append(word, np.uint64(2**64 - 1))
+        count = rng.integers(1, 99, len(word))
+        known = dict(zip(word.tolist(), count.tolist()))
+        keys = np.r_[word, rng.integers(0, 2**63, 300).astype(np.uint64), np.array([0, 2**64 - 1, 41], np.uint64)]
+        assert m.counts_of(keys, word, count).tolist() == [known.get(k, 0) for k in keys.tolist()]
