@@ -201,6 +201,17 @@ ORACLE: dict[str, str] = {
         FROM (SELECT score, CAST(CASE WHEN score <= 3 THEN 3 WHEN score <= 8 THEN 2 ELSE 1 END AS DOUBLE) AS rating
               FROM ({_ANSWERS})) WHERE score IS NOT NULL""",
     "serve_batches": f"SELECT * FROM ({_ANSWERS}) a JOIN ({_RECS_TEXT}) r USING (student_id)",
+    # Each answer of a student that its version's training split knows, with that version.
+    "serve_published": f"""
+        WITH a AS (SELECT *, CASE WHEN ts < TIMESTAMP '1998-06-01 00:00:00' THEN 1 ELSE 2 END AS half FROM ({_ANSWERS})),
+        s AS (SELECT student_id, question_id, half FROM a WHERE score IS NOT NULL AND
+                ('0x' || substr(md5(concat_ws(':', '11', split_part(student_id, '_', 2),
+                                              split_part(question_id, '_', 2))), 1, 8))::BIGINT % 10 < 8),
+        k AS (SELECT DISTINCT v.version, student_id FROM s JOIN (VALUES (1), (2)) v(version) ON half <= v.version),
+        q AS (SELECT v.version, least(10, count(DISTINCT question_id)) AS n FROM s JOIN (VALUES (1), (2)) v(version)
+                ON half <= v.version GROUP BY v.version)
+        SELECT a.student_id, question_id, answer_time, score, CAST(half AS BIGINT) AS model_version, CAST(n AS BIGINT) AS n_recs
+        FROM a JOIN k ON k.version = half AND k.student_id = a.student_id JOIN q ON q.version = half""",
     "als_predict": f"""
         WITH {_SPLIT}
         SELECT student_id, question_id, rating, TRUE AS scored FROM s

@@ -19,6 +19,7 @@ from livetable.functions.json import json_fields, parse_json
 from livetable.functions.text import contains_text, lines_of, nonblank, split_words
 from livetable.functions.timefns import from_utc_micros, parse_event_line, to_utc_instant
 from livetable.operators import aggregate as agg
+from livetable.operators import published
 from livetable.operators import recommend as rec
 from livetable.operators.integrity import missing_id_xor, missing_ids, missing_ids_by_range
 from livetable.operators.joins import attach
@@ -46,6 +47,8 @@ from livetable.streaming.sinks import _fs
 WINDOW_LENGTH = "1 hour"
 WINDOW_SLIDE = "30 minutes"
 WATERMARK = "10 minutes"
+# Answers from this time on wait for the second model (key ``serve_published``).
+SECOND_MODEL_FROM = "1998-06-01 00:00:00"
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -474,6 +477,27 @@ def q_serve_batches(spark, base, batches: int = 3):
     return spark.read.parquet(f"{d}/served").drop("batch_id")
 
 
+def q_serve_published(spark, base):
+    """Train, gate, publish and serve as one run: a model of the answers before the middle
+    of their time serves these, then one of all answers is published and the same query,
+    restarted, serves the rest.  Each answer with the version that served it."""
+    d = _run_dir(spark, "serve_published")
+    answers = st.answers(spark, base).withColumn("early", F.coalesce(F.col("ts") < F.lit(SECOND_MODEL_FROM).cast("timestamp_ntz"), F.lit(False)))
+    answers.write.partitionBy("early").parquet(f"{d}/answers")
+    parts = [spark.read.parquet(f"{d}/answers/early={e}") for e in ("true", "false")]
+    schema = parts[0].schema
+    fn = published.serve_versioned(spark, f"{d}/registry", updates_path_writer(f"{d}/served"))
+    for number, known in enumerate((parts[0], parts[0].unionByName(parts[1])), 1):
+        published.train_and_publish(spark, rec.extract_ratings(known), f"{d}/models/{number}", f"{d}/registry")
+        # The files of the second half reach the stream's glob only once its model is there.
+        folder = f"{d}/answers/early={'{true,false}' if number == 2 else 'true'}"
+        stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", str(batch_bytes(spark))).parquet(folder)
+        run_available_now(stream, "foreach_batch", f"{d}/checkpoint", "append", batch_fn=fn)
+    served = spark.read.parquet(f"{d}/served")
+    return served.select("student_id", "question_id", "answer_time", "score", F.col("model_version").cast("long"),
+                         F.size(F.split("recommendations", ",")).cast("long").alias("n_recs"))
+
+
 def q_stream_static_join(spark, base):
     """Answers as a stream joined with a static recommendation table (AQE plans each
     micro-batch)."""
@@ -666,6 +690,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lowest_score_students_stream": q_lowest_score_students_stream,
     "rmse_predictions": q_rmse_predictions,
     "serve_batches": q_serve_batches,
+    "serve_published": q_serve_published,
     "split_words_append": q_split_words_append,
     "nonblank_filter": q_nonblank_filter,
     "json_extract_fields": q_json_extract_fields,
