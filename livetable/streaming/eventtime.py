@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from livetable.functions.timefns import from_utc_micros, to_utc_instant, utc_micros
-from livetable.streaming.sinks import _fs, dropped_by_watermark
+from livetable.streaming.progress import ProgressLog
+from livetable.streaming.sinks import _fs
 
 
 def with_event_time(df: DataFrame, col: str, name: str = "event_time") -> DataFrame:
@@ -83,8 +84,9 @@ def run_in_time_order(spark: SparkSession, df: DataFrame, time_col: str, folder:
                 moved, _ = _fs(spark, f"{folder}/slice{k}-{f.getPath().getName()}")
                 if not fs.rename(f.getPath(), moved):
                     raise RuntimeError(f"could not move {f.getPath()}")
-        q = run(spark.readStream.schema(df.schema).parquet(folder))
-        late = dropped_by_watermark(q)
+        with ProgressLog(spark) as log:
+            q = run(spark.readStream.schema(df.schema).parquet(folder))
+            late = log.totals(q).rows_dropped
         if late:
             raise RuntimeError(f"{late} rows were behind the watermark")
         queries.append(q)

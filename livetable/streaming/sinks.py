@@ -148,7 +148,7 @@ def wait_query(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQu
 
 def dropped_by_watermark(q: StreamingQuery) -> int:
     """Rows that stateful operators of ``q`` refused as too late, in the batches
-    Spark keeps progress of."""
+    Spark keeps progress of (the last hundred); ``streaming.progress`` sums whole runs."""
     return sum(op["numRowsDroppedByWatermark"] or 0
                for p in q.recentProgress for op in (p["stateOperators"] or []))
 

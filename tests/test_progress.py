@@ -1,0 +1,52 @@
+"""Sums over whole runs, beyond what a query's recent progress keeps."""
+
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from livetable.streaming.progress import ProgressLog
+from livetable.streaming.sinks import dropped_by_watermark, run_available_now
+
+
+@pytest.fixture()
+def files(spark, tmp):
+    """Four files read one by one.  Spark tells late rows by the watermark that the batch
+    before worked with: 14:50 for the third and 15:00 for the fourth, which hold two and one."""
+    folder = os.path.join(tmp, "in")
+    hours = (["12:00", "15:00"], ["15:10"], ["08:00", "08:30", "15:15"], ["09:00", "15:20", "18:00"])
+    for h in hours:
+        spark.createDataFrame([(f"2024-05-01 {x}:00",) for x in h], "at string") \
+            .select(F.to_timestamp("at").alias("at")).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema("at timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_sums_reach_beyond_recent_progress(spark, tmp, files):
+    counts = files.withWatermark("at", "10 minutes").groupBy(F.window("at", "10 minutes")).count()
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        with ProgressLog(spark) as log:
+            q = run_available_now(counts, "noop", os.path.join(tmp, "ck"), "append", query_name="windows")
+            got = log.totals(q)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert (got.name, got.batches, got.rows_in, got.rows_dropped, got.ended, got.failure) == ("windows", 4, 9, 3, True, None)
+    assert dropped_by_watermark(q) < 3      # the recent progress has forgotten them
+    row = log.table().first()
+    assert (row["run"], row["rows_in"], row["rows_dropped"]) == (str(q.runId), 9, 3)
+
+
+def test_failures_are_recorded(spark, tmp, files):
+    def fail(batch, batch_id):
+        raise ValueError("no room left")
+
+    with ProgressLog(spark) as log:
+        with pytest.raises(Exception, match="no room left"):
+            run_available_now(files, "foreach_batch", os.path.join(tmp, "ck"), batch_fn=fail, query_name="failing")
+        q_run, limit = None, time.monotonic() + 60
+        while q_run is None and time.monotonic() < limit:      # the report of the end comes after the error
+            q_run = next((r for r in log.table().collect() if r["name"] == "failing" and r["ended"]), None)
+    spark.streams.resetTerminated()
+    assert q_run is not None and "no room left" in q_run["failure"]
