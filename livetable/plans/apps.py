@@ -77,14 +77,15 @@ def device_stats(spark: SparkSession, lines: DataFrame, threshold: float = 30.0,
 def event_windows(spark: SparkSession, lines: DataFrame, length: str = "10 seconds",
                   slide: str = "5 seconds", watermark: str = "10 seconds",
                   mode: str = "update", app: str = "event_windows",
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None) -> list[StreamingQuery]:
     """``timestamp,word`` lines -> sliding-window counts with a watermark.  Lines that
-    do not parse are appended to ``quarantine_<mode>`` by a query of their own."""
+    do not parse are appended to ``quarantine_<mode>`` by a query of their own.  Both
+    queries, the counts first."""
     ts, word = parse_event_line("value")
     parsed = lines.select("value", ts.alias("timestamp"), word.alias("word"))
     ok = F.col("timestamp").isNotNull()
     ck, out = _dirs(spark, app, f"quarantine_{mode}")
-    start_query(parsed.filter(~ok).select("value"), "parquet", ck, "append", path=out, trigger=trigger)
+    bad = start_query(parsed.filter(~ok).select("value"), "parquet", ck, "append", path=out, trigger=trigger)
     ev = parsed.filter(ok)
     counts = windowed_count(ev, "timestamp", "word", length, slide, watermark)
     ck, out = _dirs(spark, app, mode)
@@ -95,7 +96,7 @@ def event_windows(spark: SparkSession, lines: DataFrame, length: str = "10 secon
         # readers prune by date.
         counts = counts.withColumn("window_day", F.to_date("window_start"))
         part = ["window_day"]
-    return start_query(counts, sink, ck, mode, path=out, trigger=trigger, partition_by=part)
+    return [start_query(counts, sink, ck, mode, path=out, trigger=trigger, partition_by=part), bad]
 
 
 USER_EVENT_FIELDS = {"eventTime": "$.eventTime", "eventType": "$.eventType",
@@ -252,16 +253,16 @@ def train_recommender(spark: SparkSession, answers: DataFrame, app: str = "recom
 
 def serve_recommendations(spark: SparkSession, json_lines: DataFrame,
                           app: str = "recommender", output=None,
-                          trigger: dict | None = None) -> StreamingQuery:
+                          trigger: dict | None = None) -> list[StreamingQuery]:
     """Online: each micro-batch of answers gets its students' top-10 from the
     current registered model, joined to the answers and appended (keyed by
     batch id so a replay replaces its own rows).  Before the first publication the
     query fails and, started again, serves the same batch; messages without student
-    or question go to ``quarantine``."""
+    or question go to ``quarantine``.  Both queries, the serving one first."""
     root = session.shared_dir(spark, "apps", app)
     answers, bad = split_valid(parse_json(json_lines, raw=True), ["student_id", "question_id"])
-    start_query(bad.select("_raw"), "parquet", f"{root}/quarantine_checkpoint", "append",
-                path=f"{root}/quarantine", trigger=trigger)
+    apart = start_query(bad.select("_raw"), "parquet", f"{root}/quarantine_checkpoint", "append",
+                        path=f"{root}/quarantine", trigger=trigger)
     answers = answers.drop("_raw")
     cache = rec.ModelCache(spark, f"{root}/registry")
     if output is None:
@@ -271,5 +272,6 @@ def serve_recommendations(spark: SparkSession, json_lines: DataFrame,
             (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(out))
-    return start_query(answers, "foreach_batch", f"{root}/serve_checkpoint", "append",
-                       batch_fn=rec.serve_batch(rec.model_recommender(cache), output), trigger=trigger)
+    served = start_query(answers, "foreach_batch", f"{root}/serve_checkpoint", "append",
+                         batch_fn=rec.serve_batch(rec.model_recommender(cache), output), trigger=trigger)
+    return [served, apart]

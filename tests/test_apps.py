@@ -70,8 +70,9 @@ def test_word_count_and_windows_apps(spark, tmp):
     st.event_word_lines(stream_table(spark, SF0001, "events"))  # stream form builds
     st.event_word_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(ev_lines)
     app2 = "win_" + _run_id()
-    apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
-                       "10 minutes", "complete", app=app2, trigger=AVAILABLE_NOW).awaitTermination()
+    for q in apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
+                                "10 minutes", "complete", app=app2, trigger=AVAILABLE_NOW):
+        q.awaitTermination()
     got = read_snapshot(spark, session.shared_dir(spark, "apps", app2, "complete", "out"))
     assert got.count() > 0 and got.agg(F.sum("count")).first()[0] == 2 * spark.read.parquet(
         f"{SF0001}/events.parquet").count()
@@ -85,7 +86,8 @@ def test_train_and_serve(spark, tmp):
     root = session.shared_dir(spark, "apps", app)
     assert spark.read.parquet(f"{root}/recommend_all").count() > 0
     lines = st.answer_json_lines(st.answers(spark, SF0001, stream=True))
-    apps.serve_recommendations(spark, lines, app=app, trigger=AVAILABLE_NOW).awaitTermination()
+    for q in apps.serve_recommendations(spark, lines, app=app, trigger=AVAILABLE_NOW):
+        q.awaitTermination()
     served = spark.read.parquet(f"{root}/served")
     assert served.count() > 0 and "recommendations" in served.columns
 
@@ -114,8 +116,9 @@ def test_event_windows_append_is_laid_out_per_day(spark, tmp):
     ev_lines = os.path.join(tmp, "ev")
     st.event_word_lines(spark.read.parquet(f"{SF0001}/events.parquet")).write.text(ev_lines)
     app = "win_app_" + _run_id()
-    apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
-                       "10 minutes", "append", app=app, trigger=AVAILABLE_NOW).awaitTermination()
+    for q in apps.event_windows(spark, read_lines(spark, ev_lines, stream=True), "1 hour", "30 minutes",
+                                "10 minutes", "append", app=app, trigger=AVAILABLE_NOW):
+        q.awaitTermination()
     out = session.shared_dir(spark, "apps", app, "append", "out")
     got = spark.read.parquet(out)
     days = [r.window_day for r in got.select("window_day").distinct().collect()]
