@@ -1,0 +1,25 @@
+"""What keeps a step's memory, shuffles and time in bounds on large tables."""
+
+from pyspark.sql import functions as F
+
+from livetable.plans import queries as q
+
+
+def _executions(spark):
+    return spark._jsparkSession.sharedState().statusStore().executionsList()
+
+
+def test_quarantine_is_written_without_a_sort(spark, tmp, monkeypatch):
+    monkeypatch.setattr(q, "_run_dir", lambda spark, name: f"{tmp}/{name}")
+    limit = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    lines = spark.createDataFrame([('{"a": 1}',), ("{",), ('{"a": 2}',), ("",), (None,)], "value string").coalesce(1)
+    before = _executions(spark).size()
+    good, bad = q.parse_with_quarantine(spark, lines, lambda x: x.select(F.col("value").alias("_raw"),
+                                        F.from_json("value", "a int")["a"].alias("a")), ["a"], "rows")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [p.physicalPlanDescription() for p in (_executions(spark).apply(i) for i in range(before, _executions(spark).size()))]
+    writes = [p for p in plans if "InsertIntoHadoopFsRelation" in p]
+    assert len(writes) == 1 and "Sort" not in writes[0]
+    assert sorted(r["a"] for r in good.collect()) == [1, 2]
+    assert sorted(str(r["value"]) for r in bad.collect()) == ["", "None", "{"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == limit
