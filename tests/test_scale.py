@@ -1,7 +1,14 @@
 """What keeps a step's memory, shuffles and time in bounds on large tables."""
 
+import random
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from livetable.operators import products as pr
+from livetable.operators import recommend as rec
 from livetable.plans import queries as q
 
 
@@ -23,3 +30,76 @@ def test_quarantine_is_written_without_a_sort(spark, tmp, monkeypatch):
     assert sorted(r["a"] for r in good.collect()) == [1, 2]
     assert sorted(str(r["value"]) for r in bad.collect()) == ["", "None", "{"]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == limit
+
+
+def _model(spark):
+    rng = random.Random(3)
+    ratings = spark.createDataFrame([(s, q, float(rng.randint(1, 3))) for s in range(1, 41) for q in range(1, 31) if rng.random() < 0.5],
+                                    "student_id long, question_id long, rating float")
+    return rec.train(ratings, rank=4, max_iter=3, num_blocks=2)
+
+
+def _as_lists(recs):
+    return {r["student_id"]: [(x["question_id"], x["rating"]) for x in r["recommendations"]] for r in recs.collect()}
+
+
+def _same_lists(got, want):
+    assert set(got) == set(want)
+    for s in want:
+        assert [q for q, _ in got[s]] == [q for q, _ in want[s]], s
+        assert np.allclose([x for _, x in got[s]], [x for _, x in want[s]], atol=1e-5), s
+
+
+def test_lists_are_those_of_spark_without_joining_all_pairs(spark):
+    model = _model(spark)
+    some = spark.createDataFrame([(3,), (3,), (17,), (999,), (None,), (1 << 40,)], "student_id long")
+    for got, want in ((rec.recommend_all(model, 7), model.recommendForAllUsers(7)),
+                      (rec.recommend_subset(model, some, 50), model.recommendForUserSubset(some.filter("student_id < 1000"), 50))):
+        assert got.schema.simpleString() == want.schema.simpleString()
+        _same_lists(_as_lists(got), _as_lists(want))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _batch(users):
+    n = len(users)
+    return pa.RecordBatch.from_arrays([
+        pa.array(range(n), pa.int64()), pa.array([[float(x) for x in u] for u in users], pa.list_(pa.float32())),
+        pa.array([[]] * n, pa.list_(pa.int64())), pa.array([[]] * n, pa.list_(pa.float64())),
+        pa.array([0] * n, pa.int64()), pa.array([True] * n)], ["id", "features", "best_id", "best", "scored", "open"])
+
+
+def _search_of(items, users, k):
+    norms = np.sqrt((items.astype(np.float64) ** 2).sum(axis=1))
+    order = np.lexsort((np.arange(len(items)), -norms))
+    source = SimpleNamespace(value=(order.astype(np.int64), items[order], norms[order]))
+    return [i for b in pr._search(source, k, -1.0)(iter([_batch(users)])) for i in b.column("best_id").to_pylist()]
+
+
+def _brute(items, users, k):
+    scores = [[sum(float(x) * float(y) for x, y in zip(u, v)) for v in items] for u in users]
+    return [sorted(range(len(items)), key=lambda i: (-s[i], i))[:k] for s in scores]
+
+
+def test_items_of_one_norm_cost_few_exact_products(monkeypatch):
+    rng = np.random.default_rng(2)
+    items = rng.normal(size=(6000, 8))
+    items = (items / np.linalg.norm(items, axis=1, keepdims=True)).astype(np.float32)
+    users = rng.normal(size=(40, 8)).astype(np.float32)
+    merged, merge = [], pr._merge
+    monkeypatch.setattr(pr, "_merge", lambda ids, best, rows, *a: (merged.append(len(rows)), merge(ids, best, rows, *a)))
+    score = users.astype(np.float64) @ items.astype(np.float64).T
+    assert _search_of(items, users, 10) == [np.lexsort((np.arange(6000), -s))[:10].tolist() for s in score]
+    assert sum(merged) < 0.1 * score.size
+
+
+def test_search_of_copies_zeros_and_wide_ranges():
+    rng = np.random.default_rng(4)
+    base = rng.integers(-2, 3, size=(30, 3)).astype(np.float32)     # many ties, some zero vectors
+    items = np.concatenate([base] * 60)
+    users = np.concatenate([rng.integers(-1, 2, size=(20, 3)), np.zeros((1, 3))]).astype(np.float32)
+    assert _search_of(items, users, 25) == _brute(items, users, 25)
+    wide = (rng.normal(size=(1500, 3)) * 10.0 ** rng.integers(-30, 30, size=(1500, 1))).astype(np.float32)
+    hosts = (rng.normal(size=(20, 3)) * 10.0 ** rng.integers(-30, 30, size=(20, 1))).astype(np.float32)
+    assert _search_of(wide, hosts, 9) == _brute(wide, hosts, 9)
+    assert _search_of(base[:4], users, 25) == _brute(base[:4], users, 25)
