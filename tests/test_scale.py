@@ -5,9 +5,11 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from livetable.operators import products as pr
+from livetable.operators import published as pub
 from livetable.operators import recommend as rec
 from livetable.plans import queries as q
 
@@ -103,3 +105,24 @@ def test_search_of_copies_zeros_and_wide_ranges():
     hosts = (rng.normal(size=(20, 3)) * 10.0 ** rng.integers(-30, 30, size=(20, 1))).astype(np.float32)
     assert _search_of(wide, hosts, 9) == _brute(wide, hosts, 9)
     assert _search_of(base[:4], users, 25) == _brute(base[:4], users, 25)
+
+
+def test_serving_gives_the_lists_of_the_model_without_joining_all_pairs(spark, tmp, monkeypatch):
+    model = _model(spark)
+    model.write().save(f"{tmp}/model")
+    pub.publish(spark, f"{tmp}/registry", f"{tmp}/model", 1.0)
+    want = {f"{rec.STUDENT_PREFIX}{s}": ",".join(f"{rec.QUESTION_PREFIX}{q}" for q, _ in r)
+            for s, r in _as_lists(model.recommendForAllUsers(5)).items()}
+
+    def joined(*a):
+        raise AssertionError("all pairs of factor blocks were joined")
+
+    monkeypatch.setattr(ALSModel, "recommendForUserSubset", joined)
+    monkeypatch.setattr(ALSModel, "recommendForAllUsers", joined)
+    answers = spark.createDataFrame([(f"{rec.STUDENT_PREFIX}{s}", f"{rec.QUESTION_PREFIX}1") for s in (4, 4, 9, 999)],
+                                    "student_id string, question_id string")
+    out = []
+    pub.serve_versioned(spark, f"{tmp}/registry", lambda df, b: out.extend(
+        (r["student_id"], r["recommendations"], r["model_version"]) for r in df.collect()), k=5)(answers, 0)
+    four, nine = f"{rec.STUDENT_PREFIX}4", f"{rec.STUDENT_PREFIX}9"
+    assert sorted(out) == sorted([(four, want[four], 1)] * 2 + [(nine, want[nine], 1)])
