@@ -52,6 +52,7 @@ PIECE_BYTES = 1 << 20
 COUNTERS = 8 << 20
 SLACK = 2
 SPARSE = 4          # hash values of a partition for each n-gram it may get
+CELL_GRAMS = 1 << 19
 SALT = 64
 
 _BREAK = np.zeros(256, dtype=bool)
@@ -161,17 +162,29 @@ def _keys(raw: bytes) -> np.ndarray:
     return np.cumsum(expand(raw)).astype(np.uint32)
 
 
+def _cells(shard: int, parts: list[tuple[np.ndarray, np.ndarray]], targets: int) -> Iterator[tuple]:
+    """One packed cell for each hash partition, from the sorted places and counts of a shard's
+    pieces.  ``CELL_GRAMS`` n-grams of all pieces are merged at a time, never the whole shard."""
+    slices = min(targets, 1 + sum(len(place) for place, _ in parts) // CELL_GRAMS)
+    edges = [np.uint64(targets * k // slices << 32) for k in range(slices + 1)]
+    cuts = [np.searchsorted(place, edges) for place, _ in parts]
+    for k in range(slices):
+        place, count = _summed(np.concatenate([p[c[k]:c[k + 1]] for (p, _), c in zip(parts, cuts)]),
+                               np.concatenate([n[c[k]:c[k + 1]] for (_, n), c in zip(parts, cuts)]).astype(np.int64))
+        for t, (low, n) in by_target((place >> np.uint64(32)).astype(np.int64), place.astype(np.uint32), count):
+            yield t, shard, int(n.sum()), _steps(low), squeeze(n)
+
+
 def _send(targets: int, bits: int, largest: int):
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        parts = []
         for _, g in _each(table, largest):
-            k, c = np.unique(np.concatenate(list(g.key.values())), return_counts=True)
-            keys, counts = _summed(np.r_[keys, k], np.r_[counts, c])
-        target, low = _place(keys, targets, bits)
-        order = np.lexsort((low, target))
-        shard = table["shard"][0].as_py()
-        rows = [(t, shard, int(c.sum()), _steps(x), squeeze(c)) for t, (x, c) in by_target(target[order], low[order], counts[order])]
-        del keys, counts, target, low, order
+            target, low = _place(np.concatenate(list(g.key.values())), targets, bits)
+            place, count = np.unique(target.astype(np.uint64) << np.uint64(32) | low, return_counts=True)
+            parts.append((place, count.astype(np.uint32)))
+            del g, target, low, count
+        rows = list(_cells(table["shard"][0].as_py(), parts, targets)) if parts else []
+        del parts
         tidy()
         return pa.Table.from_batches([_batch(rows)], schema=_CELL)
     return run

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from livetable.llm import collocations as c
@@ -88,6 +90,28 @@ def test_packed_numbers_come_back():
     assert c._keys(c._steps(np.sort(x))).tolist() == sorted(x.tolist())
 
 
+def test_a_shard_is_packed_in_little_memory():
+    """Cells hold all n-grams of the shard, and the step takes some bytes for each, not copies of all."""
+    rng = np.random.default_rng(13)
+    letters = rng.integers(0x61, 0x7B, (6_000, 250, 4), dtype=np.uint8)
+    letters[:, :, 3] = 0x20
+    texts = [x.tobytes().decode() for x in letters]
+    table = pa.table([["en"] * len(texts), texts, pa.array([3] * len(texts), pa.int32())], ["lang", "text", "shard"])
+    c._send(7, 24, 3)(table.slice(0, 10))
+    tracemalloc.start()
+    cells = c._send(7, 24, 3)(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * 6_000_000
+    want = np.concatenate([k for _, g in c._each(table, 3) for k in g.key.values()])
+    target, low = c._place(want, 7, 24)
+    assert sorted(cells["target"].to_pylist()) == list(range(7)) and set(cells["shard"].to_pylist()) == {3}
+    for r in cells.to_pylist():
+        key, count = np.unique(low[target == r["target"]], return_counts=True)
+        assert r["mass"] == count.sum() and (c._keys(r["cell"]) == key).all() and (c.expand(r["times"]) == count).all()
+    assert len(c._send(7, 24, 3)(table.slice(0, 1).set_column(1, "text", pa.array([" . "])))) == 0
+
+
 def test_counters_do_not_change_the_result(spark, monkeypatch):
     """With a capacity just above mass / threshold the summaries lose counts, not phrases."""
     rows = odd_rows()
