@@ -118,11 +118,16 @@ def current(spark: SparkSession, root: str) -> Published | None:
 def train_and_publish(spark: SparkSession, ratings: DataFrame, model_path: str, root: str,
                       gate: float = rec.RMSE_GATE, **als_kw) -> tuple[int | None, float]:
     """Train on the ratings' training split, evaluate on the rest, and publish behind the
-    gate: (version or None, RMSE).  A refused model is not saved."""
+    gate: (version or None, RMSE).  A refused model is not saved.  The ratings are persisted
+    while training and evaluation read them."""
     from livetable.operators.split import hash_split
-    train_part, test_part = hash_split(ratings, ["student_id", "question_id"], 8, 10, rec.SPLIT_SEED)
-    model = rec.train(train_part, **als_kw)
-    rmse = rec.evaluate(rec.predict(model, test_part))
+    ratings = ratings.persist()
+    try:
+        train_part, test_part = hash_split(ratings, ["student_id", "question_id"], 8, 10, rec.SPLIT_SEED)
+        model = rec.train(train_part, **als_kw)
+        rmse = rec.evaluate(rec.predict(model, test_part))
+    finally:
+        ratings.unpersist()
     if not rec.passes_gate(rmse, gate):
         return None, rmse
     model.write().overwrite().save(model_path)

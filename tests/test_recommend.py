@@ -38,6 +38,21 @@ def test_extract_ratings_drops_null_score_and_bad_ids(spark):
     assert got == [(1, 2, 3.0), (1, 2, 3.0)]  # repeats kept
 
 
+def test_ratings_are_parsed_once_a_row(spark):
+    """Filters on the numbers hold no copies of the parse."""
+    df = spark.range(3).selectExpr("concat('s_', id) as student_id", "concat('q_', id) as question_id", "cast(id as int) as score")
+    train, _ = hash_split(rec.extract_ratings(df), ["student_id", "question_id"])
+    assert str(train._jdf.queryExecution().optimizedPlan()).lower().count("stringsplitsql") == 2
+
+
+def test_evaluation_reads_the_predictions_once(spark, monkeypatch):
+    """No look at the rows, which runs the joins with the factors, comes before the sum."""
+    df = spark.createDataFrame([(0.0, 1.0), (1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], "prediction double, rating float")
+    for look in ("isEmpty", "count"):
+        monkeypatch.setattr(type(df), look, lambda *_: pytest.fail("the predictions are read twice"))
+    assert rec.evaluate(df) == math.sqrt((1 + 0 + 1 + 4) / 4)
+
+
 def test_hash_split_is_stable_and_disjoint(trained):
     ratings, train, test, _ = trained
     assert train.count() + test.count() == ratings.count()
