@@ -117,8 +117,11 @@ def features(data: np.ndarray, offsets: np.ndarray, i: int, j: int, keys: np.nda
     excl = np.concatenate([[0], np.cumsum((raw == 0x21) | (raw == 0x3F))])
     same = np.zeros(len(raw), bool)
     same[1:] = (raw[1:] == raw[:-1]) & _SIGN[raw[1:]]
-    reps = np.concatenate([[0], np.cumsum(same)])
     b = w.bounds
+    # Neither looks across the end of a document at its neighbour in the batch.
+    first, last = b[b < len(raw)], b[b > 0] - 1
+    same[first] = False
+    reps = np.concatenate([[0], np.cumsum(same)])
 
     def share(c: np.ndarray, of: np.ndarray) -> np.ndarray:
         return (c[b[1:]] - c[b[:-1]]) / np.maximum(of, 1)
@@ -127,6 +130,7 @@ def features(data: np.ndarray, offsets: np.ndarray, i: int, j: int, keys: np.nda
     inner = np.zeros(len(raw), bool)
     if len(raw) > 2:
         inner[1:-1] = _INNER[raw[1:-1]] & _LETTER[raw[:-2]] & _LETTER[raw[2:]]
+        inner[first] = inner[last] = False
     hide = np.concatenate([[0], np.cumsum(inner)])
     letters = cum["letter"][b[1:]] - cum["letter"][b[:-1]]
     words = np.maximum(n, 1)

@@ -1,5 +1,7 @@
 """Toxicity: held-out accuracy, small and odd tables."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from livetable.llm import toxicity as t
@@ -51,3 +53,12 @@ def test_scores_do_not_depend_on_the_file_layout(spark, tmp_path):
     six = spark.read.parquet(str(tmp_path / "six"))
     one, other = ({r["doc_id"]: round(r["score"], 9) for r in t.fit(d, labels, F.lit(True)).score(d).collect()} for d in (docs, six))
     assert one == other and len(set(one.values())) > 2
+
+
+def test_a_document_does_not_see_its_neighbours():
+    texts = ["", "so it ends.", "b!!", "!! a", "", "a-b c.d", ".", "e", None, ""]
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    together = t.features(*t.column_bytes(pa.array(texts)), 0, len(texts), *none)
+    for k, text in enumerate(texts):
+        alone = t.features(*t.column_bytes(pa.array([text], pa.string())), 0, 1, *none)
+        assert (together[k] == alone[0]).all(), k
