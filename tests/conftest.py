@@ -14,7 +14,9 @@ SF0001 = "/root/testdata/sf0.001"
 def spark():
     from livetable.session import build_session
     s = build_session(master="local[8]", app="livetable-tests", shuffle_partitions=8,
-                      checkpoint_dir=tempfile.mkdtemp(prefix="lt-test-ckpt-", dir="/tmp"))
+                      checkpoint_dir=tempfile.mkdtemp(prefix="lt-test-ckpt-", dir="/tmp"),
+                      # test_scale counts a query's executions, of which Spark keeps 1,000 by default.
+                      extra={"spark.sql.ui.retainedExecutions": "10000"})
     yield s
     s.stop()
 
