@@ -203,3 +203,14 @@ def test_unreadable_registry_is_an_error(spark, tmp):
 def test_ids_beyond_32_bits_are_left_out_by_rule(spark):
     rows = spark.createDataFrame([(1, 2, 3.0), (2**31, 2, 3.0)], "student_id long, question_id long, rating float")
     assert rec._als_input(rows).count() == 1
+
+
+def test_blocks_follow_the_ratings_not_the_cores(spark):
+    """Each iteration sends every factor to nearly every block."""
+    assert spark.sparkContext.defaultParallelism > 2
+    rows = spark.range(400).selectExpr("id % 40 as student_id", "id % 37 as question_id", "cast(1 + id % 3 as float) as rating")
+    model = rec.train(rows, rank=2, max_iter=1)
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == 2
+    assert (model.userFactors.count(), model.itemFactors.count()) == (40, 37)
+    assert [rec.block_count(n, 12) for n in (0, 10 ** 6, 2 * 10 ** 8, 2 * 10 ** 8 + 1, 10 ** 12)] == [2, 2, 2, 3, 12]
+    assert rec.block_count(10 ** 6, 1) == 1
