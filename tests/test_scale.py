@@ -126,3 +126,23 @@ def test_serving_gives_the_lists_of_the_model_without_joining_all_pairs(spark, t
         (r["student_id"], r["recommendations"], r["model_version"]) for r in df.collect()), k=5)(answers, 0)
     four, nine = f"{rec.STUDENT_PREFIX}4", f"{rec.STUDENT_PREFIX}9"
     assert sorted(out) == sorted([(four, want[four], 1)] * 2 + [(nine, want[nine], 1)])
+
+
+def test_lists_of_the_newest_day_read_the_answers_once(spark, monkeypatch):
+    """The newest day, its students and the ratings come from one run of the join."""
+    rows = [(f"s_{s}", f"q_{p}", p % 11, f"1998-01-{1 + s // 10:02d} 12:00:00") for s in range(1, 31) for p in range(1, 13)]
+    rows += [("s_4", "q_2", None, "1998-01-09 08:00:00"), ("s_4", "q_2", None, "1998-01-09 09:00:00"), ("s_17", "q_x", 2, "1998-01-09 23:59:59"),
+             ("s_x", "q_2", 2, "1998-01-09 10:00:00"), ("s_99", "q_2", None, "1998-01-09 10:00:00"), (None, "q_2", 2, "1998-01-09 11:00:00"),
+             ("s_5", "q_2", 2, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(_):
+        read.add(1)
+        return True
+
+    answers = spark.createDataFrame(rows, "student_id string, question_id string, score int, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz")).filter(F.udf(count, "boolean").asNondeterministic()("question_id"))
+    monkeypatch.setattr(q.st, "answers", lambda *_: answers)
+    got = [tuple(r) for r in q.q_als_recommend_subset(spark, "unused").collect()]
+    assert sorted(got) == [(4, 10, True, True), (17, 10, True, True)]
+    assert read.value == len(rows)
