@@ -6,9 +6,12 @@ import random
 import numpy as np
 import pytest
 from pyarrow import fs as pafs
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
 
 from livetable.operators import als
 from livetable.operators import recommend as rec
+from livetable.plans import queries as q
 
 SCHEMA = "student_id int, question_id int, rating float"
 
@@ -33,7 +36,7 @@ def _expected(rows, rank, iterations, reg, seed):
     ids = np.array(sorted({r[0] for r in rows}), dtype=np.int32)
     users = dict(zip(ids.tolist(), als._first(ids, rank, seed)))
     for _ in range(iterations):
-        items = _half([(q, s, r) for s, q, r in rows], users, reg)
+        items = _half([(o, s, r) for s, o, r in rows], users, reg)
         users = _half(rows, items, reg)
     return users, items
 
@@ -86,7 +89,7 @@ def test_a_hot_id_is_summed_over_chunks(monkeypatch, size, solved, single):
 
 def test_the_model_does_not_depend_on_the_blocks(spark):
     """Nor is a block ever held whole; blocks of Spark's own solver gave other starting factors."""
-    rows = spark.createDataFrame([(s, q, r) for s, q, r in _ratings()], "student_id long, question_id long, rating float")
+    rows = spark.createDataFrame(_ratings(), "student_id long, question_id long, rating float")
     one, many = (rec.train(rows, rank=3, max_iter=4, num_blocks=n) for n in (1, 7))
     for a, b in ((one.userFactors, many.userFactors), (one.itemFactors, many.itemFactors)):
         _same(_factors(a), _factors(b))
@@ -127,3 +130,20 @@ def test_no_ratings_and_ratings_without_a_number_are_errors(spark):
     for bad in (None, float("nan")):
         with pytest.raises(Exception, match="rating is null or not a number"):
             rec.train(spark.createDataFrame([(1, 2, 1.0), (1, 3, bad)], SCHEMA), num_blocks=1)
+
+
+def test_training_uses_all_cores():
+    """It ran in the two tasks of two blocks, whatever the cluster."""
+    for ratings in (2_000_000, 28_800_000, 172_800_000):
+        assert rec.part_count(ratings, 12) % 12 == 0
+    assert rec.part_count(400, 12) == 2 and rec.part_count(400, 1) == 1
+
+
+def test_rows_kept_for_training_are_kept_on_disk(spark, monkeypatch):
+    answers = spark.createDataFrame([(f"s_{s}", f"q_{p}", p % 11, f"1998-01-0{1 + s // 10} 12:00:00") for s in range(1, 31) for p in range(1, 13)],
+                                    "student_id string, question_id string, score int, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    monkeypatch.setattr(q.st, "answers", lambda *_: answers)
+    kept, persist = [], type(answers).persist
+    monkeypatch.setattr(type(answers), "persist", lambda self, *level: (kept.extend(level or ["default"]), persist(self, *level))[1])
+    assert q.q_als_recommend_all(spark, "unused").count() == 30
+    assert kept == [StorageLevel.DISK_ONLY] * 2
