@@ -19,7 +19,11 @@ def _c(c) -> Column:
 
 def utc_micros(c) -> Column:
     """Microseconds since the epoch of a zone-less timestamp read as UTC."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(c))
+    # From its fields: a difference of timestamps is one of instants, and in a zone with
+    # clock changes some wall-clock times are none.
+    t = _c(c)
+    seconds = F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+    return seconds * 1000000 + (F.extract(F.lit("SECOND"), t) * 1000000).cast("long")
 
 
 def to_utc_instant(c) -> Column:

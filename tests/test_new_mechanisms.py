@@ -115,3 +115,22 @@ def test_state_equals_the_count_before_and_after_a_restart(spark, tmp):
     assert {r["word"]: r["count"] for r in counts_in_state(spark, ck, "word", batch_id=0).collect()} == {"a": 1, "b": 2}
     assert read_state(spark, ck).select(F.count_distinct("partition_id")).first()[0] >= 1
     assert state_operators(spark, ck).select("operatorName").first()[0] == "stateStoreSave"
+
+
+def test_utc_micros_of_times_that_a_zone_does_not_have(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from livetable.functions.timefns import utc_micros
+    times = [dt.datetime(2024, 3, 31, 2, 30, 1, 123456), dt.datetime(2024, 10, 27, 2, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+             dt.datetime(1800, 1, 1, 0, 0, 0, 1), dt.datetime(9999, 12, 31, 23, 59, 59, 999999), None]
+    df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
+    want = [None if t is None else (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1) for t in times]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Europe/Berlin", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.n for r in df.select(utc_micros(F.col("ts")).alias("n")).collect()] == want, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
